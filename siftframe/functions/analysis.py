@@ -186,12 +186,12 @@ def stop(words: list[str] | None = None) -> Stage:
 def synonym(rules: dict[str, list[str]]) -> Stage:
     """Single-word rules: a token is followed by its synonyms. For a rules
     table use ``expand_tokens``."""
-    table = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)) for kv in rules.items() for x in kv])
-    words = list(rules)
 
     def expand(t: Column) -> Column:
-        more = F.when(t.isin(words), F.element_at(table, t)).otherwise(F.array().cast("array<string>"))
-        return F.concat(F.array(t), more)
+        forms = F.array(t)
+        for word, more in rules.items():
+            forms = F.when(t == word, F.array(F.lit(word), *map(F.lit, more))).otherwise(forms)
+        return forms
 
     return lambda tokens: F.flatten(F.transform(tokens, expand))
 
@@ -257,7 +257,7 @@ def asciifolding(tokens: Column) -> Column:
 
 
 def trim(tokens: Column) -> Column:
-    return F.transform(tokens, F.trim)
+    return F.transform(tokens, lambda t: F.trim(t))
 
 
 def word_delimiter(tokens: Column) -> Column:
