@@ -85,6 +85,7 @@ def bulk(
     version_col: str = "_version",
     hot_ops: int = HOT_OPS,
     staged: bool = False,
+    gone: DataFrame | None = None,
 ) -> BulkResult:
     """Apply operations in ``seq`` order; one that fails does not stop others.
 
@@ -99,7 +100,8 @@ def bulk(
     operations is cut into stretches of ``seq``, each summarised on its own, and
     the summaries are carried forward. Rows of the table without an operation
     only pass an anti join on the ids. ``staged=True`` writes the worked-out
-    operations once, for callers that use more than one of the results.
+    operations once, for callers that use more than one of the results. ``gone``
+    gives id and version of rows deleted earlier, whose versions go on counting.
     """
     schema = T.StructType([f for f in target.schema.fields if f.name not in (id_col, version_col)])
     leaves = leaf_paths(schema)
@@ -111,6 +113,9 @@ def bulk(
         F.col(version_col).cast("bigint").alias("_start_version"),
         F.struct(*[F.col(p).alias(f"f{i}") for i, p in enumerate(leaves)]).alias("_start"),
     )
+    if gone is not None:
+        ended = F.lit(None).cast(start.schema["_start"].dataType).alias("_start")
+        start = start.unionByName(gone.select(id_col, F.col(version_col).alias("_start_version"), ended))
     fold = _Fold(id_col, ops, hot_ops)
     rows = fold.spread(fold.rows.join(start, id_col, "left"))
     action = F.col("action")

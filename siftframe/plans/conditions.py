@@ -609,7 +609,9 @@ class KeywordQuery(Condition):
 
     def _condition(self, scope: Scope) -> Condition:
         declared = scope.mapping.fields.items()
-        fields = self.fields or tuple(n for n, f in declared if f.is_text or f.type == "keyword")
+        fields = self.fields or tuple(
+            n for n, f in declared if f.index and (f.is_text or f.type == "keyword")
+        )
         return self._resolve(self.tree, fields)
 
     def predicate(self, scope: Scope) -> Column:

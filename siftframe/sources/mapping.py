@@ -176,7 +176,6 @@ def apply_mapping(df: DataFrame, mapping: Mapping, ignored: str = "_ignored", ob
     out, bad = [], []
     for name, spec in mapping.fields.items():
         if spec.type == "alias":
-            out.append(F.col(mapping.column_name(spec.path)).alias(name))
             continue
         if spec.type == "token_count":
             source = spec.path or name
@@ -193,6 +192,8 @@ def apply_mapping(df: DataFrame, mapping: Mapping, ignored: str = "_ignored", ob
         bad.append((name, F.col(name).isNotNull() & value.isNull()))
     names = F.filter(F.array(*[F.when(b, F.lit(n)) for n, b in bad]), lambda n: n.isNotNull()) if bad else None
     result = df.select(*kept, *out, *([names.alias(ignored)] if bad else []))
+    aliases = {n: F.col(mapping.column_name(f.path)) for n, f in mapping.fields.items() if f.type == "alias"}
+    result = result.withColumns(aliases) if aliases else result
     if observation is not None and bad:
         counts = [F.count_if(F.array_contains(ignored, n)).alias(n) for n, _ in bad]
         result = result.observe(observation, *counts)

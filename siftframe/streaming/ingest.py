@@ -37,8 +37,10 @@ def stream_bulk(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         touched = batch.select(id_col).distinct()
-        state = current_table(base, log, before=batch_id, id_col=id_col, only=touched)
-        result = bulk(state, batch, id_col, version_col, staged=True)
+        latest = latest_changes(spark, log, before=batch_id, id_col=id_col, only=touched)
+        state = _on_top(base.join(touched, id_col, "left_semi"), latest, id_col)
+        gone = latest.where("_deleted").select(id_col, version_col)
+        result = bulk(state, batch, id_col, version_col, staged=True, gone=gone)
         result.changes.write.mode("overwrite").parquet(f"{log}/changes/batch={batch_id}")
         result.items.write.mode("overwrite").parquet(f"{log}/items/batch={batch_id}")
         if on_batch is not None:
@@ -48,20 +50,26 @@ def stream_bulk(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def current_table(
-    base: DataFrame, log: str, before: int | None = None, id_col: str = "_id", only: DataFrame | None = None
+def current_table(base: DataFrame, log: str, before: int | None = None, id_col: str = "_id") -> DataFrame:
+    """The base table with the log on top: the latest change per id wins."""
+    return _on_top(base, latest_changes(base.sparkSession, log, before, id_col), id_col)
+
+
+def latest_changes(
+    spark: SparkSession, log: str, before: int | None = None, id_col: str = "_id", only: DataFrame | None = None
 ) -> DataFrame:
-    """The base table with the log on top: the latest change per id wins.
-    ``only`` limits both sides to some ids before they meet."""
-    spark = base.sparkSession
+    """Last change of every id in the log, optionally of some ids only and of
+    batches before a given one."""
     changes = spark.read.option("basePath", f"{log}/changes").parquet(f"{log}/changes")
     if before is not None:
         changes = changes.where(F.col("batch") < before)
     if only is not None:
-        base = base.join(only, id_col, "left_semi")
         changes = changes.join(only, id_col, "left_semi")
-    columns = [*base.columns, "_deleted"]
-    latest = changes.groupBy(id_col).agg(F.max_by(F.struct(*columns), "batch").alias("row")).select("row.*")
+    row = F.struct(*[n for n in changes.columns if n != "batch"])
+    return changes.groupBy(id_col).agg(F.max_by(row, "batch").alias("row")).select("row.*")
+
+
+def _on_top(base: DataFrame, latest: DataFrame, id_col: str) -> DataFrame:
     kept = base.join(latest.select(id_col), id_col, "left_anti").select(*base.columns)
     return kept.unionByName(latest.where(~F.col("_deleted")).select(*base.columns))
 
