@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftframe import Collection, Field, Mapping
+from siftframe.sources.documents import gather_objects, spread
 
 PRODUCT_FIELDS = Mapping(
     {
@@ -22,8 +23,13 @@ PRODUCT_FIELDS = Mapping(
 )
 
 
+# Tables of texts, where work per row outweighs moving a small file's rows.
+TEXTS = ("documents", "pages", "conversations")
+
+
 def load(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread(df) if name in TEXTS else df
 
 
 def products(spark: SparkSession, sf: str) -> Collection:
@@ -91,8 +97,6 @@ def events(spark: SparkSession, sf: str) -> Collection:
 
 
 def orders_with_items(spark: SparkSession, sf: str) -> Collection:
-    from siftframe.sources.documents import gather_objects
-
     items = load(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
         F.col("l_linenumber").alias("line"),

@@ -276,20 +276,17 @@ def expand_tokens(df: DataFrame, id_col: str, tokens_col: str, rules: DataFrame,
     """Token filter against a table of ``(word, form)`` rules.
 
     ``keep=True`` appends the forms to the word (synonyms), ``keep=False`` puts
-    the form in its place (dictionary lemma). Words without a rule stay. A small
-    rules table is broadcast after a row check. Otherwise only the occurrences
-    of words that have a rule travel, spread over salts, because a frequent word
-    may be a large share of all tokens.
+    the form in its place (dictionary lemma). Words without a rule stay. A rules
+    table of proven size is broadcast, so no token moves for the lookup. With a
+    larger one the join shuffles by word; adaptive execution then splits the
+    partition of a word that is a large share of all tokens.
     """
     forms = rules.groupBy("word").agg(F.array_sort(F.collect_set("form")).alias("_forms"))
     words = df.select(id_col, F.posexplode(tokens_col).alias("_pos", "word"))
-    if fits_broadcast(rules):
-        joined = words.join(F.broadcast(forms), "word", "left")
-    else:
-        salts = 32
-        salted = forms.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        spread = words.withColumn("_salt", F.pmod(F.xxhash64(id_col, "_pos"), F.lit(salts)).cast("int"))
-        joined = spread.join(salted, ["word", "_salt"], "left").drop("_salt")
+    # A rule is two words, some tens of bytes.
+    if fits_broadcast(rules, 1_000_000):
+        forms = F.broadcast(forms)
+    joined = words.join(forms, "word", "left")
     base = F.array("word")
     new = F.concat(base, "_forms") if keep else F.col("_forms")
     rows = joined.select(id_col, "_pos", F.when(F.col("_forms").isNull(), base).otherwise(new).alias("_new"))

@@ -156,21 +156,23 @@ def search_batch(
 ) -> DataFrame:
     """Top ``k`` rows for every query of a table ``(query_id, query_text)``.
 
-    Postings are cut to the words that some query uses before anything is
-    shuffled. A query table proven small is broadcast to them; a larger one is
-    joined by word and salt, because one word may hold much of all postings.
-    Scores add up map-side and the ranking drops rows beyond ``k`` before its
-    shuffle.
+    Words that no query uses are dropped before anything is shuffled, and the
+    others are counted per row with map-side sums. A query table proven small is
+    broadcast to them; a larger one is joined by word and salt, because one word
+    may hold much of all occurrences. Scores add up map-side and the ranking
+    drops rows beyond ``k`` before its shuffle.
     """
     slot = c.scope.slot(field)
     asked = queries.select(query_id, F.explode(slot.spec.chain.tokens(F.col(query_text))).alias("term"))
     asked = asked.groupBy(query_id, "term").agg(F.count("*").alias("_times"))
     vocabulary = asked.select("term").distinct()
     small = fits_broadcast(asked)
+    if small:
+        vocabulary = F.broadcast(vocabulary)
 
-    entries = postings(c, field)
-    entries = entries.join(F.broadcast(vocabulary) if small else vocabulary, "term", "left_semi")
-    frequencies = entries.groupBy("term").agg(F.count("*").alias("_df"))
+    texts = c.df.select(c.id, slot.tokens().alias("_words"))
+    distinct = texts.select(F.explode(F.array_distinct("_words")).alias("term"))
+    frequencies = distinct.join(vocabulary, "term", "left_semi").groupBy("term").agg(F.count("*").alias("_df"))
     totals = collection_stats(c, field).select(F.struct("n", "avgdl").alias("t")).scalar()
     weighted = asked.join(frequencies, "term").withColumn("_t", totals)
     weighted = weighted.select(
@@ -179,6 +181,9 @@ def search_batch(
         (F.col("_times") * idf(F.col("_t.n"), F.col("_df"))).alias("_weight"),
         F.col("_t.avgdl").alias("_avgdl"),
     )
+    words = texts.select(c.id, F.size("_words").alias("dl"), F.explode("_words").alias("term"))
+    words = words.join(vocabulary, "term", "left_semi")
+    entries = words.groupBy(c.id, "dl", "term").agg(F.count("*").alias("tf"))
     if small:
         pairs = entries.join(F.broadcast(weighted), "term")
     else:

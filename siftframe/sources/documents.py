@@ -15,6 +15,13 @@ def read_collection(spark: SparkSession, path: str, mapping: Mapping | None = No
     return Collection(spark.read.parquet(path), mapping or Mapping(), id)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table of few, unsplittable files over the cores before heavy
+    work per row. A table with enough splits is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def alias_view(c: Collection, name: str, condition: Condition | None = None) -> DataFrame:
     """A named view of the collection, limited to the rows of a condition. The
     filter stays part of every query on the view and reaches the scan."""

@@ -110,7 +110,7 @@ def test_named_and_custom_chains(run):
 
 @pytest.mark.parametrize("small", [True, False])
 def test_rules_table(spark, monkeypatch, small):
-    monkeypatch.setattr(a, "fits_broadcast", lambda df: small)
+    monkeypatch.setattr(a, "fits_broadcast", lambda df, max_rows: small)
     df = spark.createDataFrame([("1", ["better", "is", "better"]), ("2", []), ("3", None)], "_id string, w array<string>")
     rules = spark.createDataFrame([("better", "good"), ("better", "well"), ("was", "be")], "word string, form string")
     lemma = {r["_id"]: r.out for r in a.expand_tokens(df, "_id", "w", rules, keep=False, out="out").collect()}
