@@ -282,7 +282,8 @@ def expand_tokens(df: DataFrame, id_col: str, tokens_col: str, rules: DataFrame,
     partition of a word that is a large share of all tokens.
     """
     forms = rules.groupBy("word").agg(F.array_sort(F.collect_set("form")).alias("_forms"))
-    words = df.select(id_col, F.posexplode(tokens_col).alias("_pos", "word"))
+    # The outer form, as the inner one would work out the token list twice.
+    words = df.select(id_col, F.posexplode_outer(tokens_col).alias("_pos", "word")).where("_pos IS NOT NULL")
     # A rule is two words, some tens of bytes.
     if fits_broadcast(rules, 1_000_000):
         forms = F.broadcast(forms)

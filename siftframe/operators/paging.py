@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftframe.operators.numbering import numbered
-from siftframe.operators.scoring import with_score
+from siftframe.operators.scoring import scored
 from siftframe.operators.search import matching
 from siftframe.operators.sorting import after, orderings, sort_keys
 from siftframe.plans.collection import Collection
@@ -28,9 +28,8 @@ def search_after(
     ties. Each page costs one filtered top-k, however deep it lies. The column
     ``sort`` holds the row's key for the next call."""
     keys = sort_keys(c, sort)
-    rows = matching(c, condition)
-    if min_score is not None or any(k.field == "_score" for k in keys):
-        rows = with_score(c, rows, condition)
+    with_score = min_score is not None or any(k.field == "_score" for k in keys)
+    rows = scored(c, condition) if with_score else matching(c, condition)
     if min_score is not None:
         rows = rows.where(F.col("_score") >= min_score)
     if values is not None:

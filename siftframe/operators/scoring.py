@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siftframe.functions.analysis import let
 from siftframe.plans.collection import Collection, Scope, Slot
-from siftframe.plans.conditions import Condition
+from siftframe.plans.conditions import Condition, where
 from siftframe.session import fits_broadcast
 
 # The usual BM25 parameters.
@@ -81,23 +81,31 @@ def _words(slot: Slot, text: str) -> list[str]:
     return slot.spec.chain.words(text) if slot.is_text else [text]
 
 
-def with_score(c: Collection, matched: DataFrame, condition: Condition | None) -> DataFrame:
-    """Add ``_score`` to rows that satisfy the condition."""
-    if condition is None:
-        return matched.withColumn("_score", F.lit(1.0))
-    if not condition.scores:
-        return matched.withColumn("_score", F.lit(0.0))
+def scored(c: Collection, condition: Condition | None) -> DataFrame:
+    """Rows that satisfy the condition, with their ``_score``.
+
+    A text is analysed once per row: rows are first thinned out by tests on the
+    raw columns, then the words of the rest become columns, which the exact
+    condition and the score both read.
+    """
+    if condition is None or not condition.scores:
+        score = F.lit(1.0 if condition is None else 0.0)
+        return where(c.df, condition, c.scope).withColumn("_score", score)
     pairs = condition.words(c.scope)
     if not pairs:
-        return matched.withColumn("_score", condition.score(c.scope, None).cast("double"))
+        rows = where(c.df, condition, c.scope)
+        return rows.withColumn("_score", condition.score(c.scope, None).cast("double"))
     stats = QueryStats(c, pairs)
-    # Words as columns of their own, so that a text is analysed once per row
-    # however many query words look at it.
     texts = [s for s in map(c.scope.slot, stats.fields) if s.is_text and s.stored_tokens is None]
-    tokens = {f"{c.mapping.column_name(s.name)}__tokens": s.tokens() for s in texts}
-    wide = matched.withColumns({**tokens, "_stats": stats.frame().scalar()})
+    wide, added = c.df.where(condition.outline(c.scope)), []
+    for slot in texts:
+        added.append(f"{c.mapping.column_name(slot.name)}__tokens")
+        # Through a generator, so that Spark does not copy the analysis into
+        # the filter that follows.
+        wide = wide.select("*", F.explode(F.array(slot.tokens())).alias(added[-1]))
     scope = Scope(c.mapping, wide.schema)
-    return wide.withColumn("_score", condition.score(scope, stats)).drop("_stats", *tokens)
+    rows = where(wide, condition, scope).withColumn("_stats", stats.frame().scalar())
+    return rows.withColumn("_score", condition.score(scope, stats)).drop("_stats", *added)
 
 
 def postings(c: Collection, field: str) -> DataFrame:
@@ -124,8 +132,10 @@ def postings(c: Collection, field: str) -> DataFrame:
             ),
         )
 
-    counted = c.df.select(c.id, let(F.sort_array(slot.tokens()), runs).alias("_runs"))
-    return counted.select(c.id, F.inline("_runs")).select("term", c.id, "tf", "dl")
+    # The list goes straight into the generator: as a column of its own, Spark
+    # would also test its size in a filter and so work it out twice.
+    counted = c.df.select(c.id, F.inline(let(F.sort_array(slot.tokens()), runs)))
+    return counted.select("term", c.id, "tf", "dl")
 
 
 def term_stats(c: Collection, field: str) -> DataFrame:
@@ -170,8 +180,7 @@ def search_batch(
     if small:
         vocabulary = F.broadcast(vocabulary)
 
-    texts = c.df.select(c.id, slot.tokens().alias("_words"))
-    distinct = texts.select(F.explode(F.array_distinct("_words")).alias("term"))
+    distinct = c.df.select(F.explode(F.array_distinct(slot.tokens())).alias("term"))
     frequencies = distinct.join(vocabulary, "term", "left_semi").groupBy("term").agg(F.count("*").alias("_df"))
     totals = collection_stats(c, field).select(F.struct("n", "avgdl").alias("t")).scalar()
     weighted = asked.join(frequencies, "term").withColumn("_t", totals)
@@ -181,7 +190,10 @@ def search_batch(
         (F.col("_times") * idf(F.col("_t.n"), F.col("_df"))).alias("_weight"),
         F.col("_t.avgdl").alias("_avgdl"),
     )
-    words = texts.select(c.id, F.size("_words").alias("dl"), F.explode("_words").alias("term"))
+    texts = c.df.select(c.id, slot.tokens().alias("_words"))
+    # The outer form keeps Spark from adding a filter on the list's size, which
+    # would analyse every text twice; its null terms fall out of the next join.
+    words = texts.select(c.id, F.size("_words").alias("dl"), F.explode_outer("_words").alias("term"))
     words = words.join(vocabulary, "term", "left_semi")
     entries = words.groupBy(c.id, "dl", "term").agg(F.count("*").alias("tf"))
     if small:

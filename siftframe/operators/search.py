@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftframe.operators.numbering import numbered
-from siftframe.operators.scoring import with_score
+from siftframe.operators.scoring import scored
 from siftframe.operators.sorting import SortKey, orderings, sort_keys
 from siftframe.plans.collection import Collection
 from siftframe.plans.conditions import Condition, where
@@ -42,15 +42,13 @@ def search(
     pass it needs, is only computed when something asks for it. ``size=None``
     returns all hits, unordered.
     """
-    rows = matching(c, condition)
     by_score = sort is None or any(k.field == "_score" for k in sort_keys(c, sort))
-    scored = by_score or track_scores or min_score is not None
-    if scored:
-        rows = with_score(c, rows, condition)
+    with_score = by_score or track_scores or min_score is not None
+    rows = scored(c, condition) if with_score else matching(c, condition)
     if min_score is not None:
         rows = rows.where(F.col("_score") >= min_score)
     keys = sort_keys(c, [SortKey("_score", "desc")] if sort is None else sort)
-    wanted = list(dict.fromkeys([c.id, *(["_score"] if scored else []), *(source or c.df.columns)]))
+    wanted = list(dict.fromkeys([c.id, *(["_score"] if with_score else []), *(source or c.df.columns)]))
     marks = highlight_columns(c, condition, highlight) if highlight else []
     hits = page(c.with_df(rows), keys, from_, size) if size is not None else rows
     return hits.select(*[_source_column(n) for n in wanted], *marks)
@@ -82,8 +80,7 @@ def count(c: Collection, condition: Condition | None = None) -> DataFrame:
 
 def hits_total(c: Collection, condition: Condition | None = None) -> DataFrame:
     """Number of hits and best score, one row."""
-    rows = with_score(c, matching(c, condition), condition)
-    return rows.agg(F.count("*").alias("total"), F.max("_score").alias("max_score"))
+    return scored(c, condition).agg(F.count("*").alias("total"), F.max("_score").alias("max_score"))
 
 
 def highlight_columns(c: Collection, condition: Condition | None, fields: list[str]) -> list[Column]:

@@ -62,6 +62,11 @@ class Condition:
         """True or false, never unknown."""
         return F.coalesce(self.predicate(scope), F.lit(False))
 
+    def outline(self, scope: Scope) -> Column:
+        """A test that every matching row passes and that analyses no text; it
+        thins the rows out before the words of the others are worked out."""
+        return F.lit(True)
+
     @property
     def scores(self) -> bool:
         """Whether the condition counts towards relevance when it must hold."""
@@ -103,6 +108,9 @@ class FieldCondition(Condition):
             return super().negation(scope)
         return slot.column.isNull() | ~self.predicate(scope)
 
+    def outline(self, scope: Scope) -> Column:
+        return F.lit(True) if scope.slot(self.field).is_text else self.predicate(scope)
+
 
 @dataclass(frozen=True)
 class FilterCondition(FieldCondition):
@@ -132,6 +140,13 @@ class Match(FieldCondition):
             found = F.arrays_overlap(slot.tokens(), F.array(*map(F.lit, words)))
         return _or(_literal_tests(slot, words)) & found if _literal(slot) else found
 
+    def outline(self, scope: Scope) -> Column:
+        slot = scope.slot(self.field)
+        if not slot.is_text:
+            return self.predicate(scope)
+        tests = _literal_tests(slot, slot.spec.chain.words(str(self.value))) if _literal(slot) else []
+        return _or(tests) if tests else F.lit(True)
+
     def words(self, scope: Scope) -> list[tuple[str, str]]:
         slot = scope.slot(self.field)
         return [] if slot.is_array and not slot.is_text else [(self.field, str(self.value))]
@@ -161,6 +176,9 @@ class MatchPhrase(FieldCondition):
         found = F.contains(joined, F.lit("\x01" + "\x01".join(words) + "\x01"))
         return _and(_literal_tests(slot, words)) & found if _literal(slot) else found
 
+    def outline(self, scope: Scope) -> Column:
+        return Match(self.field, self.value).outline(scope)
+
     def words(self, scope: Scope) -> list[tuple[str, str]]:
         return Match(self.field, self.value).words(scope)
 
@@ -181,6 +199,9 @@ class MultiMatch(Condition):
     def predicate(self, scope: Scope) -> Column:
         return _or([p.predicate(scope) for p in self._parts()])
 
+    def outline(self, scope: Scope) -> Column:
+        return _or([p.outline(scope) for p in self._parts()])
+
     def words(self, scope: Scope) -> list[tuple[str, str]]:
         return [w for p in self._parts() for w in p.words(scope)]
 
@@ -231,6 +252,9 @@ class Terms(FilterCondition):
             return F.arrays_overlap(slot.terms(), F.array(*[F.lit(v) for v in self.values]))
         return slot.column.isin(list(self.values))
 
+    def outline(self, scope: Scope) -> Column:
+        return F.lit(True) if self.as_join else super().outline(scope)
+
 
 @dataclass(frozen=True)
 class Ids(Terms):
@@ -387,6 +411,9 @@ class Nested(Condition):
             scope.slot(self.path).column, lambda x: self.condition.truth(scope.inside(self.path, x))
         )
 
+    def outline(self, scope: Scope) -> Column:
+        return self.predicate(scope)
+
 
 @dataclass(frozen=True)
 class Expression(Condition):
@@ -401,6 +428,9 @@ class Expression(Condition):
     def predicate(self, scope: Scope) -> Column:
         return self.column
 
+    def outline(self, scope: Scope) -> Column:
+        return self.column
+
 
 @dataclass(frozen=True)
 class Bool(Condition):
@@ -439,6 +469,12 @@ class Bool(Condition):
             parts.append(hits >= m)
         return _and(parts) if parts else F.lit(True)
 
+    def outline(self, scope: Scope) -> Column:
+        parts = [c.outline(scope) for c in (*self.filter, *self.must)]
+        if self.needed:
+            parts.append(_or([c.outline(scope) for c in self.should]))
+        return _and(parts) if parts else F.lit(True)
+
     @property
     def scores(self) -> bool:
         return any(c.scores for c in self.must) or bool(self.should) or self == Bool()
@@ -617,6 +653,9 @@ class KeywordQuery(Condition):
     def predicate(self, scope: Scope) -> Column:
         return self._condition(scope).predicate(scope)
 
+    def outline(self, scope: Scope) -> Column:
+        return self._condition(scope).outline(scope)
+
     def words(self, scope: Scope) -> list[tuple[str, str]]:
         return self._condition(scope).words(scope)
 
