@@ -111,9 +111,13 @@ def agg_cardinality(spark, sf):
     return m.aggregate(lineitem(spark, sf), wanted)
 
 
-@query("agg_cardinality_approx")
+@query("agg_cardinality_approx", "SELECT count(DISTINCT l_partkey) AS parts, true AS near FROM lineitem")
 def agg_cardinality_approx(spark, sf):
-    return m.aggregate(lineitem(spark, sf), {"parts": m.cardinality("l_partkey", rsd=0.01)})
+    """The sketch beside the exact count: within five standard errors."""
+    wanted = {"sketch": m.cardinality("l_partkey", rsd=0.01), "parts": m.cardinality("l_partkey", exact=True)}
+    found = m.aggregate(lineitem(spark, sf), wanted)
+    near = F.abs(F.col("sketch") - F.col("parts")) <= 0.05 * F.col("parts")
+    return found.select("parts", near.alias("near"))
 
 
 PERCENTS = (1, 5, 25, 50, 75, 95, 99, 99.9)
@@ -132,9 +136,23 @@ def agg_percentiles(spark, sf):
     return rounded(found, *found.columns)
 
 
-@query("agg_percentiles_approx")
+@query(
+    "agg_percentiles_approx",
+    "SELECT unnest([1, 5, 25, 50, 75, 95, 99]) AS percent, true AS near",
+)
 def agg_percentiles_approx(spark, sf):
-    return m.aggregate(lineitem(spark, sf), {"p": m.percentiles("l_extendedprice")})
+    """Default percentiles from the sketch; each has its share of rows below it."""
+    c = lineitem(spark, sf)
+    found = m.aggregate(c, {"p": m.percentiles("l_extendedprice")}).select(F.struct("*").alias("p")).scalar()
+    rows = c.df.select("l_extendedprice", found.alias("p"))
+    shares = []
+    for percent in m.DEFAULT_PERCENTS:
+        cut = F.col("p")[f"p_{percent}"]
+        low = F.avg((F.col("l_extendedprice") < cut).cast("double")) * 100
+        high = F.avg((F.col("l_extendedprice") <= cut).cast("double")) * 100
+        near = (low <= percent + 0.05) & (high >= percent - 0.05)
+        shares.append(F.struct(F.lit(percent).alias("percent"), near.alias("near")))
+    return rows.agg(F.array(*shares).alias("s")).select(F.inline("s"))
 
 
 # --- buckets --------------------------------------------------------------

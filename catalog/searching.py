@@ -103,6 +103,30 @@ def range_date(spark, sf):
     return hits(t.orders(spark, sf), year, "o_orderdate")
 
 
+@query(
+    "range_date_expression",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS _id, o_orderdate FROM orders"
+    " WHERE o_orderdate >= TIMESTAMP '1998-02-01' AND o_orderdate <= TIMESTAMP '1998-03-15 10:00:00'",
+)
+def range_date_expression(spark, sf):
+    import datetime as dt
+
+    recent = q.between("o_orderdate", "now-1M/M", "now", now=dt.datetime(1998, 3, 15, 10))
+    return hits(t.orders(spark, sf), recent, "o_orderdate")
+
+
+@query(
+    "search_as_you_type",
+    f"WITH {TURNS} SELECT _id, role FROM turns WHERE len(list_filter(tokens, lambda x: starts_with(x, 'enth'))) > 0",
+)
+def search_as_you_type(spark, sf):
+    from siftframe import Collection, Field, Mapping
+
+    c = t.conversations(spark, sf)
+    typed = Collection(c.df, Mapping({"text": Field("search_as_you_type"), "role": Field("keyword")}))
+    return hits(typed, q.match("text", "Enth"), "role")
+
+
 @query("exists", product_sql("rating IS NOT NULL", "_id, rating"))
 def exists(spark, sf):
     return hits(t.products(spark, sf), q.exists("rating"), "rating")

@@ -42,7 +42,10 @@ def stream_date_histogram(spark, sf):
     return spark.read.parquet(path).withColumn("total", F.round("total", 4))
 
 
-@query("stream_date_histogram_append")
+@query(
+    "stream_date_histogram_append",
+    f"WITH b AS ({EVENTS_SQL}) SELECT * FROM b WHERE key + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)",
+)
 def stream_date_histogram_append(spark, sf):
     buckets = histogram.windowed_counts(
         file_stream(spark, sf, "events"), "ts", "6h", ["event_type"], {"total": F.sum("value")}, watermark="1 day"

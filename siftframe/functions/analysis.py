@@ -312,6 +312,7 @@ class Analyzer:
     filters: tuple[Stage, ...] = ()
     char_filters: tuple[Stage, ...] = ()
     substring_tokens: bool = False
+    query: "Analyzer | None" = None  # how query texts are analysed, if otherwise
 
     def tokens(self, c: Column) -> Column:
         for f in self.char_filters:
@@ -323,7 +324,7 @@ class Analyzer:
 
     def words(self, text: str) -> list[str]:
         """The words of a query text, by the same chain (one-row query)."""
-        return _query_words(self, text)
+        return _query_words(self.query or self, text)
 
 
 @lru_cache(maxsize=4096)
@@ -341,6 +342,8 @@ STANDARD = Analyzer(_lower_first(standard), substring_tokens=True)
 SIMPLE = Analyzer(lowercase_letter, substring_tokens=True)
 WHITESPACE = Analyzer(whitespace)
 KEYWORD = Analyzer(keyword)
+# Words with all their beginnings; a query's words are looked up as typed.
+AS_YOU_TYPE = Analyzer(_lower_first(standard), (token_edge_ngram(1, 20),), substring_tokens=True, query=STANDARD)
 PATTERN = Analyzer(_lower_first(pattern()), substring_tokens=True)
 
 TOKENIZERS: dict[str, Stage] = {

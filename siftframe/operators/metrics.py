@@ -176,6 +176,33 @@ def metric_columns(c: Collection, metrics: dict[str, Metric] | None) -> list[Col
     return [column.alias(label) for label, column in labelled(c, metrics)]
 
 
+# Brackets of up to this many rows are ranked directly.
+BRACKET_ROWS = 100_000
+
+
+@dataclass
+class _Bracket:
+    """The value of ``rank`` lies between ``low`` and ``high``; ``below`` rows
+    lie under ``low``, ``inside`` rows between the two."""
+
+    rank: int
+    low: float
+    high: float
+    below: int
+    inside: int
+    slack: float
+    settled: bool = False
+
+    def shares(self) -> tuple[float, float]:
+        """Shares of the rows inside between which the rank must lie."""
+        at = self.rank - self.below
+        return max(0.0, at / self.inside - self.slack), min(1.0, (at + 1) / self.inside + self.slack)
+
+    @property
+    def open(self) -> bool:
+        return not self.settled and self.low < self.high and self.inside > BRACKET_ROWS
+
+
 def exact_percentiles(
     c: Collection,
     field: str,
@@ -186,65 +213,72 @@ def exact_percentiles(
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, without sorting the table.
 
-    A sketch of bounded size brackets every wanted rank within a few
-    1/accuracy of all rows. The next pass counts what lies below each bracket
-    and proves that the rank is inside, widening brackets that miss. Only the
-    values inside the brackets are then counted and ranked.
+    Every wanted rank starts with all rows as its bracket. A sketch of bounded
+    size narrows the bracket to a few 1/accuracy of its rows, a count proves
+    that the rank is inside (or widens the next attempt), and this repeats until
+    a bracket is one value or few rows. Only those rows are then ranked.
     """
     percents = percents or DEFAULT_PERCENTS
     value = c.scope.slot(field).column.cast("double")
     values = matching(c, condition).select(value.alias("v")).where("v IS NOT NULL")
     labels = [f"{name}_{percent_label(p)}" for p in percents]
-    total = values.agg(F.count("*")).head()[0]
-    spark = c.df.sparkSession
-    if not total:
-        return spark.range(1).select(*[F.lit(None).cast("double").alias(x) for x in labels])
-
-    ranks = sorted({r for p in percents for r in _neighbours(p, total)})
-    slack = 4.0 / accuracy
-    while True:
-        low = [max(0.0, r / total - slack) for r in ranks]
-        high = [min(1.0, (r + 1) / total + slack) for r in ranks]
-        cut = values.agg(
-            F.percentile_approx("v", low, accuracy).alias("low"),
-            F.percentile_approx("v", high, accuracy).alias("high"),
-            F.min("v").alias("min"),
-            F.max("v").alias("max"),
-        ).head()
-        brackets = [
-            (cut.min if a <= 0 else lo, cut.max if b >= 1 else hi)
-            for a, b, lo, hi in zip(low, high, cut.low, cut.high)
+    whole = values.agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).head()
+    if not whole.n:
+        return c.df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(x) for x in labels])
+
+    ranks = sorted({r for p in percents for r in _neighbours(p, whole.n)})
+    brackets = [_Bracket(r, whole.low, whole.high, 0, whole.n, 4.0 / accuracy) for r in ranks]
+    while any(b.open for b in brackets):
+        _narrow(values, [b for b in brackets if b.open], accuracy)
+    row = _values_at(values, brackets)
+    return row.select(*[_interpolated(p, whole.n, ranks).alias(x) for p, x in zip(percents, labels)])
+
+
+def _narrow(values: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
+    inside = [F.when(F.col("v").between(b.low, b.high), F.col("v")) for b in brackets]
+    cuts = values.agg(
+        *[F.percentile_approx(v, list(b.shares()), accuracy).alias(f"c{i}") for i, (b, v) in enumerate(zip(brackets, inside))]
+    ).head()
+    counts = []
+    for i, b in enumerate(brackets):
+        # The outermost shares keep the old ends, which are known to hold.
+        (first, last), (low, high) = b.shares(), cuts[i]
+        low, high = (b.low if first <= 0 else low), (b.high if last >= 1 else high)
+        counts += [
+            F.count_if(F.col("v") < low).alias(f"below{i}"),
+            F.count_if(F.col("v").between(low, high)).alias(f"inside{i}"),
+            F.lit(low).alias(f"low{i}"),
+            F.lit(high).alias(f"high{i}"),
         ]
-        tests = [
-            expr
-            for i, (lo, hi) in enumerate(brackets)
-            for expr in (
-                F.count_if(F.col("v") < lo).alias(f"below{i}"),
-                F.count_if(F.col("v").between(lo, hi)).alias(f"inside{i}"),
-            )
-        ]
-        seen = values.agg(*tests).head()
-        below = [seen[f"below{i}"] for i in range(len(ranks))]
-        if all(b <= r < b + seen[f"inside{i}"] for i, (r, b) in enumerate(zip(ranks, below))):
-            break
-        slack *= 16
-
-    # Value of each rank: the smallest value whose running count passes it.
-    hits = F.filter(
-        F.array(
-            *[
-                F.when(F.col("v").between(lo, hi), F.struct(F.lit(i).alias("i"), F.lit(r - b).alias("skip")))
-                for i, ((lo, hi), r, b) in enumerate(zip(brackets, ranks, below))
-            ]
-        ),
-        lambda x: x.isNotNull(),
-    )
-    counted = values.groupBy("v").agg(F.count("*").alias("n")).select("v", "n", F.inline(hits))
+    seen = values.agg(*counts).head()
+    for i, b in enumerate(brackets):
+        low, high, below, count = (seen[f"{x}{i}"] for x in ("low", "high", "below", "inside"))
+        if below <= b.rank < below + count:
+            # No narrower than before: few distinct values, each in many rows.
+            b.settled = (low, high) == (b.low, b.high)
+            b.low, b.high, b.below, b.inside = low, high, below, count
+        else:
+            b.slack *= 16
+
+
+def _values_at(values: DataFrame, brackets: list[_Bracket]) -> DataFrame:
+    """One row with the value of every bracket's rank: the smallest value whose
+    running count passes it, over the distinct values of the bracket."""
+    spans = [
+        F.when(F.col("v").between(b.low, b.high), F.struct(F.lit(i).alias("i"), F.lit(b.rank - b.below).alias("skip")))
+        for i, b in enumerate(brackets)
+        if b.low < b.high
+    ]
+    known = [F.lit(b.low) if b.low == b.high else F.max(F.when(F.col("i") == i, F.col("v"))) for i, b in enumerate(brackets)]
+    names = [f"r{i}" for i in range(len(brackets))]
+    if not spans:
+        return values.sparkSession.range(1).select(*[k.alias(n) for k, n in zip(known, names)])
+    counted = values.groupBy("v").agg(F.count("*").alias("n"))
+    counted = counted.select("v", "n", F.inline(F.array_compact(F.array(*spans))))
     running = F.sum("n").over(W.partitionBy("i").orderBy("v"))
     ranked = counted.withColumn("upto", running).where(F.col("upto") > F.col("skip"))
     at_rank = ranked.groupBy("i").agg(F.min("v").alias("v"))
-    row = at_rank.agg(*[F.max(F.when(F.col("i") == i, F.col("v"))).alias(f"r{i}") for i in range(len(ranks))])
-    return row.select(*[_interpolated(p, total, ranks).alias(x) for p, x in zip(percents, labels)])
+    return at_rank.agg(*[k.alias(n) for k, n in zip(known, names)])
 
 
 def _neighbours(percent: float, total: int) -> tuple[int, int]:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftframe.functions import geo
+from siftframe.functions.dates import resolve_date, timestamp_literal
 from siftframe.plans.collection import Scope, Slot
 
 # Beyond this many listed values a top-level condition becomes a semi join.
@@ -269,23 +270,26 @@ class Range(FilterCondition):
     lte: Any = None
     gt: Any = None
     lt: Any = None
+    now: dt.datetime | None = None
 
-    def _test(self, c: Column) -> Column:
+    def _test(self, slot: Slot, c: Column) -> Column:
+        bound = lambda v: F.lit(v) if not _is_date(slot, v) else timestamp_literal(resolve_date(v, self.now))
         parts = []
         if self.gte is not None:
-            parts.append(c >= _bound(self.gte))
+            parts.append(c >= bound(self.gte))
         if self.gt is not None:
-            parts.append(c > _bound(self.gt))
+            parts.append(c > bound(self.gt))
         if self.lte is not None:
-            parts.append(c <= _bound(self.lte))
+            parts.append(c <= bound(self.lte))
         if self.lt is not None:
-            parts.append(c < _bound(self.lt))
+            parts.append(c < bound(self.lt))
         return _and(parts)
 
     def predicate(self, scope: Scope) -> Column:
         if (self.gte, self.lte, self.gt, self.lt) == (None,) * 4:
             return Exists(self.field).predicate(scope)
-        return _any(scope.slot(self.field), self._test)
+        slot = scope.slot(self.field)
+        return _any(slot, lambda c: self._test(slot, c))
 
     def negation(self, scope: Scope) -> Column:
         if (self.gte, self.lte, self.gt, self.lt) == (None,) * 4:
@@ -293,12 +297,10 @@ class Range(FilterCondition):
         return super().negation(scope)
 
 
-def _bound(value: Any) -> Column:
-    if isinstance(value, (dt.datetime, dt.date)):
-        return F.lit(value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value.isoformat()).cast(
-            "timestamp_ntz"
-        )
-    return F.lit(value)
+def _is_date(slot: Slot, value: Any) -> bool:
+    """Dates, and texts such as ``now-7d/d`` for a field declared as a date."""
+    declared = slot.spec is not None and slot.spec.type == "date"
+    return isinstance(value, (dt.datetime, dt.date)) or (declared and isinstance(value, str))
 
 
 @dataclass(frozen=True)
@@ -538,8 +540,10 @@ def ids(*values: Any, field: str = "_id") -> Ids:
     return Ids(field, listed)
 
 
-def between(field: str, gte: Any = None, lte: Any = None, *, gt: Any = None, lt: Any = None) -> Range:
-    return Range(field, gte, lte, gt, lt)
+def between(
+    field: str, gte: Any = None, lte: Any = None, *, gt: Any = None, lt: Any = None, now: dt.datetime | None = None
+) -> Range:
+    return Range(field, gte, lte, gt, lt, now)
 
 
 def exists(field: str) -> Exists:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftframe.functions.analysis import Analyzer, STANDARD, named_analyzer
+from siftframe.functions.analysis import AS_YOU_TYPE, STANDARD, Analyzer, named_analyzer
 
 # Declared type name -> Spark type. ``scaled_float``, ``object``
 # and ``nested`` depend on options and are resolved in ``Field.spark_type``.
@@ -80,6 +80,8 @@ class Field:
 
     @property
     def chain(self) -> Analyzer:
+        if self.type in ("completion", "search_as_you_type") and self.analyzer is STANDARD:
+            return AS_YOU_TYPE
         return named_analyzer(self.analyzer) if isinstance(self.analyzer, str) else self.analyzer
 
     def spark_type(self) -> str:

@@ -54,7 +54,9 @@ def test_metrics_of_nothing(sales):
 
 
 @pytest.mark.parametrize("shape", ["spread", "one value", "heavy value", "outlier", "two", "single"])
-def test_exact_percentiles(spark, shape):
+@pytest.mark.parametrize("bracket_rows", [1_000_000, 20])
+def test_exact_percentiles(spark, monkeypatch, shape, bracket_rows):
+    monkeypatch.setattr(m, "BRACKET_ROWS", bracket_rows)
     rng = random.Random(5)
     values = {
         "spread": [rng.gauss(0, 1) for _ in range(3000)],
