@@ -177,7 +177,7 @@ def metric_columns(c: Collection, metrics: dict[str, Metric] | None) -> list[Col
 
 
 # Brackets of up to this many rows are ranked directly.
-BRACKET_ROWS = 100_000
+BRACKET_ROWS = 10_000
 
 
 @dataclass
@@ -209,7 +209,7 @@ def exact_percentiles(
     *percents: float,
     condition: Condition | None = None,
     name: str = "p",
-    accuracy: int = 100_000,
+    accuracy: int = 20_000,
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, without sorting the table.
 
@@ -235,10 +235,15 @@ def exact_percentiles(
 
 
 def _narrow(values: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
-    inside = [F.when(F.col("v").between(b.low, b.high), F.col("v")) for b in brackets]
-    cuts = values.agg(
-        *[F.percentile_approx(v, list(b.shares()), accuracy).alias(f"c{i}") for i, (b, v) in enumerate(zip(brackets, inside))]
-    ).head()
+    # Ranks that still share a bracket share its sketch.
+    spans = list(dict.fromkeys((b.low, b.high) for b in brackets))
+    shares = {span: [x for b in brackets if (b.low, b.high) == span for x in b.shares()] for span in spans}
+    sketches = [
+        F.percentile_approx(F.when(F.col("v").between(*span), F.col("v")), shares[span], accuracy) for span in spans
+    ]
+    found = values.agg(*[x.alias(f"c{i}") for i, x in enumerate(sketches)]).head()
+    ends = {span: iter(found[i]) for i, span in enumerate(spans)}
+    cuts = [(next(ends[b.low, b.high]), next(ends[b.low, b.high])) for b in brackets]
     counts = []
     for i, b in enumerate(brackets):
         # The outermost shares keep the old ends, which are known to hold.
@@ -273,8 +278,8 @@ def _values_at(values: DataFrame, brackets: list[_Bracket]) -> DataFrame:
     names = [f"r{i}" for i in range(len(brackets))]
     if not spans:
         return values.sparkSession.range(1).select(*[k.alias(n) for k, n in zip(known, names)])
-    counted = values.groupBy("v").agg(F.count("*").alias("n"))
-    counted = counted.select("v", "n", F.inline(F.array_compact(F.array(*spans))))
+    placed = values.select("v", F.inline(F.array_compact(F.array(*spans))))
+    counted = placed.groupBy("i", "skip", "v").agg(F.count("*").alias("n"))
     running = F.sum("n").over(W.partitionBy("i").orderBy("v"))
     ranked = counted.withColumn("upto", running).where(F.col("upto") > F.col("skip"))
     at_rank = ranked.groupBy("i").agg(F.min("v").alias("v"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from siftframe.functions.analysis import let
 from siftframe.plans.collection import Collection, Scope, Slot
 from siftframe.plans.conditions import Condition, where
-from siftframe.session import fits_broadcast
+from siftframe.session import fits_broadcast, stage
 
 # The usual BM25 parameters.
 K1 = 1.2
@@ -156,6 +156,12 @@ def collection_stats(c: Collection, field: str) -> DataFrame:
     return sizes.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
 
 
+# Occurrences per wanted row that are scored to find a first threshold.
+_PROBE = 100
+# Sums of the same parts may differ in their last digits.
+_ROUNDING = 1e-6
+
+
 def search_batch(
     c: Collection,
     field: str,
@@ -166,11 +172,17 @@ def search_batch(
 ) -> DataFrame:
     """Top ``k`` rows for every query of a table ``(query_id, query_text)``.
 
-    Words that no query uses are dropped before anything is shuffled, and the
-    others are counted per row with map-side sums. A query table proven small is
-    broadcast to them; a larger one is joined by word and salt, because one word
-    may hold much of all occurrences. Scores add up map-side and the ranking
-    drops rows beyond ``k`` before its shuffle.
+    Words that no query uses are dropped before anything is shuffled. A frequent
+    word occurs in many rows and in many queries, so pairing all of them would
+    dominate the work. The result stays exact without that (the MaxScore
+    argument of Turtle and Flood, 1995):
+
+    1. each query's rarest words give partial scores; the k-th best of them is
+       a threshold that the final k-th score cannot fall below;
+    2. the most frequent words whose greatest possible scores add up to less
+       than the threshold cannot lift a row into the result on their own, so
+       only rows with one of the other words are candidates;
+    3. candidates that could still reach the threshold get their full score.
     """
     slot = c.scope.slot(field)
     asked = queries.select(query_id, F.explode(slot.spec.chain.tokens(F.col(query_text))).alias("term"))
@@ -180,32 +192,69 @@ def search_batch(
     if small:
         vocabulary = F.broadcast(vocabulary)
 
-    distinct = c.df.select(F.explode(F.array_distinct(slot.tokens())).alias("term"))
-    frequencies = distinct.join(vocabulary, "term", "left_semi").groupBy("term").agg(F.count("*").alias("_df"))
+    texts = c.df.select(c.id, slot.tokens().alias("_words"))
+    # The outer form keeps Spark from adding a filter on the list's size, which
+    # would analyse every text twice; its null terms fall out of the next join.
+    words = texts.select(c.id, F.size("_words").alias("dl"), F.explode_outer("_words").alias("term"))
+    words = words.join(vocabulary, "term", "left_semi")
+    entries = stage(words.groupBy(c.id, "dl", "term").agg(F.count("*").alias("tf")), "postings")
+
+    frequencies = entries.groupBy("term").agg(F.count("*").alias("_df"))
     totals = collection_stats(c, field).select(F.struct("n", "avgdl").alias("t")).scalar()
-    weighted = asked.join(frequencies, "term").withColumn("_t", totals)
-    weighted = weighted.select(
+    weights = asked.join(frequencies, "term").withColumn("_t", totals)
+    weights = weights.select(
         query_id,
         "term",
+        "_df",
         (F.col("_times") * idf(F.col("_t.n"), F.col("_df"))).alias("_weight"),
         F.col("_t.avgdl").alias("_avgdl"),
     )
-    texts = c.df.select(c.id, slot.tokens().alias("_words"))
-    # The outer form keeps Spark from adding a filter on the list's size, which
-    # would analyse every text twice; its null terms fall out of the next join.
-    words = texts.select(c.id, F.size("_words").alias("dl"), F.explode_outer("_words").alias("term"))
-    words = words.join(vocabulary, "term", "left_semi")
-    entries = words.groupBy(c.id, "dl", "term").agg(F.count("*").alias("tf"))
+    weights = stage(weights, "weights")
+
+    # 1. Windows over a query's own words.
+    rarest = W.partitionBy(query_id).orderBy("_df", "term").rowsBetween(W.unboundedPreceding, -1)
+    seen = F.coalesce(F.sum("_df").over(rarest), F.lit(0))
+    probe = weights.withColumn("_seen", seen).where(F.col("_seen") < _PROBE * k)
+    best = W.partitionBy(query_id).orderBy(F.desc("_score"), F.asc(c.id))
+    ranked = _partial_scores(c, entries, probe, query_id, small).withColumn("rank", F.row_number().over(best))
+    thresholds = ranked.where(F.col("rank") <= k).where(F.col("rank") == k)
+    thresholds = thresholds.select(query_id, (F.col("_score") - _ROUNDING).alias("_threshold"))
+
+    # 2. The threshold is null for a query with too few rows: all words count.
+    most_frequent = W.partitionBy(query_id).orderBy(F.desc("_df"), "term").rowsBetween(W.unboundedPreceding, 0)
+    bounded = weights.withColumn("_bound", F.sum(F.col("_weight") * (K1 + 1)).over(most_frequent))
+    bounded = bounded.join(thresholds, query_id, "left")
+    lifts = F.coalesce(F.col("_bound") >= F.col("_threshold"), F.lit(True))
+    bounded = stage(bounded.withColumn("_lifts", lifts), "bounds")
+    rest = bounded.where(~F.col("_lifts"))
+    limits = rest.groupBy(query_id).agg(F.max("_bound").alias("_rest"), F.max("_threshold").alias("_threshold"))
+
+    # 3. Scores of candidates, completed by the words left aside.
+    partial = _partial_scores(c, entries, bounded.where("_lifts"), query_id, small)
+    candidates = partial.join(limits, query_id, "left")
+    reach = F.col("_score") + F.col("_rest") >= F.col("_threshold")
+    candidates = candidates.where(F.coalesce(reach, F.lit(True))).select(query_id, c.id, "_score")
+    missing = candidates.select(query_id, c.id).join(rest.select(query_id, "term", "_weight", "_avgdl"), query_id)
+    added = missing.join(entries, [c.id, "term"]).select(query_id, c.id, _part().alias("_score"))
+    scores = candidates.unionByName(added).groupBy(query_id, c.id).agg(F.sum("_score").alias("_score"))
+    # Equal scores must tie exactly, whatever order their parts were added in.
+    scores = scores.withColumn("_score", F.round("_score", 9))
+    return scores.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+def _part() -> Column:
+    return F.col("_weight") * saturation(F.col("tf"), F.col("dl"), F.col("_avgdl"))
+
+
+def _partial_scores(c: Collection, entries: DataFrame, weights: DataFrame, query_id: str, small: bool) -> DataFrame:
+    """Scores over the given words. Weights proven small are broadcast; others
+    meet the postings by word and salt, as one word may hold many of them."""
+    weights = weights.select(query_id, "term", "_weight", "_avgdl")
     if small:
-        pairs = entries.join(F.broadcast(weighted), "term")
+        pairs = entries.join(F.broadcast(weights), "term")
     else:
         salts = 32
-        copies = weighted.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        copies = weights.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         spread = entries.withColumn("_salt", F.pmod(F.xxhash64(c.id), F.lit(salts)).cast("int"))
         pairs = spread.join(copies, ["term", "_salt"])
-    part = F.col("_weight") * saturation(F.col("tf"), F.col("dl"), F.col("_avgdl"))
-    scores = pairs.groupBy(query_id, c.id).agg(F.sum(part).alias("_score"))
-    # Equal scores must tie exactly, whatever order their parts were added in.
-    scores = scores.withColumn("_score", F.round("_score", 9))
-    order = W.partitionBy(query_id).orderBy(F.desc("_score"), F.asc(c.id))
-    return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return pairs.groupBy(query_id, c.id).agg(F.sum(_part()).alias("_score"))

@@ -1,6 +1,7 @@
 """Scores, highlights, sorting and paging."""
 
 import math
+import random
 
 import pytest
 
@@ -76,6 +77,38 @@ def test_batch_equals_single(spark, texts):
         assert [y for _, y in got] == pytest.approx([y for _, y in want])
 
 
+@pytest.mark.parametrize("probe", [1, 100])
+def test_batch_is_exact_on_skewed_words(spark, monkeypatch, probe):
+    """Words of very different frequency, equal rows, more rows than k."""
+    monkeypatch.setattr(scoring, "_PROBE", probe)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(60)]
+    odds = [1 / (i + 1) for i in range(60)]
+    rows = [(f"{i:04d}", " ".join(rng.choices(words, odds, k=rng.randint(1, 40)))) for i in range(500)]
+    rows += [(f"copy{i}", rows[7][1]) for i in range(8)]
+    c = Collection(spark.createDataFrame(rows, "_id string, text string"), Mapping({"text": Field("text")}))
+    asked = [(i, " ".join(rng.choices(words, odds, k=rng.randint(1, 12)))) for i in range(25)] + [(99, "w0"), (98, "w0 w59 w58")]
+    found = scoring.search_batch(c, "text", spark.createDataFrame(asked, "qid int, text string"), k=5).collect()
+    lists = {i: x.split() for i, x in rows}
+    n, avg = len(lists), sum(map(len, lists.values())) / len(lists)
+    df = {w: sum(w in x for x in lists.values()) for w in words}
+    weight = {w: math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) for w in words}
+    for qid, text in asked:
+        totals = {}
+        for i, x in lists.items():
+            parts = [
+                weight[w] * x.count(w) * 2.2 / (x.count(w) + 1.2 * (0.25 + 0.75 * len(x) / avg))
+                for w in text.split()
+                if w in x
+            ]
+            if parts:
+                totals[i] = round(sum(parts), 9)
+        want = sorted(totals.items(), key=lambda kv: (-kv[1], kv[0]))[:5]
+        got = [(r["_id"], r["_score"]) for r in sorted(found, key=lambda r: r["rank"]) if r.qid == qid]
+        assert [x for x, _ in got] == [x for x, _ in want]
+        assert [y for _, y in got] == pytest.approx([y for _, y in want])
+
+
 def test_batch_with_large_query_table(spark, texts, monkeypatch):
     queries = spark.createDataFrame([(1, "red fox"), (2, "hound nothing")], "qid int, text string")
     small = scoring.search_batch(texts, "text", queries, k=3).collect()
