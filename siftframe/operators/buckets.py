@@ -15,7 +15,7 @@ from siftframe.operators.metrics import Metric, labelled, metric_columns
 from siftframe.operators.numbering import numbered
 from siftframe.operators.search import TOP_ROWS, matching
 from siftframe.plans.collection import Collection
-from siftframe.plans.conditions import Condition, Exists
+from siftframe.plans.conditions import Condition, Exists, lifted
 from siftframe.session import stage
 
 DEFAULT_TERMS = 10
@@ -137,7 +137,7 @@ class Filters:
     conditions: dict[str, Condition]
 
     def tests(self, c: Collection) -> dict[str, Column]:
-        return {name: cond.truth(c.scope) for name, cond in self.conditions.items()}
+        return {name: lifted(cond).truth(c.scope) for name, cond in self.conditions.items()}
 
     def keys(self, c: Collection) -> tuple[Column, bool]:
         hits = [F.when(test, F.lit(name)) for name, test in self.tests(c).items()]

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftframe.plans.collection import Collection
-from siftframe.plans.conditions import Bool, Condition, MatchAll
+from siftframe.plans.conditions import Bool, Condition, MatchAll, lifted
 from siftframe.session import stage
 
 ACTIONS = ("index", "create", "update", "upsert", "delete")
@@ -320,7 +320,7 @@ def update_by_query(
     """
     if not changes:
         raise ValueError("an update by query needs at least one change")
-    hit = F.lit(True) if condition is None else condition.truth(c.scope)
+    hit = F.lit(True) if condition is None else lifted(condition).truth(c.scope)
     types = {f.name: f.dataType for f in c.df.schema.fields}
     new = {}
     for name, value in changes.items():
@@ -356,6 +356,6 @@ def script_update(c: Collection, condition: Condition | None, expressions: dict[
 def delete_by_query(c: Collection, condition: Condition) -> DataFrame:
     """Drop the rows that satisfy the condition. A row for which the condition
     is unknown stays; an empty condition is refused."""
-    if condition is None or isinstance(condition, MatchAll) or condition == Bool():
+    if condition is None or isinstance(condition, MatchAll) or (isinstance(condition, Bool) and condition == Bool()):
         raise ValueError("a delete by query needs a condition")
-    return c.df.where(condition.negation(c.scope))
+    return c.df.where(lifted(condition).negation(c.scope))

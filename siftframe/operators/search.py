@@ -11,7 +11,7 @@ from siftframe.operators.numbering import numbered
 from siftframe.operators.scoring import scored
 from siftframe.operators.sorting import SortKey, orderings, sort_keys
 from siftframe.plans.collection import Collection
-from siftframe.plans.conditions import Condition, where
+from siftframe.plans.conditions import Condition, lifted, where
 from siftframe.session import stage
 
 # A window up to this many rows is kept per task while picking the top; a
@@ -42,6 +42,7 @@ def search(
     pass it needs, is only computed when something asks for it. ``size=None``
     returns all hits, unordered.
     """
+    condition = None if condition is None else lifted(condition)
     by_score = sort is None or any(k.field == "_score" for k in sort_keys(c, sort))
     with_score = by_score or track_scores or min_score is not None
     rows = scored(c, condition) if with_score else matching(c, condition)

@@ -586,19 +586,25 @@ def expression(column: Column) -> Expression:
     return Expression(column)
 
 
-def all_of(*conditions: Condition) -> Bool:
+def lifted(condition: Condition | Column) -> Condition:
+    """Plain Spark columns are accepted wherever a condition is."""
+    return Expression(condition) if isinstance(condition, Column) else condition
+
+
+def all_of(*conditions: Condition | Column) -> Bool:
     """Every condition holds; exact ones restrict, textual ones also score."""
+    conditions = tuple(map(lifted, conditions))
     return Bool(
         must=tuple(c for c in conditions if c.scores), filter=tuple(c for c in conditions if not c.scores)
     )
 
 
-def any_of(*conditions: Condition, min_match: int | str = 1) -> Bool:
-    return Bool(should=conditions, minimum_should_match=min_match)
+def any_of(*conditions: Condition | Column, min_match: int | str = 1) -> Bool:
+    return Bool(should=tuple(map(lifted, conditions)), minimum_should_match=min_match)
 
 
-def none_of(*conditions: Condition) -> Bool:
-    return Bool(must_not=conditions)
+def none_of(*conditions: Condition | Column) -> Bool:
+    return Bool(must_not=tuple(map(lifted, conditions)))
 
 
 @dataclass(frozen=True)
@@ -680,8 +686,7 @@ def where(df: DataFrame, condition: Condition | Column | None, scope: Scope) ->
     clauses become semi and anti joins."""
     if condition is None:
         return df
-    if isinstance(condition, Column):
-        return df.where(condition)
+    condition = lifted(condition)
     if isinstance(condition, Terms) and condition.as_join:
         return _value_join(df, condition, scope, "left_semi")
     if not isinstance(condition, Bool):

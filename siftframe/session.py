@@ -40,14 +40,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# Staged tables of this process, for ``drop_staged``.
+_staged: list[str] = []
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a fixed snapshot
     that survives the loss of any executor."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables staged so far by this process and return their number.
+    Call it once the results that were built on them are written."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    dropped = 0
+    while _staged:
+        path = hadoop.Path(_staged.pop())
+        dropped += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return dropped
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; stops reading beyond."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -1,6 +1,7 @@
 """Boolean logic, null and list behaviour of every leaf."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from siftframe import Collection, Field, Mapping
 from siftframe.operators.search import count, search
@@ -135,6 +136,14 @@ def test_long_lists_become_joins(shop):
     assert "LeftSemi" in plan
 
 
+def test_columns_stand_in_for_conditions(shop):
+    cheap = F.col("price") < 100
+    assert found(shop, cheap) == "14"
+    assert found(shop, q.all_of(cheap, q.term("category", "sport"))) == "1"
+    assert found(shop, q.none_of(cheap)) == "235"
+    assert count(shop, cheap).head()["count"] == 2
+
+
 def test_table_of_values(spark, shop):
     listed = spark.createDataFrame([("sport",), (None,)], "v string")
     assert found(shop, q.all_of(q.terms("category", listed))) == "12"

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from siftframe import Collection, Field, Mapping
+from siftframe import Collection, Field, Mapping, session
 from siftframe.operators import paging, scoring
 from siftframe.operators import search as s
 from siftframe.operators.sorting import SortKey, orderings, sort_keys
@@ -201,6 +201,13 @@ def test_scroll_is_a_partition_of_the_rows(goods):
     assert all(r["_batch"] == r["_position"] // 6 for r in rows)
 
 
+def test_staged_tables_can_be_dropped(goods):
+    rows = paging.scroll_export(goods, size=10)
+    assert rows.count() == 60
+    assert session.drop_staged(goods.df.sparkSession) >= 1
+    assert session.drop_staged(goods.df.sparkSession) == 0
+
+
 def test_export_writes_every_row(goods, tmp_path):
     batches = paging.scroll_export(goods, size=10)
     paging.write_batches(batches, str(tmp_path / "out"), "json")
