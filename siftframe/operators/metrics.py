@@ -182,10 +182,12 @@ BRACKET_ROWS = 10_000
 
 @dataclass
 class _Bracket:
-    """The value of ``rank`` lies between ``low`` and ``high``; ``below`` rows
-    lie under ``low``, ``inside`` rows between the two."""
+    """The values of the ranks ``first`` and ``last``, which are neighbours, lie
+    between ``low`` and ``high``; ``below`` rows lie under ``low``, ``inside``
+    rows between the two."""
 
-    rank: int
+    first: int
+    last: int
     low: float
     high: float
     below: int
@@ -194,9 +196,9 @@ class _Bracket:
     settled: bool = False
 
     def shares(self) -> tuple[float, float]:
-        """Shares of the rows inside between which the rank must lie."""
-        at = self.rank - self.below
-        return max(0.0, at / self.inside - self.slack), min(1.0, (at + 1) / self.inside + self.slack)
+        """Shares of the rows inside between which the ranks must lie."""
+        start, end = self.first - self.below, self.last - self.below + 1
+        return max(0.0, start / self.inside - self.slack), min(1.0, end / self.inside + self.slack)
 
     @property
     def open(self) -> bool:
@@ -226,12 +228,12 @@ def exact_percentiles(
     if not whole.n:
         return c.df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(x) for x in labels])
 
-    ranks = sorted({r for p in percents for r in _neighbours(p, whole.n)})
-    brackets = [_Bracket(r, whole.low, whole.high, 0, whole.n, 4.0 / accuracy) for r in ranks]
+    pairs = sorted({_neighbours(p, whole.n) for p in percents})
+    brackets = [_Bracket(*pair, whole.low, whole.high, 0, whole.n, 4.0 / accuracy) for pair in pairs]
     while any(b.open for b in brackets):
         _narrow(values, [b for b in brackets if b.open], accuracy)
     row = _values_at(values, brackets)
-    return row.select(*[_interpolated(p, whole.n, ranks).alias(x) for p, x in zip(percents, labels)])
+    return row.select(*[_interpolated(p, whole.n, pairs).alias(x) for p, x in zip(percents, labels)])
 
 
 def _narrow(values: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
@@ -258,7 +260,7 @@ def _narrow(values: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
     seen = values.agg(*counts).head()
     for i, b in enumerate(brackets):
         low, high, below, count = (seen[f"{x}{i}"] for x in ("low", "high", "below", "inside"))
-        if below <= b.rank < below + count:
+        if below <= b.first and b.last < below + count:
             # No narrower than before: few distinct values, each in many rows.
             b.settled = (low, high) == (b.low, b.high)
             b.low, b.high, b.below, b.inside = low, high, below, count
@@ -267,23 +269,29 @@ def _narrow(values: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:
 
 
 def _values_at(values: DataFrame, brackets: list[_Bracket]) -> DataFrame:
-    """One row with the value of every bracket's rank: the smallest value whose
-    running count passes it, over the distinct values of the bracket."""
+    """One row with the values ``a`` and ``b`` of every bracket's two ranks: the
+    smallest value whose running count passes the rank, over the distinct values
+    of the bracket."""
     spans = [
-        F.when(F.col("v").between(b.low, b.high), F.struct(F.lit(i).alias("i"), F.lit(b.rank - b.below).alias("skip")))
+        F.when(
+            F.col("v").between(b.low, b.high),
+            F.struct(F.lit(i).alias("i"), F.lit(b.first - b.below).alias("a"), F.lit(b.last - b.below).alias("b")),
+        )
         for i, b in enumerate(brackets)
         if b.low < b.high
     ]
-    known = [F.lit(b.low) if b.low == b.high else F.max(F.when(F.col("i") == i, F.col("v"))) for i, b in enumerate(brackets)]
-    names = [f"r{i}" for i in range(len(brackets))]
+    known = [
+        (F.lit(b.low) if b.low == b.high else F.max(F.when(F.col("i") == i, F.col(side)))).alias(f"{side}{i}")
+        for i, b in enumerate(brackets)
+        for side in "ab"
+    ]
     if not spans:
-        return values.sparkSession.range(1).select(*[k.alias(n) for k, n in zip(known, names)])
+        return values.sparkSession.range(1).select(*known)
     placed = values.select("v", F.inline(F.array_compact(F.array(*spans))))
-    counted = placed.groupBy("i", "skip", "v").agg(F.count("*").alias("n"))
-    running = F.sum("n").over(W.partitionBy("i").orderBy("v"))
-    ranked = counted.withColumn("upto", running).where(F.col("upto") > F.col("skip"))
-    at_rank = ranked.groupBy("i").agg(F.min("v").alias("v"))
-    return at_rank.agg(*[k.alias(n) for k, n in zip(known, names)])
+    counted = placed.groupBy("i", "a", "b", "v").agg(F.count("*").alias("n"))
+    ranked = counted.withColumn("upto", F.sum("n").over(W.partitionBy("i").orderBy("v")))
+    passed = [F.min(F.when(F.col("upto") > F.col(side), F.col("v"))).alias(side) for side in "ab"]
+    return ranked.groupBy("i").agg(*passed).agg(*known)
 
 
 def _neighbours(percent: float, total: int) -> tuple[int, int]:
@@ -292,8 +300,8 @@ def _neighbours(percent: float, total: int) -> tuple[int, int]:
     return below, min(below + 1, total - 1)
 
 
-def _interpolated(percent: float, total: int, ranks: list[int]) -> Column:
-    below, above = _neighbours(percent, total)
-    share = percent / 100 * (total - 1) - below
-    lo, hi = F.col(f"r{ranks.index(below)}"), F.col(f"r{ranks.index(above)}")
-    return lo + (hi - lo) * share
+def _interpolated(percent: float, total: int, pairs: list[tuple[int, int]]) -> Column:
+    pair = _neighbours(percent, total)
+    share = percent / 100 * (total - 1) - pair[0]
+    low, high = F.col(f"a{pairs.index(pair)}"), F.col(f"b{pairs.index(pair)}")
+    return low + (high - low) * share
