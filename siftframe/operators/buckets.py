@@ -277,8 +277,12 @@ def fill_gaps(grouped: DataFrame, ordinal: str, by: list[str] | None = None) ->
     parent if ``by`` names its keys. Numbers are laid out block by block, so a
     long span is spread over tasks instead of being one long list."""
     by = by or []
-    ends = grouped.groupBy(*by).agg(F.min(ordinal).alias("_lo"), F.max(ordinal).alias("_hi"))
-    ends = ends.where(F.col("_lo").isNotNull())
+    # The last bucket is taken with all of its columns: both readers of the bucket
+    # table then want the same ones and share its aggregation, instead of each
+    # scanning the rows behind it.
+    others = [n for n in grouped.columns if n not in (ordinal, *by)]
+    ends = grouped.groupBy(*by).agg(F.min(ordinal).alias("_lo"), F.max(F.struct(ordinal, *others)).alias("_last"))
+    ends = ends.select(*by, "_lo", F.col(f"_last.{ordinal}").alias("_hi")).where(F.col("_lo").isNotNull())
     starts = F.sequence("_lo", "_hi", F.lit(_SPINE_BLOCK).cast("bigint"))
     blocks = ends.select(*by, "_hi", F.explode(starts).alias("_start")).repartition(*by, "_start")
     within = F.sequence("_start", F.least(F.col("_start") + _SPINE_BLOCK - 1, F.col("_hi")))

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siftframe.operators.buckets import Histogram
+from siftframe.session import stage
 
 BLOCK = 65_536
 
@@ -36,6 +37,7 @@ def min_bucket(buckets: DataFrame, metric: str = "doc_count") -> DataFrame:
 
 
 def _extreme(buckets: DataFrame, metric: str, best: Column) -> DataFrame:
+    buckets = stage(buckets, "buckets")  # read twice
     reached = buckets.agg(best.alias("value")).scalar()
     return buckets.where(F.col(metric) == reached).select("key", F.col(metric).alias("value"))
 
@@ -63,7 +65,7 @@ def cumulative_sum(
 ) -> DataFrame:
     """Running total: the total of earlier blocks plus the running total inside
     the block."""
-    number, rows, cols = _blocks(buckets, spec, by, reach=0)
+    number, rows, cols = _blocks(stage(buckets, "buckets"), spec, by, reach=0)
     inside = F.sum(metric).over(W.partitionBy(*cols).orderBy(number).rowsBetween(W.unboundedPreceding, 0))
     totals = rows.groupBy(*cols).agg(F.sum(metric).alias("_total"))
     # One row per block of 65 536 buckets.
