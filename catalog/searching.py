@@ -11,6 +11,8 @@ from siftframe.functions.geo import EARTH_RADIUS_M
 from siftframe.operators import paging, scoring, search as s
 from siftframe.operators.sorting import SortKey, sort_keys
 from siftframe.plans import conditions as q
+from siftframe.session import stage
+from siftframe.sources.mapping import with_tokens
 
 
 def hits(c, condition, *columns):
@@ -354,6 +356,23 @@ def bm25(spark, sf):
     return found.select("_id", F.round("_score", 4).alias("_score"))
 
 
+@query(
+    "bm25_stored",
+    bm25_sql(
+        ["the", "reention", "under"],
+        "SELECT _id, round(score, 4) AS _score FROM scored ORDER BY score DESC, _id LIMIT 50",
+    ),
+)
+def bm25_stored(spark, sf):
+    """The same over a table that keeps its words, with stored word statistics."""
+    c = t.documents(spark, sf)
+    c = c.with_df(stage(with_tokens(c.df, c.mapping), "tokens"))
+    words = stage(scoring.term_stats(c, "text"), "terms")
+    condition = q.match("text", "the reention under")
+    found = s.search(c, condition, size=50, source=["_id"], term_tables={"text": words})
+    return found.select("_id", F.round("_score", 4).alias("_score"))
+
+
 @query(
     "bm25_batch",
     rf"""WITH {DOCS},

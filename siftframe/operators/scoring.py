@@ -29,9 +29,15 @@ def saturation(tf: Column, dl: Column, avgdl: Column) -> Column:
 class QueryStats:
     """Statistics of the few words of one query, as one struct computed by a
     single aggregation over the whole collection. The struct enters the
-    scoring plan as a scalar subquery: one row, no join."""
+    scoring plan as a scalar subquery: one row, no join.
 
-    def __init__(self, c: Collection, pairs: Iterable[tuple[str, str]]):
+    ``tables`` gives stored ``term_stats`` tables by field. Their words are
+    looked up, and the collection is not scanned for that field.
+    """
+
+    def __init__(
+        self, c: Collection, pairs: Iterable[tuple[str, str]], tables: dict[str, DataFrame] | None = None
+    ):
         self.fields: list[str] = []
         self.words: list[tuple[str, str]] = []
         self.scope = c.scope
@@ -42,21 +48,45 @@ class QueryStats:
                 if (field, word) not in self.words:
                     self.words.append((field, word))
         self._df = c.df
-
-    def frame(self) -> DataFrame:
-        slots = [self.scope.slot(f) for f in self.fields]
-        base = self._df.select(*[s.terms().alias(f"f{i}") for i, s in enumerate(slots)])
+        self._tables = tables or {}
+
+    def column(self) -> Column:
+        """All statistics of the query as one struct."""
+        found = {}
+        counted = [f for f in self.fields if f not in self._tables]
+        frames = [self._counted(counted)] if counted else []
+        frames += [self._looked_up(f) for f in self.fields if f in self._tables]
+        for frame in frames:
+            row = frame.select(F.struct("*").alias("stats")).scalar()
+            found |= {name: row.getField(name) for name in frame.columns}
+        return F.struct(*[value.alias(name) for name, value in found.items()])
+
+    def _asked(self, field: str) -> list[tuple[int, str]]:
+        return [(j, word) for j, (f, word) in enumerate(self.words) if f == field]
+
+    def _counted(self, fields: list[str]) -> DataFrame:
+        slots = {f: self.scope.slot(f) for f in fields}
+        base = self._df.select(*[s.terms().alias(f"f{self.fields.index(f)}") for f, s in slots.items()])
         parts = []
-        for i, slot in enumerate(slots):
+        for field, slot in slots.items():
+            i = self.fields.index(field)
             parts.append(F.count(f"f{i}").alias(f"n{i}"))
             if slot.is_text:
                 lengths = F.sum(F.size(f"f{i}")).cast("double")
                 parts.append((lengths / F.nullif(F.count(f"f{i}"), F.lit(0))).alias(f"avgdl{i}"))
-        for j, (field, word) in enumerate(self.words):
-            i = self.fields.index(field)
-            hit = F.array_contains(f"f{i}", word) if slots[i].is_text else F.col(f"f{i}").cast("string") == word
-            parts.append(F.count_if(hit).alias(f"df{j}"))
-        return base.agg(*parts).select(F.struct("*").alias("stats"))
+            for j, word in self._asked(field):
+                hit = F.array_contains(f"f{i}", word) if slot.is_text else F.col(f"f{i}").cast("string") == word
+                parts.append(F.count_if(hit).alias(f"df{j}"))
+        return base.agg(*parts)
+
+    def _looked_up(self, field: str) -> DataFrame:
+        i, asked = self.fields.index(field), self._asked(field)
+        rows = self._tables[field].where(F.col("term").isin([word for _, word in asked]))
+        return rows.agg(
+            F.max("n").alias(f"n{i}"),
+            F.max("avgdl").alias(f"avgdl{i}"),
+            *[F.coalesce(F.max(F.when(F.col("term") == w, F.col("df"))), F.lit(0)).alias(f"df{j}") for j, w in asked],
+        )
 
     def score(self, slot: Slot, text: str) -> Column:
         """Score of the query text in one field of a row."""
@@ -81,7 +111,9 @@ def _words(slot: Slot, text: str) -> list[str]:
     return slot.spec.chain.words(text) if slot.is_text else [text]
 
 
-def scored(c: Collection, condition: Condition | None) -> DataFrame:
+def scored(
+    c: Collection, condition: Condition | None, term_tables: dict[str, DataFrame] | None = None
+) -> DataFrame:
     """Rows that satisfy the condition, with their ``_score``.
 
     A text is analysed once per row: rows are first thinned out by tests on the
@@ -95,7 +127,7 @@ def scored(c: Collection, condition: Condition | None) -> DataFrame:
     if not pairs:
         rows = where(c.df, condition, c.scope)
         return rows.withColumn("_score", condition.score(c.scope, None).cast("double"))
-    stats = QueryStats(c, pairs)
+    stats = QueryStats(c, pairs, term_tables)
     texts = [s for s in map(c.scope.slot, stats.fields) if s.is_text and s.stored_tokens is None]
     wide, added = c.df.where(condition.outline(c.scope)), []
     for slot in texts:
@@ -104,7 +136,7 @@ def scored(c: Collection, condition: Condition | None) -> DataFrame:
         # the filter that follows.
         wide = wide.select("*", F.explode(F.array(slot.tokens())).alias(added[-1]))
     scope = Scope(c.mapping, wide.schema)
-    rows = where(wide, condition, scope).withColumn("_stats", stats.frame().scalar())
+    rows = where(wide, condition, scope).withColumn("_stats", stats.column())
     return rows.withColumn("_score", condition.score(scope, stats)).drop("_stats", *added)
 
 

@@ -35,17 +35,19 @@ def search(
     highlight: list[str] | None = None,
     min_score: float | None = None,
     track_scores: bool = False,
+    term_tables: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Hits of a condition: ``_id``, ``_score`` and the source columns.
 
     Without ``sort`` the best score comes first. The score, and the statistics
-    pass it needs, is only computed when something asks for it. ``size=None``
+    pass it needs, is only computed when something asks for it. ``term_tables``
+    are stored ``term_stats`` by field, which spare that pass. ``size=None``
     returns all hits, unordered.
     """
     condition = None if condition is None else lifted(condition)
     by_score = sort is None or any(k.field == "_score" for k in sort_keys(c, sort))
     with_score = by_score or track_scores or min_score is not None
-    rows = scored(c, condition) if with_score else matching(c, condition)
+    rows = scored(c, condition, term_tables) if with_score else matching(c, condition)
     if min_score is not None:
         rows = rows.where(F.col("_score") >= min_score)
     keys = sort_keys(c, [SortKey("_score", "desc")] if sort is None else sort)

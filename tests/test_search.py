@@ -6,6 +6,8 @@ import random
 import pytest
 
 from siftframe import Collection, Field, Mapping, session
+from siftframe.operators import buckets as b
+from siftframe.operators import metrics as m
 from siftframe.operators import paging, scoring
 from siftframe.operators import search as s
 from siftframe.operators.sorting import SortKey, orderings, sort_keys
@@ -66,6 +68,22 @@ def test_stored_tokens_give_the_same_scores(texts):
         assert a == s.search(stored, condition, source=["_id"]).collect()
 
 
+def test_stored_statistics_give_the_same_scores(texts):
+    words = scoring.term_stats(texts, "text")
+    for condition in (q.match("text", "red fox zebra"), q.Bool(should=(q.match("text", "hound"), q.term("kind", "odd")))):
+        plain = s.search(texts, condition, source=["_id"]).collect()
+        assert plain == s.search(texts, condition, source=["_id"], term_tables={"text": words}).collect()
+
+
+def test_histogram_reads_its_rows_once(spark, goods, tmp_path):
+    path = str(tmp_path / "goods")
+    goods.df.write.parquet(path)
+    found = b.buckets(goods.with_df(spark.read.parquet(path)), b.Histogram("stock", 7), {"top": m.max_of("price")})
+    found.collect()
+    final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 def test_batch_equals_single(spark, texts):
     queries = spark.createDataFrame([(1, "red fox"), (2, "hound nothing"), (3, "zebra"), (4, "red red")], "qid int, text string")
     rows = scoring.search_batch(texts, "text", queries, k=3).collect()
