@@ -247,10 +247,7 @@ def search_batch(
     rarest = W.partitionBy(query_id).orderBy("_df", "term").rowsBetween(W.unboundedPreceding, -1)
     seen = F.coalesce(F.sum("_df").over(rarest), F.lit(0))
     probe = weights.withColumn("_seen", seen).where(F.col("_seen") < _PROBE * k)
-    best = W.partitionBy(query_id).orderBy(F.desc("_score"), F.asc(c.id))
-    ranked = _partial_scores(c, entries, probe, query_id, small).withColumn("rank", F.row_number().over(best))
-    thresholds = ranked.where(F.col("rank") <= k).where(F.col("rank") == k)
-    thresholds = thresholds.select(query_id, (F.col("_score") - _ROUNDING).alias("_threshold"))
+    thresholds = _kth_score(c, _partial_scores(c, entries, probe, query_id, small), query_id, k)
 
     # 2. The threshold is null for a query with too few rows: all words count.
     most_frequent = W.partitionBy(query_id).orderBy(F.desc("_df"), "term").rowsBetween(W.unboundedPreceding, 0)
@@ -259,21 +256,37 @@ def search_batch(
     lifts = F.coalesce(F.col("_bound") >= F.col("_threshold"), F.lit(True))
     bounded = stage(bounded.withColumn("_lifts", lifts), "bounds")
     rest = bounded.where(~F.col("_lifts"))
-    limits = rest.groupBy(query_id).agg(F.max("_bound").alias("_rest"), F.max("_threshold").alias("_threshold"))
 
-    # 3. Scores of candidates, completed by the words left aside.
-    partial = _partial_scores(c, entries, bounded.where("_lifts"), query_id, small)
-    candidates = partial.join(limits, query_id, "left")
-    reach = F.col("_score") + F.col("_rest") >= F.col("_threshold")
-    candidates = candidates.where(F.coalesce(reach, F.lit(True))).select(query_id, c.id, "_score")
+    # 3. Scores of candidates, completed by the words left aside. The partial
+    # scores give a closer threshold, so few candidates are left to complete.
+    partial = stage(_partial_scores(c, entries, bounded.where("_lifts"), query_id, small), "partial")
+    limits = _kth_score(c, partial, query_id, k).join(
+        rest.groupBy(query_id).agg(F.max("_bound").alias("_rest")), query_id, "left"
+    )
+    reach = F.col("_score") + F.coalesce("_rest", F.lit(0.0)) >= F.col("_threshold")
+    candidates = partial.join(limits, query_id, "left").where(F.coalesce(reach, F.lit(True)))
+    candidates = candidates.select(query_id, c.id, "_score")
     missing = candidates.select(query_id, c.id).join(rest.select(query_id, "term", "_weight", "_avgdl"), query_id)
     added = missing.join(entries, [c.id, "term"]).select(query_id, c.id, _part().alias("_score"))
     scores = candidates.unionByName(added).groupBy(query_id, c.id).agg(F.sum("_score").alias("_score"))
     # Equal scores must tie exactly, whatever order their parts were added in.
     scores = scores.withColumn("_score", F.round("_score", 9))
+    return _ranked(c, scores, query_id, k)
+
+
+def _ranked(c: Collection, scores: DataFrame, query_id: str, k: int) -> DataFrame:
+    """Best ``k`` rows per query; Spark cuts every task to ``k`` rows first."""
+    best = W.partitionBy(query_id).orderBy(F.desc("_score"), F.asc(c.id))
     return scores.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
+def _kth_score(c: Collection, scores: DataFrame, query_id: str, k: int) -> DataFrame:
+    """The k-th best score of each query that has so many rows, less what
+    rounding may take away."""
+    last = _ranked(c, scores, query_id, k).where(F.col("rank") == k)
+    return last.select(query_id, (F.col("_score") - _ROUNDING).alias("_threshold"))
+
+
 def _part() -> Column:
     return F.col("_weight") * saturation(F.col("tf"), F.col("dl"), F.col("_avgdl"))
 
