@@ -8,6 +8,7 @@ from catalog import tables as t
 from catalog.registry import query
 from catalog.tables import PRODUCTS
 from siftframe import Collection, Field, Mapping
+from siftframe.functions.dates import epoch_micros
 from siftframe.plans import conditions as q
 from siftframe.sources import documents as d
 from siftframe.sources import mapping as mp
@@ -22,7 +23,7 @@ def alias_filtered(spark, sf):
 def raw_orders(spark, sf):
     """Orders as text: two date formats, some prices that are not numbers."""
     key = F.col("o_orderkey")
-    millis = F.unix_millis(F.col("o_orderdate").cast("timestamp")).cast("string")
+    millis = (epoch_micros(F.col("o_orderdate")) / 1000).cast("bigint").cast("string")
     return t.load(spark, sf, "orders").select(
         key.cast("string").alias("id"),
         F.when(key % 11 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("price"),

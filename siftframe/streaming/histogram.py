@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from siftframe.functions import dates
@@ -20,14 +21,18 @@ def windowed_counts(
     """Fixed-interval buckets per key: ``key``, ``doc_count`` and metrics. With
     a watermark, rows that are later than it are dropped and buckets can be
     closed; the state then stays as large as the open buckets."""
-    # Watermarks need a timestamp with a time zone.
-    timed = events.withColumn("_time", F.col(time).cast("timestamp"))
+    # Watermarks need an instant; a zone-less time counts as UTC, whatever zone
+    # the session has.
+    zoneless = isinstance(events.schema[time].dataType, T.TimestampNTZType)
+    instant = F.timestamp_micros(dates.epoch_micros(F.col(time))) if zoneless else F.col(time)
+    timed = events.withColumn("_time", instant)
     if watermark is not None:
         timed = timed.withWatermark("_time", watermark)
     step = f"{dates.fixed_micros(interval)} microseconds"
     grouped = timed.groupBy(F.window("_time", step).alias("_window"), *(by or []))
     counted = grouped.agg(F.count("*").alias("doc_count"), *[m.alias(n) for n, m in (metrics or {}).items()])
-    key = F.col("_window.start").cast("timestamp_ntz").alias("key")
+    start = F.col("_window.start")
+    key = (dates.from_epoch_micros(F.unix_micros(start)) if zoneless else start).alias("key")
     return counted.select(key, *(by or []), "doc_count", *(metrics or {}))
 
 
