@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftframe.llm import bpe, chat, quality, toxicity, urls, vectors
+from siftframe.llm import bpe, chat, minhash, quality, substrings, toxicity, urls, vectors
 from siftframe.llm.common import remainder
 
 QUERIES: dict = {}
@@ -173,3 +173,33 @@ def op9_toxic_passages(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
         F.size("passages").alias("n_passages"),
     )
+
+
+@query(
+    "op10_repeated_passages",
+    r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (
+  SELECT k, doc_id, i, md5(array_to_string(words[i:i + 12], ' ')) AS win
+  FROM (SELECT k, doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM d)),
+f AS (SELECT win, min(doc_id) AS least FROM w GROUP BY win),
+r AS (
+  SELECT k, list(DISTINCT i + o) AS gone
+  FROM (SELECT k, i FROM w JOIN f USING (win) WHERE doc_id > least), (SELECT unnest(range(13)) AS o) GROUP BY k),
+u AS (SELECT k, doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d),
+g AS (SELECT k, unnest(gone) AS i FROM r),
+s AS (SELECT u.k, string_agg(word, ' ' ORDER BY u.i) AS kept, count(*) AS n FROM u ANTI JOIN g ON u.k = g.k AND u.i = g.i GROUP BY u.k)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (k)
+""",
+)
+def op10_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    docs = substrings.without_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op7_minhash_near_copies")
+def op7_minhash_near_copies(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return minhash.near_copies(docs).select("doc_id", "class_id", "kept")
