@@ -180,8 +180,7 @@ def _crossing(rows: DataFrame) -> DataFrame:
     """Pairs (a, b) of different parts inside each (band, key, one, two) whose
     signatures agree often enough to be similar."""
 
-    def compare(keys: tuple, tables: Iterator[pa.Table]) -> Iterator[pa.Table]:
-        table = pa.concat_tables(tables)
+    def compare(keys: tuple, table: pa.Table) -> pa.Table:
         node, part, block = (table.column(c).to_numpy() for c in ("node", "part", "block"))
         order = np.argsort(node, kind="stable")
         order = order[np.append(True, np.diff(node[order]) != 0)]
@@ -199,7 +198,7 @@ def _crossing(rows: DataFrame) -> DataFrame:
             left.append(np.full(len(at), node[i]))
             right.append(node[at])
         empty = np.zeros(0, np.int64)
-        yield pa.table({"a": np.concatenate([empty, *right]), "b": np.concatenate([empty, *left])})
+        return pa.table({"a": np.concatenate([empty, *right]), "b": np.concatenate([empty, *left])})
 
     return rows.groupBy("band", "key", "one", "two").applyInArrow(compare, "a long, b long")
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftframe.llm import bpe, chat, minhash, quality, substrings, toxicity, urls, vectors
+from siftframe.llm import bpe, chat, hmm, minhash, mixing, quality, substrings, toxicity, urls, vectors
 from siftframe.llm.common import remainder
 
 QUERIES: dict = {}
@@ -203,3 +203,30 @@ def op10_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
 def op7_minhash_near_copies(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return minhash.near_copies(docs).select("doc_id", "class_id", "kept")
+
+
+@query("op2_hidden_markov_score")
+def op2_hidden_markov_score(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return hmm.score(docs.withColumn("held_out", remainder(F.col("doc_id"), 7) == 2), "held_out")
+
+
+# Shares of tokens by language and topic; those of sources follow the table.
+LANGUAGES = mixing.Target("lang", {"en": 0.58, "de": 0.16, "fr": 0.14, "es": 0.12})
+TOPIC_SHARES = mixing.Target("topic", {f"topic{i}": 1 / mixing.TOPICS for i in range(mixing.TOPICS)})
+MIXED_SHARE = 0.5
+
+
+def mix_documents(docs: DataFrame, tokens: str, topic: str) -> DataFrame:
+    """``docs`` (with source and lang) drawn to the shares above, with columns
+    ``tokens``, ``topic`` and probability."""
+    counted = mixing.with_topics(docs, tokens=tokens, topic=topic)
+    topics = mixing.Target(topic, TOPIC_SHARES.shares)
+    targets = [mixing.smoothed(counted, "source", tokens), LANGUAGES, topics]
+    return mixing.mixed(counted, targets, tokens, MIXED_SHARE)
+
+
+@query("op3_raked_mixture")
+def op3_raked_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = mix_documents(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), "n_tokens", "topic")
+    return drawn.select("doc_id", "source", "lang", "topic", "n_tokens", "probability")
