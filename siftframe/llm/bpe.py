@@ -25,13 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftframe.llm.common import append_column, with_outputs
+from siftframe.llm.common import append_column, pieces, with_outputs
 
 # The public pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 LONG_WORD = 96  # bytes; longer words are merged by a heap
-CACHED_WORDS = 400_000  # encoded words a worker remembers (under 100 MB); then it starts anew
+CACHED_WORDS = 200_000  # encoded words a worker remembers (under 50 MB); then it starts anew
+PIECE = 1 << 22  # bytes of a batch handled at a time
 CACHED_BYTES = 64  # longer words are not remembered
 _NONE = 1 << 60
 
@@ -167,9 +168,10 @@ def _mapped(df: DataFrame, column: str, into: str, kind: T.DataType, keep: bool,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
-        for batch in batches:
-            values = pa.array([one(v) for v in batch.column(column).to_pylist()], arrow)
-            yield append_column(batch, into, values, drop)
+        for whole in batches:
+            for batch in pieces(whole, column, PIECE):
+                values = pa.array([one(v) for v in batch.column(column).to_pylist()], arrow)
+                yield append_column(batch, into, values, drop)
 
     return df.mapInArrow(run, schema)
 
