@@ -12,30 +12,45 @@ from siftframe.llm.queries import mix_documents, table, toxicity_model
 from siftframe.session import stage
 
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def set_aside(docs: DataFrame) -> tuple[DataFrame, list]:
+    """``docs`` with its extra columns under names that no operator uses, and
+    the columns that give them back."""
+    p = fresh(docs)
+    inner = {c: c if c in COLUMNS else f"{p}{i}" for i, c in enumerate(docs.columns)}
+    back = [F.col(n).alias(c) for c, n in inner.items()]
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()]), back
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below the threshold."""
+    docs, back = set_aside(docs)
     scored = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
-    return scored.where(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    return scored.where(F.col("score") < toxicity.THRESHOLD).select(*back)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near copies."""
-    return minhash.near_copies(docs).where("kept").select(*docs.columns)
+    docs, back = set_aside(docs)
+    return minhash.near_copies(docs).where("kept").select(*back)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that an earlier document has; a text that keeps
     all its words keeps its white space too."""
+    docs, back = set_aside(docs)
     found = substrings.without_repeats(docs)
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     found = found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
-    return found.select(*docs.columns)
+    return found.select(*back)
 
 
 def mixed_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample that meets the target shares of sources, languages and topics."""
-    p = fresh(docs)
-    return mix_documents(docs, p + "n", p + "t").select(*docs.columns)
+    docs, back = set_aside(docs)
+    return mix_documents(docs, "n_tokens", "topic").select(*back)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
