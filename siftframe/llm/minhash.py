@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftframe.llm.common import fold, fresh, pieces, texts_of
-from siftframe.llm.components import connected_components
+from siftframe.llm.components import Forest, connected_components
 from siftframe.llm.hashing import Words, mixed, runs
 from siftframe.session import stage
 
@@ -176,29 +176,65 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _crossing(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different parts inside each (band, key, one, two) whose
-    signatures agree often enough to be similar."""
+def _common(sets: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Weight that each two of (hashes, counts, weights per occurrence) share.
+    The n-th occurrences of a shingle are one feature, so the common weight is
+    a product of 0/1 matrices over the features that several texts have."""
+    features, owners, weights = [], [], []
+    for i, (hashes, n, each) in enumerate(sets):
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        features.append(mixed(np.repeat(hashes, n) + mixed(nth.astype(np.uint64))))
+        owners.append(np.full(len(nth), i))
+        weights.append(np.repeat(each, n))
+    features, owners, weights = map(np.concatenate, (features, owners, weights))
+    _, first, number, held = np.unique(features, return_index=True, return_inverse=True, return_counts=True)
+    shared = np.cumsum(held > 1) - 1
+    weight = weights[first][held > 1]
+    some = held[number] > 1
+    number, owners = shared[number[some]], owners[some]
+    common = np.zeros((len(sets), len(sets)))
+    for at in range(0, len(weight), 4096):
+        here = (number >= at) & (number < at + 4096)
+        has = np.zeros((len(sets), min(4096, len(weight) - at)))
+        has[owners[here], number[here] - at] = 1
+        common += (has * weight[at : at + 4096]) @ has.T
+    return common
+
+
+def _crossing(rows: DataFrame, weights) -> DataFrame:
+    """Edges (a, b) between similar members of different parts, inside each
+    (band, key, one, two): those that connect the parts, not all pairs."""
 
     def compare(keys: tuple, table: pa.Table) -> pa.Table:
         node, part, block = (table.column(c).to_numpy() for c in ("node", "part", "block"))
         order = np.argsort(node, kind="stable")
         order = order[np.append(True, np.diff(node[order]) != 0)]
-        node, part, block = node[order], part[order], block[order]
         flat = table.column("signature").combine_chunks().flatten().to_numpy()
         signature = flat.reshape(-1, BANDS * ROWS)[order]
-        split = keys[2].as_py() != keys[3].as_py()
+        node, part, block = node[order], part[order], block[order]
+        apart = part[:, None] != part[None, :]
+        if keys[2].as_py() != keys[3].as_py():
+            apart &= block[:, None] != block[None, :]
+        for i in range(len(node)):
+            apart[i] &= (signature == signature[i]).sum(axis=1) >= LEAST_EQUAL
+        live = np.nonzero(apart.any(axis=1))[0]
         left, right = [], []
-        for i in range(len(node) - 1):
-            other = part[i + 1 :] != part[i]
-            if split:
-                other &= block[i + 1 :] != block[i]
-            at = np.nonzero(other)[0] + i + 1
-            at = at[(signature[at] == signature[i]).sum(axis=1) >= LEAST_EQUAL]
-            left.append(np.full(len(at), node[i]))
-            right.append(node[at])
-        empty = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate([empty, *right]), "b": np.concatenate([empty, *left])})
+        if len(live):
+            cache, idf = Words(), weights.value
+            texts = table.column("text").cast(pa.binary()).take(pa.array(order[live])).to_pylist()
+            counted = [shingles(cache, t) for t in texts]
+            sets = [(h, n, idf[_counter(h)]) for h, n in counted]
+            common = _common(sets)
+            total = np.array([(n * w).sum() for _, n, w in sets])
+            near = common >= (SIMILARITY - 1e-9) * (total[:, None] + total[None, :] - common)
+            near &= apart[np.ix_(live, live)]
+            _, numbers = np.unique(part[live], return_inverse=True)
+            forest = Forest(len(live))
+            for i, j in zip(*np.nonzero(np.triu(near)), strict=True):
+                if forest.join(int(numbers[i]), int(numbers[j])):
+                    left.append(node[live[i]])
+                    right.append(node[live[j]])
+        return pa.table({"a": pa.array(right, pa.int64()), "b": pa.array(left, pa.int64())})
 
     return rows.groupBy("band", "key", "one", "two").applyInArrow(compare, "a long, b long")
 
@@ -215,9 +251,10 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     repeated rows stay or go together. Columns of these names are replaced.
 
     A band's classes are first verified against its smallest one. Where that
-    leaves several parts in a band, members of different parts are compared by
-    their signatures, blockwise, and the plausible pairs are verified as well:
-    no band is capped and no group is expanded into all its pairs.
+    leaves several parts in a band, its members meet block by block in tasks of
+    bounded size: those of different parts whose signatures may be similar are
+    verified there, and only edges that connect parts leave the task. No band is
+    capped and no group is expanded into rows of pairs.
     """
     spark, p = docs.sparkSession, fresh(docs)
     h1, h2 = _identity(F.col(text))
@@ -254,8 +291,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         "band", "key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
         "node", "part", "block", "signature",
     )
-    more = _crossing(held).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = stage(_verified(more, texts, weights), "links")
+    more = stage(_crossing(held.join(texts, "node"), weights), "links")
     parts = connected_components(links.unionByName(more))
 
     info = classes.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
