@@ -144,7 +144,7 @@ EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 
 def url_email(c: Column) -> Column:
     """A URL or an e-mail address is one token, other text is split as by ``standard``."""
-    return F.regexp_extract_all(c, F.lit(rf"{URL_PATTERN}|{EMAIL_PATTERN}|[{_WORD}]+"), F.lit(0))
+    return F.regexp_extract_all(c, F.lit(rf"{URL_PATTERN}|{EMAIL_PATTERN}|\p{{IsHan}}|[{_WORD}&&[^\p{{IsHan}}]]+"), F.lit(0))
 
 
 # --- token filters --------------------------------------------------------

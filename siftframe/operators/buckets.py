@@ -353,7 +353,11 @@ def nested_buckets(c: Collection, levels: list[Level], condition: Condition | No
     put a row into several buckets; then each level is grouped by itself.
     """
     rows = c.with_df(matching(c, condition))
-    metrics = {k: m for level in levels for k, m in (level.metrics or {}).items()}
+    metrics = {}
+    for level in levels:
+        for k, m in (level.metrics or {}).items():
+            if metrics.setdefault(k, m) != m:
+                raise ValueError(f"metric {k!r} means two things: give each level's metrics their own names")
     labels = {k: [label for label, _ in m.columns(c, k)] for k, m in metrics.items()}
     measures = ["doc_count", *(label for found in labels.values() for label in found)]
     keys = [f"_k{i}" for i in range(len(levels))]
@@ -367,7 +371,11 @@ def nested_buckets(c: Collection, levels: list[Level], condition: Condition | No
     leaves = _surviving(stage(table, "buckets"), keys, levels, measures)
     if isinstance(levels[-1].spec, Histogram):
         inherited = [x for x in leaves.columns if x.startswith("_up")]
-        leaves = fill_gaps(leaves, keys[-1], [*keys[:-1], *inherited])
+        # Gaps are filled by key alone; a parent's metric may be null, which
+        # equals nothing, so the parents' columns come back afterwards.
+        parents = leaves.select(*keys[:-1], *[F.col(f"`{x}`") for x in inherited]).distinct()
+        leaves = fill_gaps(leaves.drop(*inherited), keys[-1], keys[:-1])
+        leaves = leaves.join(parents, keys[:-1]) if inherited else leaves
     out = []
     for i, level in enumerate(levels):
         key = level.spec.key(F.col(keys[i])) if isinstance(level.spec, Histogram) else F.col(keys[i])

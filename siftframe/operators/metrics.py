@@ -218,11 +218,12 @@ def exact_percentiles(
     Every wanted rank starts with all rows as its bracket. A sketch of bounded
     size narrows the bracket to a few 1/accuracy of its rows, a count proves
     that the rank is inside (or widens the next attempt), and this repeats until
-    a bracket is one value or few rows. Only those rows are then ranked.
+    a bracket is one value or few rows. Only those rows are then ranked. NaN
+    counts as missing.
     """
     percents = percents or DEFAULT_PERCENTS
     value = c.scope.slot(field).column.cast("double")
-    values = matching(c, condition).select(value.alias("v")).where("v IS NOT NULL")
+    values = matching(c, condition).select(value.alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
     labels = [f"{name}_{percent_label(p)}" for p in percents]
     whole = values.agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).head()
     if not whole.n:

@@ -103,6 +103,10 @@ def bulk(
     operations once, for callers that use more than one of the results. ``gone``
     gives id and version of rows deleted earlier, whose versions go on counting.
     """
+    if isinstance(ops.schema[id_col].dataType, T.StringType):
+        # An operation without an id gets one from its own content and seq: the
+        # same whenever a task or a streamed batch is repeated.
+        ops = ops.withColumn(id_col, F.coalesce(F.col(id_col), F.sha2(F.to_json(F.struct(*ops.columns)), 256)))
     schema = T.StructType([f for f in target.schema.fields if f.name not in (id_col, version_col)])
     leaves = leaf_paths(schema)
     given = set(leaf_paths(ops.schema["doc"].dataType))

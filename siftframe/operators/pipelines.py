@@ -45,18 +45,19 @@ def _extreme(buckets: DataFrame, metric: str, best: Column) -> DataFrame:
 def moving_avg(
     buckets: DataFrame, metric: str, window: int, spec: Histogram, by: list[str] | None = None, name: str = "value"
 ) -> DataFrame:
-    """Mean of a bucket and the ``window - 1`` buckets before it."""
+    """Mean of a bucket and those of the ``window - 1`` buckets before it that
+    the table has: buckets are counted by number, so a gap stays a gap."""
     number, rows, cols = _blocks(buckets, spec, by, reach=window - 1)
-    frame = W.partitionBy(*cols).orderBy(number).rowsBetween(-(window - 1), 0)
+    frame = W.partitionBy(*cols).orderBy(number).rangeBetween(-(window - 1), 0)
     return _own_rows(rows.withColumn(name, F.avg(metric).over(frame)))
 
 
 def derivative(
     buckets: DataFrame, metric: str, spec: Histogram, by: list[str] | None = None, name: str = "value"
 ) -> DataFrame:
-    """Difference to the bucket before; null for the first."""
+    """Difference to the bucket before; null for the first and after a gap."""
     number, rows, cols = _blocks(buckets, spec, by, reach=1)
-    before = F.lag(metric).over(W.partitionBy(*cols).orderBy(number))
+    before = F.max(metric).over(W.partitionBy(*cols).orderBy(number).rangeBetween(-1, -1))
     return _own_rows(rows.withColumn(name, F.col(metric) - before))
 
 

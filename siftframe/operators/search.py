@@ -97,9 +97,11 @@ def highlight_columns(c: Collection, condition: Condition | None, fields: list[s
     entries = []
     for field, found in words.items():
         if found:
-            marked = mark_words(c.scope.slot(field).column, list(dict.fromkeys(found)))
+            text = c.scope.slot(field).column
+            marked = mark_words(text, list(dict.fromkeys(found)))
             entry = F.struct(F.lit(field).alias("key"), F.array(marked).alias("value"))
-            entries.append(F.when(F.contains(marked, F.lit("<em>")), entry))
+            # Marked at all: a text may hold the tag itself.
+            entries.append(F.when(marked != text, entry))
     if not entries:
         return [F.lit(None).cast("map<string,array<string>>").alias("highlight")]
     kept = F.filter(F.array(*entries), lambda e: e.isNotNull())

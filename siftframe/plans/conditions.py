@@ -345,7 +345,7 @@ class Regexp(FieldCondition):
     pattern: str
 
     def predicate(self, scope: Scope) -> Column:
-        return _any(scope.slot(self.field), lambda c: c.rlike(f"^(?:{self.pattern})$"))
+        return _any(scope.slot(self.field), lambda c: c.rlike(rf"\A(?:{self.pattern})\z"))
 
 
 @dataclass(frozen=True)
@@ -687,7 +687,7 @@ def where(df: DataFrame, condition: Condition | Column | None, scope: Scope) ->
     if condition is None:
         return df
     condition = lifted(condition)
-    if isinstance(condition, Terms) and condition.as_join:
+    if isinstance(condition, Terms) and condition.as_join and not scope.slot(condition.field).many:
         return _value_join(df, condition, scope, "left_semi")
     if not isinstance(condition, Bool):
         return df.where(condition.predicate(scope))

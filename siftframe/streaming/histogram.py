@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections import Counter
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from siftframe.functions import dates
 
@@ -53,7 +55,35 @@ def write_snapshot(buckets: DataFrame, path: str, checkpoint: str, trigger: dict
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped because they came after their bucket was closed."""
+    """Rows dropped because they came after their bucket was closed.
+
+    A query remembers the progress of its last batches only; once the first is
+    forgotten this raises. For long streams count with ``LateRows``.
+    """
+    kept = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    if len(query.recentProgress) >= kept:
+        raise ValueError("progress of early batches is gone: register LateRows before the query starts")
     return sum(
         state["numRowsDroppedByWatermark"] for progress in query.recentProgress for state in progress["stateOperators"]
     )
+
+
+class LateRows(StreamingQueryListener):
+    """Running count of late rows by query id, over any number of batches:
+    ``spark.streams.addListener(late := LateRows())`` before the query starts."""
+
+    def __init__(self) -> None:
+        self.dropped: Counter = Counter()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        found = sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+        self.dropped[str(event.progress.id)] += found
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
