@@ -208,6 +208,39 @@ def update_by_query(spark, sf):
     return w.update_by_query(versioned_products(spark, sf), condition, {"views": 10})
 
 
+IDS_TABLE = "_id IN (SELECT CAST(ps.p_partkey AS VARCHAR) FROM part ps WHERE ps.p_size < 30)"
+
+
+def small_parts(spark, sf):
+    return t.load(spark, sf, "part").where("p_size < 30").select(F.col("p_partkey").cast("string"))
+
+
+@query(
+    "update_by_ids_table",
+    f"WITH {PRODUCTS} SELECT "
+    + COLUMNS.format(
+        price="price",
+        views=f"CASE WHEN {IDS_TABLE} OR price >= 990 THEN 10 ELSE views END",
+        version=f"CASE WHEN ({IDS_TABLE} OR price >= 990) AND views <> 10 THEN 2 ELSE 1 END",
+    )
+    + " FROM products",
+)
+def update_by_ids_table(spark, sf):
+    condition = q.any_of(q.ids(small_parts(spark, sf)), q.between("price", gte=990))
+    return w.update_by_query(versioned_products(spark, sf), condition, {"views": 10})
+
+
+@query(
+    "delete_by_ids_table",
+    f"WITH {PRODUCTS} SELECT _id, rating, price FROM products"
+    f" WHERE NOT ({IDS_TABLE} AND coalesce(rating >= 2, false)) AND coalesce(price < 990, true)",
+)
+def delete_by_ids_table(spark, sf):
+    rated = q.ids(small_parts(spark, sf)) & q.between("rating", gte=2.0)
+    kept = w.delete_by_query(t.products(spark, sf), rated | q.between("price", gte=990))
+    return kept.select("_id", "rating", "price")
+
+
 @query(
     "script_update",
     f"WITH {PRODUCTS} SELECT "

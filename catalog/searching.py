@@ -88,6 +88,17 @@ def terms_table(spark, sf):
     return hits(t.orders(spark, sf), q.all_of(q.terms("o_custkey", debtors)), "o_custkey")
 
 
+@query(
+    "should_ids_table",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS _id, o_custkey FROM orders WHERE o_totalprice > 300000"
+    " OR o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)",
+)
+def should_ids_table(spark, sf):
+    debtors = t.load(spark, sf, "customer").where("c_acctbal < 0").select("c_custkey")
+    condition = q.any_of(q.terms("o_custkey", debtors), q.between("o_totalprice", gt=300_000))
+    return hits(t.orders(spark, sf), condition, "o_custkey")
+
+
 @query("range", product_sql("price >= 950.5 AND price <= 1050", "_id, price"))
 def range_(spark, sf):
     return hits(t.products(spark, sf), q.between("price", 950.5, 1050), "price")
@@ -469,6 +480,21 @@ def search_after(spark, sf):
     return found.drop("sort")
 
 
+@query(
+    "search_after_highlight",
+    rf"WITH {DOCS} SELECT _id, regexp_replace(text, '(?i)\b(and|the)\b', '<em>\1</em>', 'g') AS fragment FROM docs"
+    " WHERE list_has_any(tokens, ['and', 'the']) AND lang = 'en' AND (n_chars < 900 OR (n_chars = 900 AND _id > '5'))"
+    " ORDER BY n_chars DESC, _id LIMIT 20",
+)
+def search_after_highlight(spark, sf):
+    c = t.documents(spark, sf)
+    condition = q.match("text", "and the") & q.term("lang", "en")
+    found = paging.search_after(
+        c, condition, sort=[("n_chars", "desc")], values=(900, "5"), size=20, source=["_id"], highlight=["text"]
+    )
+    return found.select("_id", F.col("highlight")["text"][0].alias("fragment"))
+
+
 @query(
     "search_after_next",
     "SELECT CAST(o_orderkey AS VARCHAR) AS _id, o_totalprice FROM orders WHERE o_orderstatus = 'O'"

@@ -357,9 +357,14 @@ def script_update(c: Collection, condition: Condition | None, expressions: dict[
     return update_by_query(c, condition, {n: F.expr(e) for n, e in expressions.items()}, **options)
 
 
-def delete_by_query(c: Collection, condition: Condition) -> DataFrame:
+def delete_by_query(c: Collection, condition: Condition, observation=None) -> DataFrame:
     """Drop the rows that satisfy the condition. A row for which the condition
-    is unknown stays; an empty condition is refused."""
+    is unknown stays; an empty condition is refused. ``observation`` collects
+    total (rows looked at) and deleted while the result is written."""
     if condition is None or isinstance(condition, MatchAll) or (isinstance(condition, Bool) and condition == Bool()):
         raise ValueError("a delete by query needs a condition")
-    return c.df.where(lifted(condition).negation(c.scope))
+    if observation is None:
+        return c.df.where(lifted(condition).negation(c.scope))
+    rows = c.df.withColumn("_hit", lifted(condition).truth(c.scope))
+    rows = rows.observe(observation, F.count("*").alias("total"), F.count_if("_hit").alias("deleted"))
+    return rows.where("NOT _hit").drop("_hit")

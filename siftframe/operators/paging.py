@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from siftframe.operators.numbering import numbered
 from siftframe.operators.scoring import scored
-from siftframe.operators.search import matching
+from siftframe.operators.search import highlight_columns, matching
 from siftframe.operators.sorting import after, orderings, sort_keys
 from siftframe.plans.collection import Collection
-from siftframe.plans.conditions import Condition
+from siftframe.plans.conditions import Condition, lifted
 from siftframe.session import stage
 
 
@@ -23,10 +23,13 @@ def search_after(
     size: int = 10,
     min_score: float | None = None,
     source: list[str] | None = None,
+    highlight: list[str] | None = None,
 ) -> DataFrame:
     """The ``size`` rows that follow the sort key ``values``; the id breaks
     ties. Each page costs one filtered top-k, however deep it lies. The column
-    ``sort`` holds the row's key for the next call."""
+    ``sort`` holds the row's key for the next call; ``_score`` is there when the
+    order or ``min_score`` needs it, marks as in ``search``."""
+    condition = None if condition is None else lifted(condition)
     keys = sort_keys(c, sort)
     with_score = min_score is not None or any(k.field == "_score" for k in keys)
     rows = scored(c, condition) if with_score else matching(c, condition)
@@ -36,8 +39,9 @@ def search_after(
         rows = rows.where(after(c, keys, tuple(values)))
     found = rows.orderBy(*orderings(c, keys)).limit(size)
     key = F.struct(*[k.value(c).alias(f"k{i}") for i, k in enumerate(keys)]).alias("sort")
-    names = list(dict.fromkeys([c.id, *(source or c.df.columns)]))
-    return found.select(*names, key)
+    names = list(dict.fromkeys([c.id, *(["_score"] if with_score else []), *(source or c.df.columns)]))
+    marks = highlight_columns(c, condition, highlight) if highlight else []
+    return found.select(*names, *marks, key)
 
 
 class Pager:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import re
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
@@ -246,9 +247,15 @@ class Terms(FilterCondition):
         return isinstance(self.values, DataFrame) or len(self.values) > INLINE_VALUES
 
     def predicate(self, scope: Scope) -> Column:
-        if isinstance(self.values, DataFrame):
-            raise ValueError("a table of values must stand at the top level of the condition")
         slot = scope.slot(self.field)
+        if isinstance(self.values, DataFrame):
+            if slot.many or scope.element is not None:
+                raise ValueError("a table of values is compared with a field of one value")
+            # An existence join: one flag per row, whatever stands around it. The
+            # new name and the alias keep the row's column from being looked up
+            # in the table of values, which may come from the same collection.
+            name = f"_value_{uuid.uuid4().hex}"
+            return self.values.toDF(name).alias("_values").where(F.col(name) == slot.column.outer()).exists()
         if slot.many:
             return F.arrays_overlap(slot.terms(), F.array(*[F.lit(v) for v in self.values]))
         return slot.column.isin(list(self.values))

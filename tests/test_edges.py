@@ -1,11 +1,12 @@
 """Inputs outside the usual: nulls, gaps, ties, long lists, marks in texts."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from siftframe import Collection, Field, Mapping
 from siftframe.functions import analysis
-from siftframe.operators import buckets, metrics, mutate, pipelines
+from siftframe.operators import buckets, metrics, mutate, paging, pipelines
 from siftframe.operators.search import search
 from siftframe.plans import conditions as q
 from siftframe.plans.conditions import where
@@ -85,3 +86,35 @@ def test_operations_without_an_id_stay_apart(spark):
 def test_han_text_among_urls(spark):
     df = spark.createDataFrame([("你好 see https://a.org/x ok",)], "t string")
     assert df.select(analysis.url_email(F.col("t"))).first()[0] == ["你", "好", "see", "https://a.org/x", "ok"]
+
+
+def test_a_table_of_values_stands_anywhere(spark):
+    rows = [("a", 1, 1), ("b", 2, 2), (None, 3, 3), ("d", None, 4)]
+    c = Collection(spark.createDataFrame(rows, "_id string, n int, _value int"), Mapping({}))
+    own = q.ids(c.df.where("n = 1").select("_id"))  # from the collection itself
+    listed = q.terms("n", spark.createDataFrame([(3,), (3,), (None,)], "v int"))
+    left = lambda df: sorted(r["_value"] for r in df.collect())
+    seen = Observation()
+    assert left(mutate.delete_by_query(c, own | listed, seen)) == [2, 4]
+    assert seen.get == {"total": 4, "deleted": 2}
+    assert left(mutate.delete_by_query(c, q.all_of(own, listed))) == [1, 2, 3, 4]
+    assert left(mutate.delete_by_query(c, ~own)) == [1]
+    assert left(mutate.delete_by_query(c, q.any_of(q.terms("_value", listed.values), q.ids("a")))) == [2, 4]
+    changed = mutate.update_by_query(c, own | listed, {"n": 9}).where("n = 9")
+    assert left(changed) == [1, 3]
+    assert left(search(c, own | q.terms("n", 2), sort=["_value"])) == [1, 2]
+    assert left(search(c, q.any_of(own, q.terms("n", 2)))) == [1, 2]
+
+
+def test_search_after_carries_score_and_marks(spark):
+    rows = [("a", "red red fox"), ("b", "red hen"), ("c", "blue hen")]
+    c = Collection(spark.createDataFrame(rows, "_id string, t string"), Mapping({"t": Field("text")}))
+    options = dict(sort=[("_score", "desc")], size=1, highlight=["t"])
+    first = paging.search_after(c, q.match("t", "red"), **options).first()
+    after = (first["_score"], first["_id"])
+    second = paging.search_after(c, q.match("t", "red"), values=after, **options).first()
+    assert {first["_id"], second["_id"]} == {"a", "b"} and first["_score"] > second["_score"] > 0
+    marks = {r["_id"]: r["highlight"]["t"] for r in (first, second)}
+    assert marks == {"a": ["<em>red</em> <em>red</em> fox"], "b": ["<em>red</em> hen"]}
+    plain = paging.search_after(c, None, sort=["t"], size=3)
+    assert "_score" not in plain.columns and "highlight" not in plain.columns
