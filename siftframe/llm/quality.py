@@ -55,7 +55,7 @@ def measure(text: bytes) -> tuple[int, ...]:
         len(lines),
         len(lines) - len(set(lines)),
         _repeated(words),
-        sum(map(bytes.isalpha, words)) if text.isascii() else sum(map(str.isalpha, text.decode("utf-8").split())),
+        sum(map(bytes.isalpha, words)) if text.isascii() else sum(w.decode("utf-8").isalpha() for w in words),
         sum(w.isupper() and len(w) > 1 for w in words),
     )
 

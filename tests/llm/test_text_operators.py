@@ -233,6 +233,11 @@ def test_measurements_by_brute_force(spark):
         assert (r["failures"] & quality.mask_of(quality.BASE) != 0) == (len(w) < 50 or 100 * len(covered) > 50 * len(w))
 
 
+def test_words_end_at_ascii_white_space_only():
+    found = dict(zip(quality.MEASURES, quality.measure("ab\u00a0cd \u00e9t\u00e9 x\u2003y\x1cz \u6f22".encode()), strict=True))
+    assert (found["n_words"], found["n_alpha_words"]) == (4, 2)
+
+
 def test_policies_and_ablations_come_from_the_ledger(spark):
     texts = ["x", " ".join(words(80, 3)), " ".join(words(80, 4)) + " #" * 30, "a b c " * 40]
     book = quality.ledger(spark.createDataFrame(list(enumerate(texts)), DOCS)).cache()
