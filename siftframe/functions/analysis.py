@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftframe.functions.stemming import porter_stem_tokens
-from siftframe.session import fits_broadcast
+from siftframe.session import fits_broadcast, stage
 
 Stage = Callable[[Column], Column]
 
@@ -281,20 +281,25 @@ def expand_tokens(df: DataFrame, id_col: str, tokens_col: str, rules: DataFrame,
     larger one the join shuffles by word; adaptive execution then splits the
     partition of a word that is a large share of all tokens.
     """
+    rules = stage(rules.select("word", "form"), "rules")
     forms = rules.groupBy("word").agg(F.array_sort(F.collect_set("form")).alias("_forms"))
+    # Written once: texts are analysed once, and row numbers hold, which keep
+    # rows apart that share an id.
+    df = stage(df.withColumn("_row", F.monotonically_increasing_id()), "tokens")
     # The outer form, as the inner one would work out the token list twice.
-    words = df.select(id_col, F.posexplode_outer(tokens_col).alias("_pos", "word")).where("_pos IS NOT NULL")
+    words = df.select("_row", F.posexplode_outer(tokens_col).alias("_pos", "word")).where("_pos IS NOT NULL")
     # A rule is two words, some tens of bytes.
     if fits_broadcast(rules, 1_000_000):
         forms = F.broadcast(forms)
     joined = words.join(forms, "word", "left")
     base = F.array("word")
     new = F.concat(base, "_forms") if keep else F.col("_forms")
-    rows = joined.select(id_col, "_pos", F.when(F.col("_forms").isNull(), base).otherwise(new).alias("_new"))
-    # One group is one document's tokens, never more than a text's length.
-    grouped = rows.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("_pos", "_new"))).alias("_all"))
-    flat = grouped.select(id_col, F.flatten(F.col("_all._new")).alias(out))
-    return df.join(flat, id_col, "left").withColumn(out, F.coalesce(out, tokens_col))
+    rows = joined.select("_row", "_pos", F.when(F.col("_forms").isNull(), base).otherwise(new).alias("_new"))
+    # One group is one row's tokens, never more than a text's length.
+    grouped = rows.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_pos", "_new"))).alias("_all"))
+    flat = grouped.select("_row", F.flatten(F.col("_all._new")).alias(out + "_new"))
+    found = df.join(flat, "_row", "left").withColumn(out, F.coalesce(out + "_new", tokens_col))
+    return found.drop("_row", out + "_new")
 
 
 # --- chains ---------------------------------------------------------------

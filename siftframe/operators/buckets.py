@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -348,17 +348,25 @@ def nested_buckets(c: Collection, levels: list[Level], condition: Condition | No
     key, its row count ``<level>_count`` and metrics ``<level>_<metric>``.
 
     Each level keeps its own top ``size`` below every parent that survives, and
-    the metrics of every level come from the rows themselves. All levels are
+    the metrics of every level come from the rows themselves. Histograms fill
+    their gaps and empty ranges and filters are listed at every level; a bucket
+    without children is one row with null child keys and counts 0. All levels are
     grouping sets of one pass over the rows, unless a level inside another may
     put a row into several buckets; then each level is grouped by itself.
     """
     rows = c.with_df(matching(c, condition))
-    metrics = {}
+    # Equal metrics of several levels are worked out once; names belong to a level.
+    metrics: dict[str, Metric] = {}
+    named = []
     for level in levels:
-        for k, m in (level.metrics or {}).items():
-            if metrics.setdefault(k, m) != m:
-                raise ValueError(f"metric {k!r} means two things: give each level's metrics their own names")
-    labels = {k: [label for label, _ in m.columns(c, k)] for k, m in metrics.items()}
+        own: dict[str, str] = {}
+        for k, metric in (level.metrics or {}).items():
+            known = [n for n, m in metrics.items() if m == metric]
+            own[k] = known[0] if known else f"_m{len(metrics)}_"
+            metrics[own[k]] = metric
+        named.append(own)
+    levels = [_ordered_by(level, own) for level, own in zip(levels, named)]
+    labels = {n: [label for label, _ in m.columns(c, n)] for n, m in metrics.items()}
     measures = ["doc_count", *(label for found in labels.values() for label in found)]
     keys = [f"_k{i}" for i in range(len(levels))]
     sources = [level.spec.keys(rows) for level in levels]
@@ -368,24 +376,26 @@ def nested_buckets(c: Collection, levels: list[Level], condition: Condition | No
         table = _levels_together(rows, keys, sources, metrics)
     # The bucket table is read several times from here on; written once, the
     # rows behind it are scanned once.
-    leaves = _surviving(stage(table, "buckets"), keys, levels, measures)
-    if isinstance(levels[-1].spec, Histogram):
-        inherited = [x for x in leaves.columns if x.startswith("_up")]
-        # Gaps are filled by key alone; a parent's metric may be null, which
-        # equals nothing, so the parents' columns come back afterwards.
-        parents = leaves.select(*keys[:-1], *[F.col(f"`{x}`") for x in inherited]).distinct()
-        leaves = fill_gaps(leaves.drop(*inherited), keys[-1], keys[:-1])
-        leaves = leaves.join(parents, keys[:-1]) if inherited else leaves
+    leaves = _surviving(rows, stage(table, "buckets"), keys, levels, measures)
     out = []
     for i, level in enumerate(levels):
         key = level.spec.key(F.col(keys[i])) if isinstance(level.spec, Histogram) else F.col(keys[i])
         own = "" if i == len(levels) - 1 else f"_up{i}_"
-        out += [key.alias(level.name), F.col(f"`{own}doc_count`").alias(f"{level.name}_count")]
-        shown = [label for k in level.metrics or {} for label in labels[k]]
-        out += [F.col(f"`{own}{label}`").alias(f"{level.name}_{label}") for label in shown]
+        out += [key.alias(level.name), F.coalesce(F.col(f"`{own}doc_count`"), F.lit(0)).alias(f"{level.name}_count")]
+        for k, n in named[i].items():
+            out += [F.col(f"`{own}{x}`").alias(f"{level.name}_{k}{x.removeprefix(n)}") for x in labels[n]]
     return leaves.select(*out)
 
 
+def _ordered_by(level: Level, names: dict[str, str]) -> Level:
+    """The level with the metric that orders its terms by its column's name."""
+    order = getattr(level.spec, "order_by", None)
+    for k, n in names.items():
+        if order is not None and (order == k or order.startswith(k + "_")):
+            return replace(level, spec=replace(level.spec, order_by=n + order.removeprefix(k)))
+    return level
+
+
 def _levels_together(c: Collection, keys: list[str], sources, metrics) -> DataFrame:
     keyed = c.df
     for name, (key, many) in zip(keys, sources):
@@ -417,15 +427,14 @@ def _levels_apart(c: Collection, keys: list[str], sources, metrics) -> DataFrame
     return parts
 
 
-def _surviving(table: DataFrame, keys: list[str], levels: list[Level], measures: list[str]) -> DataFrame:
-    """Buckets of the innermost level whose parents all survive, with the
-    count and metrics of every parent beside them."""
+def _surviving(c: Collection, table: DataFrame, keys: list[str], levels: list[Level], measures: list[str]) -> DataFrame:
+    """Buckets of the innermost level below every parent that survives, with the
+    count and metrics of every parent beside them. A parent without children
+    stays, with null keys from there on."""
     found = None
     for i, level in enumerate(levels):
         here = table.where(F.col("_level") == i).select(*keys[: i + 1], *[f"`{x}`" for x in measures])
-        if found is not None:
-            up = {x: f"_up{i - 1}_{x}" for x in measures}
-            here = here.join(found.withColumnsRenamed(up), keys[:i])
+        parents = found.withColumnsRenamed({x: f"_up{i - 1}_{x}" for x in measures}) if i else None
         if isinstance(level.spec, Terms):
             # Spark cuts every task to the top rows before it shuffles for the
             # rank, so a parent with very many children is no hot spot.
@@ -435,5 +444,15 @@ def _surviving(table: DataFrame, keys: list[str], levels: list[Level], measures:
                 here = here.where(F.col("_rank") <= level.spec.top).drop("_rank")
             else:
                 here = top_rows(here, level.spec.orderings(keys[0]), level.spec.top)
-        found = here
+        elif isinstance(level.spec, Histogram):
+            here = here.join(parents.select(*keys[:i]), keys[:i], "left_semi") if i else here
+            here = fill_gaps(here, keys[i], keys[:i])
+        else:
+            # Every range or filter is a bucket of every parent, empty or not.
+            each = F.explode(F.array(*[F.lit(name) for name in level.spec.tests(c)])).alias(keys[i])
+            spine = c.df.sparkSession.range(1).select(each)
+            if i:
+                spine = parents.where(F.col(keys[i - 1]).isNotNull()).select(*keys[:i], each)
+            here = spine.join(here, keys[: i + 1], "left")
+        found = parents.join(here, keys[:i], "left") if i else here
     return found

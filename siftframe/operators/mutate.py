@@ -53,13 +53,26 @@ def leaf_paths(schema: T.StructType, prefix: str = "") -> list[str]:
     return found
 
 
-def _rebuilt(schema: T.StructType, value: Callable[[str], Column], prefix: str = "") -> list[Column]:
-    """Columns of a schema put together from its leaves."""
+def object_paths(schema: T.StructType, prefix: str = "") -> list[str]:
+    """Dotted paths of the fields that are objects."""
+    found = []
+    for f in schema.fields:
+        if isinstance(f.dataType, T.StructType):
+            found += [prefix + f.name, *object_paths(f.dataType, prefix + f.name + ".")]
+    return found
+
+
+def _rebuilt(
+    schema: T.StructType, value: Callable[[str], Column], there: Callable[[str], Column], prefix: str = ""
+) -> list[Column]:
+    """Columns of a schema put together from its leaves; an object that is not
+    ``there`` is null."""
     columns = []
     for f in schema.fields:
         path = prefix + f.name
         if isinstance(f.dataType, T.StructType):
-            columns.append(F.struct(*_rebuilt(f.dataType, value, path + ".")).alias(f.name))
+            inner = F.struct(*_rebuilt(f.dataType, value, there, path + "."))
+            columns.append(F.when(there(path), inner).alias(f.name))
         else:
             columns.append(value(path).alias(f.name))
     return columns
@@ -72,6 +85,11 @@ def _named(path: str) -> Column:
     return reduce(lambda a, b: a | b, [F.array_contains("set_fields", n) for n in names])
 
 
+def _named_below(path: str) -> Column:
+    """Whether ``set_fields`` names something inside the object."""
+    return F.coalesce(F.exists("set_fields", lambda x: F.startswith(x, F.lit(path + "."))), F.lit(False))
+
+
 def with_generated_ids(ops: DataFrame, id_col: str = "_id") -> DataFrame:
     """Give operations without an id a random one. The result is written once,
     so that a repeated task cannot invent other ids."""
@@ -96,6 +114,10 @@ def bulk(
     2. each field: set by the last write that carried it;
     3. the version: the count of effective changes.
 
+    Operations with the same ``seq`` follow each other in the order of a hash of
+    their content. An object is null or there, as it was last written; writing a
+    field inside makes it be there.
+
     Running values need no list of a group's operations. An id with very many
     operations is cut into stretches of ``seq``, each summarised on its own, and
     the summaries are carried forward. Rows of the table without an operation
@@ -109,13 +131,17 @@ def bulk(
         ops = ops.withColumn(id_col, F.coalesce(F.col(id_col), F.sha2(F.to_json(F.struct(*ops.columns)), 256)))
     schema = T.StructType([f for f in target.schema.fields if f.name not in (id_col, version_col)])
     leaves = leaf_paths(schema)
-    given = set(leaf_paths(ops.schema["doc"].dataType))
+    objects = object_paths(schema)
+    given = {*leaf_paths(ops.schema["doc"].dataType), *object_paths(ops.schema["doc"].dataType)}
     touched = ops.select(id_col).distinct()
     base = target.join(touched, id_col, "left_semi")
     start = base.select(
         id_col,
         F.col(version_col).cast("bigint").alias("_start_version"),
-        F.struct(*[F.col(p).alias(f"f{i}") for i, p in enumerate(leaves)]).alias("_start"),
+        F.struct(
+            *[F.col(p).alias(f"f{i}") for i, p in enumerate(leaves)],
+            *[F.col(p).isNotNull().alias(f"f{i}") for i, p in enumerate(objects, len(leaves))],
+        ).alias("_start"),
     )
     if gone is not None:
         ended = F.lit(None).cast(start.schema["_start"].dataType).alias("_start")
@@ -139,14 +165,21 @@ def bulk(
 
     # 2. Fields. A write is a one-field struct, so that a written null differs
     # from no write.
-    writes, before = {}, []
-    for i, path in enumerate(leaves):
+    fields = []
+    for path in leaves:
         value = F.col(f"doc.{path}") if path in given else F.lit(None).cast(target.select(path).schema[0].dataType)
-        carried = ~F.col("_fails") & (F.col("_whole") | F.coalesce(_named(path), F.lit(False)))
+        fields.append((value, F.col("_whole") | F.coalesce(_named(path), F.lit(False))))
+    for path in objects:
+        written = F.col(f"doc.{path}").isNotNull() if path in given else F.lit(False)
+        inside = ~F.col("_whole") & _named_below(path)
+        fields.append((inside | written, inside | F.col("_whole") | F.coalesce(_named(path), F.lit(False))))
+    writes, before = {}, []
+    for i, (value, wanted) in enumerate(fields):
+        carried = ~F.col("_fails") & wanted
         writes[f"_w{i}"] = F.when(carried, F.struct(F.when(action != "delete", value).alias("v")))
         found = F.col(f"_b{i}").isNotNull()
         before.append(F.when(found, F.col(f"_b{i}.v")).otherwise(F.col(f"_start.f{i}")))
-    rows = fold.last_before(rows.withColumns(writes), {f"_b{i}": f"_w{i}" for i in range(len(leaves))})
+    rows = fold.last_before(rows.withColumns(writes), {f"_b{i}": f"_w{i}" for i in range(len(fields))})
     same = [F.col(f"_w{i}").isNull() | F.col(f"_w{i}.v").eqNullSafe(b) for i, b in enumerate(before)]
     merges = ~F.col("_whole") & ~F.col("_fails")
     rows = rows.withColumn("_noop", merges & reduce(lambda a, b: a & b, same))
@@ -169,44 +202,49 @@ def bulk(
             version.alias("version"),
             *[v.alias(f"f{i}") for i, v in enumerate(after)],
         ).alias("_end"),
+        "_tie",
     )
     if staged:
         rows = stage(rows, "bulk")
 
     # max_by combines map-side: a crowded id costs one row per task.
-    ends = rows.groupBy(id_col).agg(F.max_by("_end", "seq").alias("_end"))
-    columns = dict(zip(schema.names, _rebuilt(schema, lambda path: F.col(f"_end.f{leaves.index(path)}"))))
+    ends = rows.groupBy(id_col).agg(F.max_by("_end", F.struct("seq", "_tie")).alias("_end"))
+    place = {path: f"_end.f{i}" for i, path in enumerate([*leaves, *objects])}
+    rebuilt = _rebuilt(schema, lambda path: F.col(place[path]), lambda path: F.col(place[path]))
+    columns = dict(zip(schema.names, rebuilt))
     columns[id_col] = F.col(id_col)
     columns[version_col] = F.col("_end.version").cast(target.schema[version_col].dataType).alias(version_col)
     changes = ends.select(*[columns[n] for n in target.columns], (~F.col("_end.found")).alias("_deleted"))
     written = changes.where(~F.col("_deleted")).drop("_deleted")
     table = target.join(touched, id_col, "left_anti").select(*target.columns).unionByName(written)
-    return BulkResult(table, rows.drop("_end"), changes)
+    return BulkResult(table, rows.drop("_end", "_tie"), changes)
 
 
 class _Fold:
     """Running values over the earlier operations of the same id."""
 
     def __init__(self, id_col: str, ops: DataFrame, hot_ops: int):
-        per_id = ops.groupBy(id_col).agg(
-            F.count("*").alias("_ops"), F.min("seq").alias("_from"), F.max("seq").alias("_to")
-        )
-        crowded = per_id.where(F.col("_ops") > hot_ops)
+        content = F.struct("doc", "set_fields")
+        content = F.to_json(content) if "map<" in ops.schema.simpleString() else content
+        ops = ops.withColumn("_tie", F.xxhash64("action", content))
+        per_id = ops.groupBy(id_col).agg(F.count("*").alias("_ops"))
+        most = per_id.agg(F.max("_ops")).first()[0] or 0
         self.id = id_col
-        self.hot = bool(crowded.head(1))
+        self.hot = most > hot_ops
         if not self.hot:
             self.keys = [id_col]
             self.rows = ops
             return
-        # Cut the span of a crowded id into as many stretches as it has tasks'
-        # worth of operations; every other id is one stretch.
-        pieces = F.ceil(F.col("_ops") / hot_ops)
-        width = F.ceil((F.col("_to") - F.col("_from") + 1) / pieces).cast("bigint")
-        spans = crowded.select(id_col, "_from", width.alias("_width"))
-        stretch = F.floor((F.col("seq") - F.col("_from")) / F.col("_width")).cast("bigint")
-        placed = ops.join(spans, id_col, "left").withColumn("_stretch", F.coalesce(stretch, F.lit(-1)))
+        # Cut a crowded id at quantiles of its own seq, so that stretches hold
+        # like numbers of operations; every other id is one stretch.
+        n = -(-2 * most // hot_ops)
+        crowded = ops.join(per_id.where(F.col("_ops") > hot_ops), id_col, "left_semi")
+        cuts = F.percentile_approx("seq", [k / n for k in range(1, n)], 20 * n)
+        spans = crowded.groupBy(id_col).agg(F.array_distinct(cuts).alias("_cuts"))
+        stretch = F.size(F.filter("_cuts", lambda x: x < F.col("seq"))).cast("bigint")
+        stretch = F.when(F.col("_cuts").isNotNull(), stretch).otherwise(-1)
         self.keys = [id_col, "_stretch"]
-        self.rows = placed.drop("_from", "_width")
+        self.rows = ops.join(spans, id_col, "left").withColumn("_stretch", stretch).drop("_cuts")
 
     def spread(self, rows: DataFrame) -> DataFrame:
         """Place stretches on different tasks. A table already placed by id
@@ -222,7 +260,7 @@ class _Fold:
         return self._before(rows, {new: source}, F.sum, F.sum, plus)
 
     def _before(self, rows: DataFrame, names: dict[str, str], running, summary, combined) -> DataFrame:
-        frame = W.partitionBy(*self.keys).orderBy("seq").rowsBetween(W.unboundedPreceding, -1)
+        frame = W.partitionBy(*self.keys).orderBy("seq", "_tie").rowsBetween(W.unboundedPreceding, -1)
         if self.hot:
             # Read twice below; written once, it is worked out once.
             rows = self.spread(stage(rows, "fold"))
@@ -239,7 +277,7 @@ class _Fold:
 
 
 def _last_by_seq(source: str) -> Column:
-    return F.max_by(source, F.when(F.col(source).isNotNull(), F.col("seq")))
+    return F.max_by(source, F.when(F.col(source).isNotNull(), F.struct("seq", "_tie")))
 
 
 def _result_name() -> Column:

@@ -27,14 +27,31 @@ def test_children_of_a_parent_without_a_metric_keep_their_counts(spark):
     assert found == {("x", 0.0): (1, None), ("x", 10.0): (0, None), ("x", 20.0): (1, None), ("y", 0.0): (1, 2.0)}
 
 
-def test_one_metric_name_cannot_mean_two_things(spark):
-    c = collection(spark, [("1", "x", 1.0)], "_id string, k string, r double", k="keyword", r="double")
+def test_a_metric_name_belongs_to_its_level(spark):
+    rows = [("1", "x", 1.0, 4.0), ("2", "x", 3.0, 6.0)]
+    c = collection(spark, rows, "_id string, k string, r double, v double", k="keyword", r="double", v="double")
     levels = [
-        buckets.Level("a", buckets.Terms("k", 1), {"m": metrics.avg("r")}),
-        buckets.Level("b", buckets.Terms("k", 1), {"m": metrics.max_of("r")}),
+        buckets.Level("a", buckets.Terms("k", 1, order_by="m"), {"m": metrics.avg("r"), "s": metrics.stats("v")}),
+        buckets.Level("b", buckets.Terms("k", 1), {"m": metrics.max_of("v")}),
     ]
-    with pytest.raises(ValueError):
-        buckets.nested_buckets(c, levels)
+    found = buckets.nested_buckets(c, levels).first()
+    assert (found["a_m"], found["b_m"], found["a_s_avg"], found["a_s_count"]) == (2.0, 6.0, 5.0, 2)
+
+
+def test_parents_without_children_and_empty_ranges_stay(spark):
+    rows = [("1", "x", 1.0, 5.0), ("2", "x", 31.0, 5.0), ("3", "z", None, 5.0)]
+    c = collection(spark, rows, "_id string, k string, v double, w double", k="keyword", v="double", w="double")
+    by_k = buckets.Level("k", buckets.Terms("k", 10))
+    by_v = buckets.Level("v", buckets.Histogram("v", 10))
+    bands = buckets.Level("w", buckets.ranges("w", {"key": "low", "to": 10}, {"key": "high", "from": 10}))
+    rows_of = lambda *levels: sorted((tuple(r) for r in buckets.nested_buckets(c, list(levels)).collect()), key=str)
+    filled = [("x", 2, 0.0, 1), ("x", 2, 10.0, 0), ("x", 2, 20.0, 0), ("x", 2, 30.0, 1), ("z", 1, None, 0)]
+    assert rows_of(by_k, by_v) == filled
+    assert rows_of(by_k, bands) == [("x", 2, "high", 0), ("x", 2, "low", 2), ("z", 1, "high", 0), ("z", 1, "low", 1)]
+    assert rows_of(bands, by_k) == [("high", 0, None, 0), ("low", 3, "x", 2), ("low", 3, "z", 1)]
+    assert rows_of(by_v, by_k) == [(0.0, 1, "x", 1), (10.0, 0, None, 0), (20.0, 0, None, 0), (30.0, 1, "x", 1)]
+    deep = rows_of(by_k, by_v, bands)
+    assert ("z", 1, None, 0, None, 0) in deep and ("x", 2, 10.0, 0, "low", 0) in deep and len(deep) == 9
 
 
 @pytest.mark.parametrize("block", [2, 5, 65_536])
@@ -118,3 +135,49 @@ def test_search_after_carries_score_and_marks(spark):
     assert marks == {"a": ["<em>red</em> <em>red</em> fox"], "b": ["<em>red</em> hen"]}
     plain = paging.search_after(c, None, sort=["t"], size=3)
     assert "_score" not in plain.columns and "highlight" not in plain.columns
+
+
+OPS = "seq long, action string, _id string, doc struct<name string, o struct<x int, y int>>, set_fields array<string>"
+
+
+def bulk_of(spark, rows, ops, **options):
+    target = spark.createDataFrame(rows, "_id string, _version long, name string, o struct<x int, y int>")
+    return mutate.bulk(target, spark.createDataFrame(ops, OPS), **options)
+
+
+def test_null_objects_stay_null(spark):
+    rows = [("a", 1, "n", None), ("b", 1, "n", (1, 2)), ("c", 1, "n", None), ("d", 1, "n", (None, None))]
+    ops = [
+        (1, "update", "a", ("new", None), ["name"]),
+        (2, "update", "b", (None, None), ["o"]),
+        (3, "update", "c", (None, (7, None)), ["o.x"]),
+        (4, "update", "d", ("n", None), ["name"]),
+        (5, "index", "e", ("n", None), None),
+    ]
+    found = bulk_of(spark, rows, ops)
+    objects = {r["_id"]: r["o"] and tuple(r["o"]) for r in found.table.collect()}
+    assert objects == {"a": None, "b": None, "c": (7, None), "d": (None, None), "e": None}
+    assert {r["_id"]: r["result"] for r in found.items.collect()}["d"] == "noop"
+
+
+def test_a_crowded_id_is_cut_by_count(spark):
+    ops = [(i if i else 10**9, "upsert", "a", (str(i), None), ["name"]) for i in range(3000)]
+    fold = mutate._Fold("_id", spark.createDataFrame(ops, OPS), 200)
+    sizes = [r["count"] for r in fold.rows.groupBy("_stretch").count().collect()]
+    assert fold.hot and sum(sizes) == 3000 and max(sizes) <= 400
+    last = bulk_of(spark, [], ops, hot_ops=200).table.first()
+    assert (last["name"], last["_version"]) == ("0", 3000)
+
+
+def test_equal_seqs_give_one_order(spark):
+    ops = [(1, "index", "a", (str(i), None), None) for i in range(6)]
+    found = [bulk_of(spark, [], list(reversed(ops)) if k else ops, hot_ops=100 if k < 2 else 2) for k in range(3)]
+    assert len({f.table.first()["name"] for f in found}) == 1
+    assert {r["_version"] for r in found[0].items.collect()} == set(range(1, 7))
+
+
+def test_rows_that_share_an_id_keep_their_own_tokens(spark):
+    df = spark.createDataFrame([(1, ["bad"]), (1, ["well"]), (2, None)], "_id int, w array<string>")
+    rules = spark.createDataFrame([("bad", "worse")], "word string, form string")
+    found = analysis.expand_tokens(df, "_id", "w", rules, keep=True, out="out").collect()
+    assert sorted(map(str, (r["out"] for r in found))) == ["None", "['bad', 'worse']", "['well']"]
