@@ -415,6 +415,89 @@ def sub_agg_list_in_range(spark, sf):
     return rounded(b.nested_buckets(t.products(spark, sf), levels), "tag_price")
 
 
+EVENT_R = "CASE WHEN event_type <> 'click' THEN value END"
+
+
+def partly_measured(spark, sf) -> Collection:
+    """Events; those of one type have no value in ``r`` and no ``who``."""
+    c = t.events(spark, sf)
+    measured = F.col("event_type") != "click"
+    columns = {"r": F.when(measured, F.col("value")), "who": F.when(measured, F.col("user_id") % 7)}
+    return c.with_df(c.df.withColumns(columns))
+
+
+@query(
+    "sub_agg_null_parent_metric",
+    f"""WITH one AS (SELECT event_type, count(*) AS n, round(avg({EVENT_R}), 4) AS r FROM events GROUP BY 1),
+      two AS (SELECT event_type, CAST(floor(value / 20) AS BIGINT) AS k, count(*) AS n FROM events GROUP BY 1, 2),
+      spine AS (SELECT event_type, unnest(range(min(k), max(k) + 1)) AS k FROM two GROUP BY 1)
+      SELECT event_type AS kind, one.n AS kind_count, r AS kind_r, CAST(k * 20.0 AS DOUBLE) AS value,
+        coalesce(two.n, 0) AS value_count FROM spine JOIN one USING (event_type) LEFT JOIN two USING (event_type, k)""",
+)
+def sub_agg_null_parent_metric(spark, sf):
+    levels = [b.Level("kind", b.Terms("event_type"), {"r": m.avg("r")}), b.Level("value", b.Histogram("value", 20))]
+    return rounded(b.nested_buckets(partly_measured(spark, sf), levels), "kind_r")
+
+
+@query(
+    "sub_agg_same_metric_name",
+    """WITH one AS (SELECT l_returnflag AS flag, count(*) AS n, round(avg(l_quantity), 4) AS m FROM lineitem GROUP BY 1)
+      SELECT flag, one.n AS flag_count, one.m AS flag_m, l_linestatus AS status, count(*) AS status_count,
+        max(l_extendedprice) AS status_m FROM lineitem JOIN one ON l_returnflag = flag GROUP BY ALL""",
+)
+def sub_agg_same_metric_name(spark, sf):
+    levels = [
+        b.Level("flag", b.Terms("l_returnflag"), {"m": m.avg("l_quantity")}),
+        b.Level("status", b.Terms("l_linestatus"), {"m": m.max_of("l_extendedprice")}),
+    ]
+    return rounded(b.nested_buckets(lineitem(spark, sf), levels), "flag_m")
+
+
+@query(
+    "sub_agg_empty_ranges",
+    f"""WITH {PRODUCTS},
+      one AS (SELECT category, count(*) AS n FROM products GROUP BY 1 ORDER BY n DESC, category LIMIT 3)
+      SELECT category, one.n AS category_count, band,
+        (SELECT count(*) FROM products p WHERE p.category = one.category AND p.price >= lo AND p.price < hi) AS band_count
+      FROM one, (VALUES ('low', 0, 950), ('mid', 940, 1000), ('none', 5000, 9000)) AS v(band, lo, hi)""",
+)
+def sub_agg_empty_ranges(spark, sf):
+    bands = b.ranges(
+        "price", {"key": "low", "from": 0, "to": 950}, {"key": "mid", "from": 940, "to": 1000},
+        {"key": "none", "from": 5000, "to": 9000},
+    )
+    return b.nested_buckets(t.products(spark, sf), [b.Level("category", b.Terms("category", 3)), b.Level("band", bands)])
+
+
+@query(
+    "sub_agg_childless_parent",
+    """WITH one AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1),
+      two AS (SELECT event_type, user_id % 7 AS who, count(*) AS n FROM events WHERE event_type <> 'click' GROUP BY 1, 2),
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY n DESC, who) AS r FROM two)
+      SELECT event_type AS kind, one.n AS kind_count, who, coalesce(ranked.n, 0) AS who_count
+      FROM one LEFT JOIN (SELECT * FROM ranked WHERE r <= 3) ranked USING (event_type)""",
+)
+def sub_agg_childless_parent(spark, sf):
+    levels = [b.Level("kind", b.Terms("event_type")), b.Level("who", b.Terms("who", 3))]
+    return b.nested_buckets(partly_measured(spark, sf), levels)
+
+
+@query(
+    "sub_agg_terms_in_filled_histogram",
+    f"""WITH {PRODUCTS}, p AS (SELECT *, views // 5 AS k FROM products WHERE views < 10 OR views > 30),
+      spine AS (SELECT unnest(range(min(k), max(k) + 1)) AS k FROM p),
+      one AS (SELECT k, count(*) AS n FROM p GROUP BY 1),
+      two AS (SELECT k, brand, count(*) AS n FROM p GROUP BY 1, 2),
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n DESC, brand) AS r FROM two)
+      SELECT CAST(k * 5.0 AS DOUBLE) AS views, coalesce(one.n, 0) AS views_count, brand, coalesce(ranked.n, 0) AS brand_count
+      FROM spine LEFT JOIN one USING (k) LEFT JOIN (SELECT * FROM ranked WHERE r <= 2) ranked USING (k)""",
+)
+def sub_agg_terms_in_filled_histogram(spark, sf):
+    levels = [b.Level("views", b.Histogram("views", 5)), b.Level("brand", b.Terms("brand", 2))]
+    condition = q.between("views", lt=10) | q.between("views", gt=30)
+    return b.nested_buckets(t.products(spark, sf), levels, condition)
+
+
 # --- geo ------------------------------------------------------------------
 
 

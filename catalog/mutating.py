@@ -169,11 +169,25 @@ def bulk_report(spark, sf):
     return w.bulk_report(w.bulk(customers(spark, sf), operations(spark, sf)).items)
 
 
+FINISHED = "o_orderstatus = 'F'"
+
+
+def _indexed(wanted: str, name: str) -> str:
+    """Last operation per id of the orders that ``wanted`` admits, and their number."""
+    return (
+        f"SELECT '{name}' AS name, CAST(o_custkey AS VARCHAR) AS _id, count(*) AS n, 'order ' || max(o_orderkey) AS text,"
+        f" max_by(o_totalprice, o_orderkey) AS balance, CAST(max(o_orderkey) % 25 AS INT) AS nation,"
+        f" max_by(o_orderstatus, o_orderkey) AS segment FROM orders WHERE {wanted} GROUP BY o_custkey"
+    )
+
+
 @query(
     "bulk_multi_table",
-    "SELECT 'customer' AS name, count(*) AS rows FROM (SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer"
-    " UNION SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderstatus <> 'F')"
-    " UNION ALL SELECT 'finished', count(DISTINCT o_custkey) FROM orders WHERE o_orderstatus = 'F'",
+    f"WITH i AS ({_indexed('NOT ' + FINISHED, 'customer')} UNION ALL {_indexed(FINISHED, 'finished')})"
+    " SELECT i.name, i._id, CAST(n + CASE WHEN i.name = 'customer' AND c_custkey IS NOT NULL THEN 1 ELSE 0 END AS BIGINT)"
+    " AS _version, text, balance, nation, segment FROM i LEFT JOIN customer ON CAST(c_custkey AS VARCHAR) = i._id"
+    " UNION ALL SELECT 'customer', CAST(c_custkey AS VARCHAR), CAST(1 AS BIGINT), c_name, c_acctbal, c_nationkey,"
+    " c_mktsegment FROM customer WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT _id FROM i WHERE name = 'customer')",
 )
 def bulk_multi_table(spark, sf):
     ops = operations(spark, sf, "index")
@@ -181,8 +195,46 @@ def bulk_multi_table(spark, sf):
     ops = ops.withColumn("_index", named).withColumn("_id", F.regexp_replace("_id", "^new-", ""))
     table = customers(spark, sf)
     results = w.bulk_tables({"customer": table, "finished": table.limit(0)}, ops, default="customer")
-    parts = [r.table.agg(F.lit(n).alias("name"), F.count("*").alias("rows")) for n, r in results.items()]
-    return parts[0].unionByName(parts[1])
+    rows = [
+        r.table.select(
+            F.lit(n).alias("name"), "_id", "_version", F.col("name").alias("text"), "balance", "profile.nation",
+            "profile.segment",
+        )
+        for n, r in results.items()
+    ]
+    return rows[0].unionByName(rows[1])
+
+
+@query(
+    "bulk_null_object",
+    "SELECT CAST(c_custkey AS VARCHAR) AS _id, c_custkey % 3 <> 0 AS has_profile,"
+    " CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS segment,"
+    " CASE WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN 0.0 ELSE c_acctbal END AS balance FROM customer",
+)
+def bulk_null_object(spark, sf):
+    """Updates of another field leave null objects null."""
+    table = customers(spark, sf)
+    table = table.withColumn("profile", F.when(F.col("_id").cast("long") % 3 != 0, F.col("profile")))
+    ops = operations(spark, sf, "update").withColumn("_id", F.regexp_replace("_id", "^new-", ""))
+    ops = ops.withColumn("doc", F.col("doc").withField("balance", F.lit(0.0)))
+    found = w.bulk(table, ops.withColumn("set_fields", F.array(F.lit("balance")))).table
+    return found.select("_id", F.col("profile").isNotNull().alias("has_profile"), "profile.segment", "balance")
+
+
+@query(
+    "bulk_generated_ids",
+    "SELECT count(*) AS rows, count(*) AS ids, max(o_totalprice) AS highest, CAST(1 AS BIGINT) AS version FROM orders",
+)
+def bulk_generated_ids(spark, sf):
+    """Operations without an id become one document each."""
+    ops = operations(spark, sf, "index").withColumn("_id", F.lit(None).cast("string"))
+    found = w.bulk(customers(spark, sf).limit(0), ops).table
+    return found.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("_id").alias("ids"),
+        F.max("balance").alias("highest"),
+        F.max("_version").alias("version"),
+    )
 
 
 def versioned_products(spark, sf) -> Collection:

@@ -78,6 +78,16 @@ def terms(spark, sf):
     return hits(t.products(spark, sf), q.terms("brand", "Brand#1", "Brand#2", "Brand#3"), "brand")
 
 
+@query(
+    "terms_long_list",
+    f"WITH {PRODUCTS} SELECT _id, title FROM products WHERE list_has_any(tags, ['large', 'steel', 'red'])",
+)
+def terms_long_list(spark, sf):
+    """More values than are tested inline, on a list field."""
+    values = ["large", "steel", "red", *(f"no such tag {i}" for i in range(1500))]
+    return s.search(t.products(spark, sf), q.terms("tags", *values), size=100_000, source=["title"]).select("_id", "title")
+
+
 @query(
     "terms_table",
     "SELECT CAST(o_orderkey AS VARCHAR) AS _id, o_custkey FROM orders"
@@ -511,16 +521,22 @@ def search_after_next(spark, sf):
 
 @query(
     "scroll_export",
-    "WITH n AS (SELECT count(*) AS n FROM lineitem WHERE l_returnflag = 'R'),"
-    " b AS (SELECT unnest(range(CAST(ceil(n / 1000.0) AS BIGINT))) AS batch, n FROM n)"
-    " SELECT batch, CAST(least(1000, n - batch * 1000) AS BIGINT) AS hits FROM b",
+    "WITH n AS (SELECT l_orderkey || '-' || l_linenumber AS _id, row_number() OVER () AS r FROM lineitem"
+    " WHERE l_returnflag = 'R'),"
+    " b AS (SELECT unnest(range(CAST(ceil(count(*) / 1000.0) AS BIGINT))) AS batch, count(*) AS n, count(DISTINCT _id) AS ids,"
+    " sum(length(_id)) AS chars FROM n)"
+    " SELECT batch, CAST(least(1000, n - batch * 1000) AS BIGINT) AS hits, ids, CAST(chars AS BIGINT) AS chars FROM b",
 )
 def scroll_export(spark, sf):
+    """Sizes of the batches, and that together they hold every row once."""
     from siftframe import Collection
 
     rows = t.load(spark, sf, "lineitem").withColumn("_id", F.concat_ws("-", "l_orderkey", "l_linenumber"))
     batches = paging.scroll_export(Collection(rows), q.term("l_returnflag", "R"), size=1000)
-    return batches.groupBy(F.col("_batch").alias("batch")).agg(F.count_distinct("_position").alias("hits"))
+    ids = batches.agg(F.count_distinct("_id")).scalar()
+    chars = batches.agg(F.sum(F.length("_id"))).scalar()
+    sizes = batches.groupBy(F.col("_batch").alias("batch")).agg(F.count_distinct("_position").alias("hits"))
+    return sizes.withColumns({"ids": ids, "chars": chars})
 
 
 @query(
