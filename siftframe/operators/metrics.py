@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siftframe.operators.search import matching
 from siftframe.plans.collection import Collection
@@ -32,7 +33,7 @@ class Metric:
         """(label, aggregate) pairs, over the rows where ``only`` holds."""
         slot = c.scope.slot(self.field)
         value = slot.column if only is None else F.when(only, slot.column)
-        parts = _list_parts(value) if slot.is_array else _value_parts(value)
+        parts = _list_parts(value, _whole_elements(c, slot.column)) if slot.is_array else _value_parts(value)
         return self._outputs(name, value, parts, slot.is_array)
 
     def _outputs(self, name: str, value: Column, parts: dict, listed: bool) -> list[tuple[str, Column]]:
@@ -70,14 +71,20 @@ def _value_parts(v: Column) -> dict[str, Column]:
     }
 
 
-def _list_parts(v: Column) -> dict[str, Column]:
+def _whole_elements(c: Collection, lists: Column) -> bool:
+    return isinstance(c.df.select(lists).schema[0].dataType.elementType, T.IntegralType)
+
+
+def _list_parts(v: Column, whole: bool) -> dict[str, Column]:
     """A metric over a list field sees every element; each list is reduced in
-    its row, so the rows are not multiplied."""
-    total = F.sum(F.aggregate(v, F.lit(0.0), lambda a, x: a + F.coalesce(x.cast("double"), F.lit(0.0))))
+    its row, so the rows are not multiplied. Sums of ``whole`` numbers are exact."""
+    kind = "bigint" if whole else "double"
+    zero = F.lit(0).cast(kind)
+    total = F.sum(F.aggregate(v, zero, lambda a, x: a + F.coalesce(x.cast(kind), zero)))
     number = F.coalesce(F.sum(F.size(F.array_compact(v))), F.lit(0))
     return {
         "avg": F.try_divide(total, number),
-        "sum": F.coalesce(total, F.lit(0.0)),
+        "sum": F.coalesce(total, zero),
         "min": F.min(F.array_min(v)),
         "max": F.max(F.array_max(v)),
         "value_count": number,

@@ -27,6 +27,13 @@ def test_children_of_a_parent_without_a_metric_keep_their_counts(spark):
     assert found == {("x", 0.0): (1, None), ("x", 10.0): (0, None), ("x", 20.0): (1, None), ("y", 0.0): (1, 2.0)}
 
 
+def test_sums_of_whole_lists_are_exact(spark):
+    rows = [("1", [2**60, 1]), ("2", [2, None]), ("3", None)]
+    c = collection(spark, rows, "_id string, n array<bigint>", n="long")
+    found = metrics.aggregate(c, {"s": metrics.stats("n")}).first()
+    assert (found["s_sum"], found["s_count"], found["s_max"]) == (2**60 + 3, 3, 2**60)
+
+
 def test_a_metric_name_belongs_to_its_level(spark):
     rows = [("1", "x", 1.0, 4.0), ("2", "x", 3.0, 6.0)]
     c = collection(spark, rows, "_id string, k string, r double, v double", k="keyword", r="double", v="double")
