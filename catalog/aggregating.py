@@ -415,6 +415,17 @@ def sub_agg_list_in_range(spark, sf):
     return rounded(b.nested_buckets(t.products(spark, sf), levels), "tag_price")
 
 
+@query(
+    "agg_terms_large",
+    "WITH g AS (SELECT l_orderkey AS key, count(*) AS doc_count FROM lineitem GROUP BY 1),"
+    " s AS (SELECT * FROM g ORDER BY doc_count DESC, key LIMIT 12000)"
+    " SELECT *, CAST((SELECT sum(doc_count) FROM g) - (SELECT sum(doc_count) FROM s) AS BIGINT) AS sum_other_doc_count FROM s",
+)
+def agg_terms_large(spark, sf):
+    """More buckets than one task keeps."""
+    return b.buckets(lineitem(spark, sf), b.Terms("l_orderkey", 12_000))
+
+
 EVENT_R = "CASE WHEN event_type <> 'click' THEN value END"
 
 

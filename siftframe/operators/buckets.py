@@ -249,8 +249,12 @@ def _terms(c: Collection, spec: Terms, metrics) -> DataFrame:
     keys, many = spec.keys(c)
     weight = F.sum(F.size(keys)) if many else F.count(keys)
     everything = c.df.agg(weight.cast("bigint").alias("all")).scalar()
-    # At most ``size`` rows are left here, so one frame over them is small.
-    shown = F.sum("doc_count").over(W.partitionBy())
+    if spec.top <= TOP_ROWS:
+        # One frame over the few rows that are left spares their second making.
+        shown = F.sum("doc_count").over(W.partitionBy())
+    else:
+        # These rows were written by ``top_rows`` and are only read again.
+        shown = F.coalesce(found.agg(F.sum("doc_count").alias("shown")).scalar(), F.lit(0))
     return found.withColumn("sum_other_doc_count", everything - shown)
 
 
