@@ -33,6 +33,8 @@ from siftframe.session import stage
 WINDOW = 13  # words of a window
 GRAM = 4  # words of the grams that place the cuts
 PIECE = 1 << 23  # bytes of text handled at a time
+
+
 def blocks(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(gram, block hash, first window, number of windows) of each block of a
     text with word hashes ``h``; none below 13 words."""
