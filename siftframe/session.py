@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Rows a side may have before we stop asking for a broadcast. A row of ids or
 # words is well under 1 KB, so this is at most a few tens of MB per executor.
@@ -67,9 +66,3 @@ def drop_staged(spark: SparkSession) -> int:
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; stops reading beyond."""
     return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a row check; otherwise the join strategy stays
-    with Catalyst and adaptive execution."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
