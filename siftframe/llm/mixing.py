@@ -127,6 +127,15 @@ def smoothed(docs: DataFrame, column: str, tokens: str, power: float = 0.5) -> T
     return Target(column, {r["value"]: r["n"] ** power / total for r in first})
 
 
+def beside_others(docs: DataFrame, target: Target, tokens: str) -> Target:
+    """``target`` scaled so that values without a share of their own, and null,
+    keep together the share of tokens that they have in ``docs``."""
+    known = F.coalesce(F.col(f"`{target.column}`").cast("string").isin(list(target.shares)), F.lit(False))
+    sums = docs.agg(F.sum(tokens).alias("whole"), F.sum(F.when(~known, F.col(tokens))).alias("others")).first()
+    left = 1 - (sums["others"] or 0) / max(1, sums["whole"] or 0)
+    return Target(target.column, {v: s * left for v, s in target.shares.items()})
+
+
 def with_topics(docs: DataFrame, text: str = "text", tokens: str = "n_tokens", topic: str = "topic") -> DataFrame:
     """``docs`` with its number of words and a topic, written once.
 

@@ -211,7 +211,8 @@ def op2_hidden_markov_score(spark: SparkSession, sf: str) -> DataFrame:
     return hmm.score(docs.withColumn("held_out", remainder(F.col("doc_id"), 7) == 2), "held_out")
 
 
-# Shares of tokens by language and topic; those of sources follow the table.
+# Shares of tokens by language (among these languages; all others keep their own
+# share of the table) and topic; those of sources follow the table.
 LANGUAGES = mixing.Target("lang", {"en": 0.58, "de": 0.16, "fr": 0.14, "es": 0.12})
 TOPIC_SHARES = mixing.Target("topic", {f"topic{i}": 1 / mixing.TOPICS for i in range(mixing.TOPICS)})
 MIXED_SHARE = 0.5
@@ -222,7 +223,8 @@ def mix_documents(docs: DataFrame, tokens: str, topic: str) -> DataFrame:
     ``tokens``, ``topic`` and probability."""
     counted = mixing.with_topics(docs, tokens=tokens, topic=topic)
     topics = mixing.Target(topic, TOPIC_SHARES.shares)
-    targets = [mixing.smoothed(counted, "source", tokens), LANGUAGES, topics]
+    languages = mixing.beside_others(counted, LANGUAGES, tokens)
+    targets = [mixing.smoothed(counted, "source", tokens), languages, topics]
     return mixing.mixed(counted, targets, tokens, MIXED_SHARE)
 
 

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from siftframe.llm import bpe, chat, hmm, minhash, mixing, quality, substrings, toxicity, urls, vectors
+from siftframe.llm import bpe, chat, hmm, minhash, mixing, quality, queries, substrings, toxicity, urls, vectors
 from siftframe.llm.components import connected_components
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -139,6 +139,19 @@ def test_mixture_follows_shares_and_bears_nulls(spark):
         mixing.Target("a", {"x": 0.7, "y": 0.7})
 
 
+def test_mixture_keeps_unlisted_and_null_languages(spark):
+    langs = ["en", "en", "en", "en", "en", "de", "fr", "es", "pl", "pl", None, None]
+    rows = [(i, " ".join(words(10, i)), langs[i % 12], f"s{i // 12 % 2}") for i in range(3000)]
+    df = spark.createDataFrame(rows, DOCS + ", lang string, source string")
+    found = queries.mix_documents(df, "n_tokens", "topic").collect()
+    tokens = sum(r["n_tokens"] for r in found)
+    share = {v: sum(r["n_tokens"] for r in found if r["lang"] == v) / tokens for v in set(langs)}
+    assert share["en"] == pytest.approx(0.58 * 2 / 3, abs=0.04)
+    assert share["pl"] == pytest.approx(1 / 6, abs=0.04) and share[None] == pytest.approx(1 / 6, abs=0.04)
+    only = queries.mix_documents(df.withColumn("lang", F.lit(None).cast("string")), "n_tokens", "topic")
+    assert only.count() == pytest.approx(1500, abs=150)
+
+
 def test_topics_and_counts(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "b b b c")], DOCS + "").withColumn("topic", F.lit("old"))
     found = {r["doc_id"]: r for r in mixing.with_topics(df).collect()}
