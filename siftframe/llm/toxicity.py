@@ -93,16 +93,22 @@ class Model:
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, self.slope * evidence + self.offset))))
 
 
-def _log_odds(rows: list[tuple[bytes, int, int]], toxic: int, clean: int) -> tuple[dict[bytes, float], float]:
+def _log_odds(
+    rows: list[tuple[bytes, int, int]], toxic: int, clean: int, odds: float = 1.0
+) -> tuple[dict[bytes, float], float]:
     """Scores of (word, toxic documents, clean documents), and of all other
-    words: the log-odds of the mass that remains."""
-    share = toxic / max(1, toxic + clean)
+    words: the log-odds of the mass that remains. A toxic document stands for
+    ``odds`` times as many labelled ones as a clean document: the prior follows
+    their true share. Whether a word's counts are chance is asked of the
+    documents counted, so by their share."""
+    share = toxic * odds / max(1, toxic * odds + clean)
+    counted = toxic / max(1, toxic + clean)
     spent = [0.0, 0.0]
     scores = {}
     for word, t, c in rows:
         p = (t + PRIOR * share) / (toxic + PRIOR * share)
         q = (c + PRIOR * (1 - share)) / (clean + PRIOR * (1 - share))
-        if p < RATIO * q or _surprise(t, c, share) < EVIDENCE:
+        if p < RATIO * q or _surprise(t, c, counted) < EVIDENCE:
             continue
         scores[word] = math.log(p / q)
         spent[0] += p
@@ -137,14 +143,15 @@ def _scale(rows: list[tuple[bytes, int, int]], scores: dict[bytes, float], other
     return high
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope (not negative) and offset of a logistic curve, with a light ridge."""
+def _logistic(x: np.ndarray, y: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
+    """Slope (not negative) and offset of a logistic curve, with a light ridge;
+    a row counts ``weights`` times."""
     w = np.array([0.1, 0.0])
     design = np.stack([x, np.ones_like(x)], 1)
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        gradient = design.T @ (p - y) + np.array([1e-2, 1e-3]) * w
-        curve = design.T @ (design * (p * (1 - p))[:, None]) + np.diag([1e-2, 1e-3])
+        gradient = design.T @ (weights * (p - y)) + np.array([1e-2, 1e-3]) * w
+        curve = design.T @ (design * (weights * p * (1 - p))[:, None]) + np.diag([1e-2, 1e-3])
         step = np.linalg.solve(curve, gradient)
         step *= min(1.0, 2.0 / max(1e-9, np.abs(step).max()))
         w = w - step
@@ -199,11 +206,14 @@ def _sketched(docs: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """A model of the labelled documents. Rows with a null key or label are left
     out; a document with both labels counts as toxic. ``MOST_LABELLED`` of each
-    class are used at most. Without both classes every text scores the same:
+    class are used at most, and each counts for all those of its class that it
+    stands for, so that scores follow the true share of toxic labels. Without both classes every text scores the same:
     the share of toxic labels, 0 without labels."""
     p = fresh(docs, labels)
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("toxic")).na.drop()
     known = known.groupBy("key").agg(F.max("toxic").alias("toxic"))
+    labelled = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    weights = {t: max(1.0, labelled.get(t, 0) / MOST_LABELLED) for t in (0, 1)}
     order = [F.xxhash64("key"), F.col("key")]
     chosen = None
     for toxic in (0, 1):
@@ -216,12 +226,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     sample = sample.withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "key"), F.lit(2)).cast("int")).drop("sketch", "key")
     sample = sample.persist()
     try:
-        return _fitted(sample)
+        return _fitted(sample, weights)
     finally:
         sample.unpersist()
 
 
-def _fitted(sample: DataFrame) -> Model:
+def _fitted(sample: DataFrame, weights: dict[int, float]) -> Model:
+    """``weights``: labelled documents of each class for one in ``sample``."""
     documents = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(documents) < 2:
         share = documents.get(1, 0) / max(1, sum(documents.values()))
@@ -244,7 +255,7 @@ def _fitted(sample: DataFrame) -> Model:
     def model(halves: tuple[int, ...]) -> Model:
         used = [(w, sum(each[h][1] for h in halves), sum(each[h][0] for h in halves)) for w, *each in rows]
         toxic, clean = (sum(sizes.get((h, t), 0) for h in halves) for t in (1, 0))
-        scores, other = _log_odds(used, toxic, clean)
+        scores, other = _log_odds(used, toxic, clean, weights[1] / weights[0])
         return Model(scores, other, scale=_scale(used, scores, other, clean))
 
     # Each half is scored by the words of the other one.
@@ -270,7 +281,8 @@ def _fitted(sample: DataFrame) -> Model:
     density = min(max(density, 1e-4), 1.0)
     plain = Model({}, 0.0, scale=1.0, density=density)
     x = np.array([plain.evidence([(0, 0, s) for s in r["scaled"]], r["n"]) for r in seen])
-    slope, offset = _logistic(x, np.array([r["toxic"] for r in seen], float))
+    y = np.array([r["toxic"] for r in seen], float)
+    slope, offset = _logistic(x, y, np.where(y == 1, weights[1], weights[0]))
     final = model((0, 1))
     return Model(final.scores, final.other, final.scale, density, slope, offset)
 

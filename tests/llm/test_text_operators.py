@@ -380,6 +380,21 @@ def test_toxic_texts_are_found_by_held_out_words(spark):
     assert by_id[6]["passages"] and not by_id[1]["passages"]
 
 
+def test_toxicity_scores_follow_the_true_share_of_labels(spark, monkeypatch):
+    rows, labels = [], []
+    for i in range(1500):
+        text = words(60, i, 300)
+        if i % 10 == 0 and i % 50 or i % 37 == 1:
+            text[20:22] = ["vile", "foul"]
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(i % 10 == 0)))
+    docs = spark.createDataFrame(rows, DOCS)
+    marked = spark.createDataFrame(labels, "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "MOST_LABELLED", 150)
+    found = [r["score"] for r in toxicity.score(docs, toxicity.fit(docs, marked)).collect()]
+    assert max(found) > 0.5 and sum(found) / len(found) == pytest.approx(0.1, abs=0.03)
+
+
 def test_toxicity_without_labels_or_one_class(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c")], DOCS)
     none = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
