@@ -224,8 +224,7 @@ def mix_documents(docs: DataFrame, tokens: str, topic: str) -> DataFrame:
     counted = mixing.with_topics(docs, tokens=tokens, topic=topic)
     topics = mixing.Target(topic, TOPIC_SHARES.shares)
     languages = mixing.beside_others(counted, LANGUAGES, tokens)
-    targets = [mixing.smoothed(counted, "source", tokens), languages, topics]
-    return mixing.mixed(counted, targets, tokens, MIXED_SHARE)
+    return mixing.mixed(counted, [languages, topics], tokens, MIXED_SHARE, every=mixing.Smoothed("source"))
 
 
 @query("op3_raked_mixture")

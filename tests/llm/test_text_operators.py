@@ -152,6 +152,23 @@ def test_mixture_keeps_unlisted_and_null_languages(spark):
     assert only.count() == pytest.approx(1500, abs=150)
 
 
+def test_every_source_has_its_target_on_driver_and_executors(spark, monkeypatch):
+    df = spark.range(-1, 6000).selectExpr(
+        "id AS doc_id", "if(id < 0, NULL, concat('s', id % 300)) AS source", "if(id div 300 % 5 = 0, 'b', 'a') AS lang", "10L AS n"
+    )
+    df = df.unionByName(spark.sql("SELECT -2L AS doc_id, 's1' AS source, NULL AS lang, NULL AS n"))
+    target = [mixing.Target("lang", {"a": 0.7, "b": 0.3})]
+    every = mixing.Smoothed("source")
+    found = sorted(mixing.mixed(df, target, "n", 0.4, every=every).collect())
+    chances = {r["source"]: r["probability"] for r in found if r["lang"] == "a" and r["source"]}
+    assert len(chances) > 290 and max(chances.values()) == pytest.approx(min(chances.values()), rel=0.02)
+    monkeypatch.setattr(mixing, "LOCAL_ROWS", 10)
+    monkeypatch.setattr(mixing, "STAGED_ROUNDS", 2)
+    spread = sorted(mixing.mixed(df, target, "n", 0.4, every=every).collect())
+    assert [tuple(r)[:4] for r in spread] == [tuple(r)[:4] for r in found]
+    assert [r["probability"] for r in spread] == pytest.approx([r["probability"] for r in found], rel=1e-9)
+
+
 def test_topics_and_counts(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "b b b c")], DOCS + "").withColumn("topic", F.lit("old"))
     found = {r["doc_id"]: r for r in mixing.with_topics(df).collect()}
