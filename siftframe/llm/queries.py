@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftframe.llm import bpe, chat, hmm, minhash, mixing, quality, substrings, toxicity, urls, vectors
+from siftframe.llm import bpe, chat, hmm, minhash, mixing, negatives, quality, substrings, toxicity, urls, vectors, whitening
 from siftframe.llm.common import remainder
 
 QUERIES: dict = {}
@@ -231,3 +231,36 @@ def mix_documents(docs: DataFrame, tokens: str, topic: str) -> DataFrame:
 def op3_raked_mixture(spark: SparkSession, sf: str) -> DataFrame:
     drawn = mix_documents(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), "n_tokens", "topic")
     return drawn.select("doc_id", "source", "lang", "topic", "n_tokens", "probability")
+
+
+@query(
+    "op11_hard_negatives",
+    r"""
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, c.label = a.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM r a JOIN r c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS nth FROM s WHERE same)
+  WHERE nth <= 5),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.nth ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 100 * s.score BETWEEN 50 * p.score AND 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+""",
+)
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    vectors_ = table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors_.withColumn("label", moved), F.col("vec_id") % 50 == 0, scale=256.0)
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf, "embeddings").select("vec_id", "embedding"))
