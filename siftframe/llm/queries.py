@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftframe.llm import bpe, chat, hmm, minhash, mixing, negatives, quality, substrings, toxicity, urls, vectors, whitening
+from siftframe.llm import bpe, chat, hmm, minhash, mixing, negatives, quality, substrings, suffixes, toxicity, urls, vectors, whitening
 from siftframe.llm.common import remainder
 
 QUERIES: dict = {}
@@ -264,3 +264,29 @@ def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
 @query("op12_whitening")
 def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return whitening.whitened(table(spark, sf, "embeddings").select("vec_id", "embedding"))
+
+
+@query(
+    "op13_repeated_strings",
+    r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT k, doc_id, i, md5(h[2 * i + 1:2 * i + 200]) AS win
+  FROM (SELECT k, doc_id, h, unnest(range(0, CAST(len(h) // 2 AS BIGINT) - 99)) AS i FROM d)),
+r AS (SELECT k, i FROM (SELECT k, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS nth FROM w) WHERE nth > 1),
+n AS (SELECT k, i, CASE WHEN i > lag(i) OVER (PARTITION BY k ORDER BY i) + 100 THEN 1 ELSE 0 END AS new FROM r),
+s AS (
+  SELECT k, min(i) AS a, max(i) + 100 AS b FROM (SELECT k, i, sum(new) OVER (PARTITION BY k ORDER BY i) AS g FROM n) GROUP BY k, g),
+p AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY k ORDER BY a), 0) AS before FROM s),
+c AS (
+  SELECT k, string_agg(h[2 * before + 1:2 * a], '' ORDER BY a) || any_value(h)[2 * max(b) + 1:] AS kept, count(*) AS n_spans,
+    sum(b - a) AS n_removed
+  FROM p JOIN d USING (k) GROUP BY k)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN c USING (k)
+""",
+)
+def op13_repeated_strings(spark: SparkSession, sf: str) -> DataFrame:
+    docs = suffixes.without_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
