@@ -348,7 +348,7 @@ def _compared(rows: DataFrame, length: int) -> DataFrame:
         left, count = span >> 34, (span >> 2) & 0xFFFFFFFF
         found = repeated_strings(group, left, count, around, length)
         # Equal (document, place, span) are repeated rows and count once.
-        again = np.all([np.diff(x, prepend=x[0] - 1) == 0 for x in (doc, place, span)], axis=0)
+        again = np.all([np.diff(x, prepend=x[0] - 1) == 0 for x in (doc, place, span >> 2)], axis=0)
         found[again] = False
         edges = np.diff(np.pad(found, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         r, low = np.nonzero(edges == 1)
