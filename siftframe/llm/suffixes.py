@@ -44,10 +44,10 @@ from siftframe.llm.hashing import MIX, mixed
 from siftframe.session import stage
 
 LENGTH = 100  # bytes of a string
-PIECE = 1 << 20  # bytes of text handled at a time; longer texts are cut, strings are not
-SETTLE = 1 << 25  # bytes of text whose tuples are settled before they travel
+PIECE = 1 << 18  # bytes of text handled at a time; longer texts are cut, strings are not
+SETTLE = 1 << 23  # bytes of text whose tuples are settled before they travel
 CROWD = 20_000  # undecided tuples of one gram that a task may compare
-TOGETHER = 1 << 15  # tuples compared at once
+TOGETHER = 1 << 13  # tuples compared at once
 LOW = np.uint64(0xFFFFFFFF)
 
 _draw = np.random.default_rng(20240607)
