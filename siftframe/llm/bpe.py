@@ -12,6 +12,7 @@ training loaders map into memory.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import re
@@ -31,8 +32,8 @@ from siftframe.llm.common import append_column, pieces, with_outputs
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 LONG_WORD = 96  # bytes; longer words are merged by a heap
-CACHED_WORDS = 200_000  # encoded words a worker remembers (under 50 MB); then it starts anew
-PIECE = 1 << 22  # bytes of a batch handled at a time
+CACHED_WORDS = 100_000  # encoded words a worker remembers (under 25 MB); then it starts anew
+PIECE = 1 << 20  # bytes of a batch handled at a time
 CACHED_BYTES = 64  # longer words are not remembered
 _NONE = 1 << 60
 
@@ -159,75 +160,90 @@ class Decoder:
         return raw.decode("utf-8", "replace")
 
 
-def _mapped(df: DataFrame, column: str, into: str, kind: T.DataType, keep: bool, make: Callable) -> DataFrame:
-    drop = None if keep or into == column else column
-    schema = with_outputs(
-        T.StructType([f for f in df.schema.fields if f.name != drop]), [T.StructField(into, kind, False)]
-    )
-    arrow = pa.binary() if isinstance(kind, T.BinaryType) else pa.string()
+def _mapped(df: DataFrame, column: str, outputs: list[T.StructField], arrow: list, keep: bool, make: Callable) -> DataFrame:
+    """``df`` with the values that ``make()`` gives for each value of ``column``."""
+    drop = None if keep or column in [f.name for f in outputs] else column
+    schema = with_outputs(T.StructType([f for f in df.schema.fields if f.name != drop]), outputs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
         for whole in batches:
             for batch in pieces(whole, column, PIECE):
-                values = pa.array([one(v) for v in batch.column(column).to_pylist()], arrow)
-                yield append_column(batch, into, values, drop)
+                found = [one(v) for v in batch.column(column).to_pylist()]
+                for i, (field, kind) in enumerate(zip(outputs, arrow, strict=True)):
+                    batch = append_column(batch, field.name, pa.array([f[i] for f in found], kind), drop)
+                yield batch
 
     return df.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, vocabulary: dict, column: str = "text", into: str = "ids", keep: bool = True) -> DataFrame:
-    """``df`` with the packed token ids of ``column`` as binary column ``into``.
+def _coders(df: DataFrame, vocabulary: dict) -> Callable[[], tuple[Encoder, Decoder]]:
+    """How a task gets its encoder and decoder: they are built once in a worker
+    and take the place of the vocabulary's own tables, which are dropped."""
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def get() -> tuple[Encoder, Decoder]:
+        held = shared.value
+        if "coders" not in held:
+            held["coders"] = (Encoder(held), Decoder(held))
+            for name in ("vocab", "merges", "special"):
+                held.pop(name)
+        return held["coders"]
+
+    return get
+
+
+def encode(
+    df: DataFrame, vocabulary: dict, column: str = "text", into: str = "ids", keep: bool = True, packed: bool = True
+) -> DataFrame:
+    """``df`` with the token ids of ``column`` as column ``into``: packed as a
+    binary, or with ``packed=False`` as array<int>.
 
     No token is added; the vocabulary's special strings become their ids. A
-    null or empty text has no ids (empty binary). Every row is encoded whole
-    and on its own: repeated rows repeat. A column already named ``into`` is
-    replaced; other columns pass through (``keep=False`` drops the text).
+    null or empty text has no ids (an empty binary or array). Every row is
+    encoded whole and on its own: repeated rows repeat, an empty table stays
+    empty. A column already named ``into`` is replaced; other columns pass
+    through (``keep=False`` drops the text).
     """
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    get = _coders(df, vocabulary)
 
-    def make() -> Callable[[str | None], bytes]:
-        # A worker keeps its broadcast values, so one encoder serves all its tasks.
-        encoder = shared.value.get("encoder") or shared.value.setdefault("encoder", Encoder(shared.value))
-        return lambda text: encoder.encode(text) if text else b""
+    def make() -> Callable[[str | None], tuple]:
+        encoder = get()[0]
+        if packed:
+            return lambda text: (encoder.encode(text) if text else b"",)
+        return lambda text: (array("I", encoder.encode(text) if text else b""),)
 
-    return _mapped(df, column, into, T.BinaryType(), keep, make)
+    kind = T.BinaryType() if packed else T.ArrayType(T.IntegerType(), True)
+    arrow = pa.binary() if packed else pa.list_(pa.int32())
+    return _mapped(df, column, [T.StructField(into, kind, not packed)], [arrow], keep, make)
 
 
 def decode(df: DataFrame, vocabulary: dict, column: str = "ids", into: str = "text", keep: bool = True) -> DataFrame:
     """``df`` with the text of the packed ids in ``column``; null ids give ''."""
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    get = _coders(df, vocabulary)
 
-    def make() -> Callable[[bytes | None], str]:
-        decoder = Decoder(shared.value)
-        return lambda packed: decoder.decode(packed) if packed else ""
+    def make() -> Callable[[bytes | None], tuple]:
+        decoder = get()[1]
+        return lambda ids: (decoder.decode(ids) if ids else "",)
 
-    return _mapped(df, column, into, T.StringType(), keep, make)
+    return _mapped(df, column, [T.StructField(into, T.StringType(), False)], [pa.string()], keep, make)
 
 
-def unpacked(df: DataFrame, column: str = "ids") -> DataFrame:
-    """``df`` with the packed ids of ``column`` as array<int>."""
+def digests(df: DataFrame, vocabulary: dict) -> DataFrame:
+    """Per row of (doc_id, text): the number of tokens, the digest of its ids
+    and of the text decoded from them. Ids and decoded text stay in the task."""
+    get = _coders(df, vocabulary)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = batch.column(column).to_pylist()
-            values = pa.array([array("I", p or b"") for p in packed], pa.list_(pa.int32()))
-            yield append_column(batch, column, values)
+    def make() -> Callable[[str | None], tuple]:
+        encoder, decoder = get()
 
-    kind = T.StructField(column, T.ArrayType(T.IntegerType(), True), True)
-    return df.mapInArrow(run, with_outputs(df.schema, [kind]))
+        def one(text: str | None) -> tuple:
+            ids = encoder.encode(text) if text else b""
+            decoded = decoder.decode(ids).encode("utf-8") if ids else b""
+            return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
+        return one
 
-def digests(df: DataFrame, vocabulary: dict) -> DataFrame:
-    """Per row of (doc_id, text): the number of tokens, the digest of its ids
-    and of the text decoded from them."""
-    ids = encode(df.select("doc_id", "text"), vocabulary, keep=False)
-    return (
-        decode(ids, vocabulary)
-        .select(
-            "doc_id",
-            (F.length("ids") / 4).cast("long").alias("n_tokens"),
-            F.sha2("ids", 256).alias("ids_sha256"),
-            F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
-        )
-    )
+    outputs = [T.StructField("n_tokens", T.LongType(), False)]
+    outputs += [T.StructField(c, T.StringType(), False) for c in ("ids_sha256", "decoded_sha256")]
+    return _mapped(df.select("doc_id", "text"), "text", outputs, [pa.int64(), pa.string(), pa.string()], False, make)

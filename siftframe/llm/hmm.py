@@ -60,12 +60,13 @@ def word_counts(texts: DataFrame) -> DataFrame:
             found.clear()
             return pa.RecordBatch.from_arrays(columns, names=["word", "ending", "n"])
 
-        for batch in batches:
-            for text in texts_of(batch, "text"):
-                found.update(fold(text).split())
-                found[END] += 1
-                if len(found) > COUNTED:
-                    yield passed_on()
+        for whole in batches:
+            for batch in pieces(whole, "text", PIECE):
+                for text in texts_of(batch, "text"):
+                    found.update(fold(text).split())
+                    found[END] += 1
+                    if len(found) > COUNTED:
+                        yield passed_on()
         yield passed_on()
 
     counts = texts.mapInArrow(run, "word binary, ending int, n long")
@@ -88,23 +89,12 @@ def _head(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
-@dataclass(frozen=True)
-class Classes:
-    """Head words by number; ``ENDINGS`` classes follow them."""
-
-    numbers: dict[bytes, int]
-    counts: np.ndarray  # training tokens of each class
-
-    @property
-    def size(self) -> int:
-        return len(self.counts)
-
-
 def _sequences(docs: DataFrame, classes) -> DataFrame:
-    """``docs`` (doc, held_out, text) as class numbers, with the rare words."""
+    """``docs`` (doc, held_out, text) as class numbers, with the rare words.
+    ``classes``: the numbers of the head words; ``ENDINGS`` classes follow them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = classes.value.numbers
+        numbers = classes.value
         head = len(numbers)
         last = numbers[END]
         for whole in batches:
@@ -182,8 +172,9 @@ class Lattice:
         found[self.order] = np.bincount(self.row, np.log10(scale), len(self.order))
         return found
 
-    def expected(self, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected starts, moves, and class emissions of all sequences."""
+    def expected(self, model: Model, begins: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Expected starts, moves, and class emissions of all sequences. Only
+        those with ``begins`` start a text (all, without it); the others go on."""
         emits, alpha, scale = self.forward(model)
         states = len(model.start)
         beta = np.ones_like(emits)
@@ -201,7 +192,8 @@ class Lattice:
         emitted = np.stack(
             [np.bincount(self.seen, gamma[:, k], len(model.emits)) for k in range(states)], axis=1
         )
-        return gamma[:first].sum(axis=0), moves, emitted
+        start = gamma[:first] if begins is None else gamma[:first][np.asarray(begins)[self.order]]
+        return start.sum(axis=0), moves, emitted
 
 
 def chunked(sequences: list[np.ndarray], tokens: int = CHUNK) -> Iterator[list[int]]:
@@ -237,15 +229,17 @@ def train(sequences: DataFrame, rates: np.ndarray, states: int = STATES, rounds:
     names = [f"s{k}" for k in range(states)]
     model = first_model(rates, states)
     for _ in range(rounds):
-        shared = sequences.sparkSession.sparkContext.broadcast(model)
+        # Plain arrays: executors need not have this module to read a broadcast.
+        shared = sequences.sparkSession.sparkContext.broadcast((model.start, model.moves, model.emits))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            now, sums = shared.value, None
+            now, sums = Model(*shared.value), None
             for batch in batches:
                 texts = [np.frombuffer(s, np.uint16) for s in batch.column("sequence").to_pylist()]
                 cut = [x[i : i + SEGMENT] for x in texts for i in range(0, len(x), SEGMENT)]
+                begins = np.array([i == 0 for x in texts for i in range(0, len(x), SEGMENT)])
                 for some in chunked(cut):
-                    found = Lattice([cut[i] for i in some]).expected(now)
+                    found = Lattice([cut[i] for i in some]).expected(now, begins[some])
                     sums = found if sums is None else tuple(a + b for a, b in zip(sums, found, strict=True))
             if sums is not None:
                 table = np.concatenate([sums[0][None, :], sums[1], sums[2]])
@@ -293,7 +287,7 @@ def score(docs: DataFrame, held_out: str, key: str = "doc_id", text: str = "text
         n_distinct[ending(word)] -= c > 0
     class_counts = np.concatenate([[c for _, c in head], n_words])
     rates = (class_counts + 1) / (class_counts.sum() + len(class_counts))
-    classes = spark.sparkContext.broadcast(Classes(numbers, class_counts))
+    classes = spark.sparkContext.broadcast(numbers)
 
     sequences = _sequences(rows, classes).withColumn("uid", F.monotonically_increasing_id())
     sequences = stage(sequences, "sequences")
@@ -313,12 +307,12 @@ def score(docs: DataFrame, held_out: str, key: str = "doc_id", text: str = "text
         F.sum(F.col("n") * (F.log10(F.col("c") + 1.0) - F.log10(sizes[group]))).alias("rare_share"),
     )
 
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast((model.start, model.moves, model.emits))
     weights = np.concatenate([np.log10([c + 1 for _, c in head]), np.zeros(ENDINGS)])
     is_known = np.concatenate([[float(c > 0) for _, c in head], np.zeros(ENDINGS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = shared.value
+        now = Model(*shared.value)
         for batch in batches:
             texts = [np.frombuffer(s, np.uint16) for s in batch.column("sequence").to_pylist()]
             found = np.zeros(len(texts))

@@ -19,21 +19,22 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftframe.llm.common import append_column, fold, fresh, pieces, texts_of, with_outputs
+from siftframe.session import stage
 
 # Labelled documents of each class a model is fitted on at most, chosen by hash.
 MOST_LABELLED = 10_000
-MOST_WORDS = 50_000  # words that separate the classes at most, surest first
 PRIOR = 10.0  # pseudo-documents per word of the Dirichlet prior, dealt to the classes by size
 RATIO = 4.0  # words at least so many times likelier in toxic text have a score of their own
 EVIDENCE = 20.0  # and at least this likelihood-ratio statistic (about p < 1e-5)
 CERTAIN = 12.0  # evidence (natural log) beyond which more says nothing new
 EDGES = b".,;:!?\"'()[]{}<>*_-"
 THRESHOLD = 0.7
+PIECE = 1 << 22  # bytes of text handled at a time
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -93,6 +94,11 @@ class Model:
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, self.slope * evidence + self.offset))))
 
 
+def _plain(model: Model) -> tuple:
+    """The fields of ``model``: executors need not have this module to read them."""
+    return model.scores, model.other, model.scale, model.density, model.slope, model.offset
+
+
 def _log_odds(
     rows: list[tuple[bytes, int, int]], toxic: int, clean: int, odds: float = 1.0
 ) -> tuple[dict[bytes, float], float]:
@@ -165,23 +171,24 @@ def _counted(sample: DataFrame) -> DataFrame:
     all. Documents, not tokens: a word that one text repeats is one finding."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n: Counter = Counter()
-            keys = zip(batch.column("half").to_pylist(), batch.column("toxic").to_pylist(), strict=True)
-            for text, key in zip(texts_of(batch, "text"), keys, strict=True):
-                found = set(tokens(text))
-                n[key, b""] += len(found)
-                n.update((key, word) for word in found if word)
-            rows = list(n)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[0][0] for r in rows], pa.int32()),
-                    pa.array([r[0][1] for r in rows], pa.int32()),
-                    pa.array([r[1] for r in rows], pa.binary()),
-                    pa.array([n[r] for r in rows], pa.int64()),
-                ],
-                names=["half", "toxic", "word", "n"],
-            )
+        for whole in batches:
+            for batch in pieces(whole, "text", PIECE):
+                n: Counter = Counter()
+                keys = zip(batch.column("half").to_pylist(), batch.column("toxic").to_pylist(), strict=True)
+                for text, key in zip(texts_of(batch, "text"), keys, strict=True):
+                    found = set(tokens(text))
+                    n[key, b""] += len(found)
+                    n.update((key, word) for word in found if word)
+                rows = list(n)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([r[0][0] for r in rows], pa.int32()),
+                        pa.array([r[0][1] for r in rows], pa.int32()),
+                        pa.array([r[1] for r in rows], pa.binary()),
+                        pa.array([n[r] for r in rows], pa.int64()),
+                    ],
+                    names=["half", "toxic", "word", "n"],
+                )
 
     counts = sample.mapInArrow(run, "half int, toxic int, word binary, n long")
     return counts.groupBy("half", "toxic", "word").agg(F.sum("n").alias("n"))
@@ -192,13 +199,14 @@ def _sketched(docs: DataFrame) -> DataFrame:
     a passage that circulates must not teach its every word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            least = []
-            for text in texts_of(batch, "text"):
-                words = tokens(text)
-                windows = {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-                least.append(min(xxhash.xxh64_intdigest(w) for w in windows) >> 1)
-            yield append_column(batch, "sketch", pa.array(least, pa.int64()))
+        for whole in batches:
+            for batch in pieces(whole, "text", PIECE):
+                least = []
+                for text in texts_of(batch, "text"):
+                    words = tokens(text)
+                    windows = (b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4)))
+                    least.append(min(map(xxhash.xxh64_intdigest, windows)) >> 1)
+                yield append_column(batch, "sketch", pa.array(least, pa.int64()))
 
     return docs.mapInArrow(run, with_outputs(docs.schema, [T.StructField("sketch", T.LongType(), False)]))
 
@@ -207,8 +215,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """A model of the labelled documents. Rows with a null key or label are left
     out; a document with both labels counts as toxic. ``MOST_LABELLED`` of each
     class are used at most, and each counts for all those of its class that it
-    stands for, so that scores follow the true share of toxic labels. Without both classes every text scores the same:
-    the share of toxic labels, 0 without labels."""
+    stands for, so that scores follow the true share of toxic labels. Near
+    copies with one sketch count once, by the smallest key; rows with the same
+    key and text are one. Without both classes every text scores the same: the
+    share of toxic labels, 0 without labels (or with an empty table)."""
     p = fresh(docs, labels)
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("toxic")).na.drop()
     known = known.groupBy("key").agg(F.max("toxic").alias("toxic"))
@@ -222,13 +232,25 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     # At most 2 x MOST_LABELLED keys: small enough for every executor.
     sample = docs.select(F.col(key).alias(p), F.coalesce(F.col(text), F.lit("")).alias("text"))
     sample = sample.join(F.broadcast(chosen), F.col(p) == F.col("key"))
-    sample = _sketched(sample.select("key", "toxic", "text")).dropDuplicates(["toxic", "sketch"])
-    sample = sample.withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "key"), F.lit(2)).cast("int")).drop("sketch", "key")
-    sample = sample.persist()
-    try:
-        return _fitted(sample, weights)
-    finally:
-        sample.unpersist()
+    sample = _sketched(sample.select("key", "toxic", "text"))
+    # The row with the smallest key stays of those with one sketch, so the sample is the same each time.
+    sample = sample.groupBy("toxic", "sketch").agg(F.min(F.struct("key", "text")).alias("row")).select("toxic", "row.*")
+    half = F.pmod(F.xxhash64(F.lit("half"), "key"), F.lit(2)).cast("int")
+    return _fitted(stage(sample.select("toxic", half.alias("half"), "text"), "sample"), weights)
+
+
+def _telling(toxic: Column, clean: Column, all_toxic: int, all_clean: int, odds: float) -> Column:
+    """What ``_log_odds`` asks of a word, as a condition on its counts."""
+    share = all_toxic * odds / max(1, all_toxic * odds + all_clean)
+    counted = all_toxic / max(1, all_toxic + all_clean)
+    p = (toxic + PRIOR * share) / (all_toxic + PRIOR * share)
+    q = (clean + PRIOR * (1 - share)) / (all_clean + PRIOR * (1 - share))
+    both = toxic + clean
+    surprise = F.lit(0.0)
+    for k, part in ((toxic, counted), (clean, 1 - counted)):
+        surprise += F.when(k > 0, 2 * k * F.log(k / (both * F.lit(max(part, 1e-12))))).otherwise(0.0)
+    # A little slack: the scores themselves are decided by ``_log_odds``.
+    return (p * (1 + 1e-9) >= RATIO * q) & (surprise * (1 + 1e-9) >= EVIDENCE)
 
 
 def _fitted(sample: DataFrame, weights: dict[int, float]) -> Model:
@@ -239,49 +261,65 @@ def _fitted(sample: DataFrame, weights: dict[int, float]) -> Model:
         return Model({}, -1.0, slope=0.0, offset=math.log(max(share, 1e-6) / max(1 - share, 1e-6)))
     counts = _counted(sample)
     sizes = {(r["half"], r["toxic"]): r["n"] for r in counts.where("word = X''").collect()}
-    totals = {t: max(1, sum(n for (_, k), n in sizes.items() if k == t)) for t in (0, 1)}
     cells = [
         F.sum(F.when((F.col("half") == h) & (F.col("toxic") == t), F.col("n")).otherwise(0)).alias(f"n{h}{t}")
         for h in (0, 1)
         for t in (0, 1)
     ]
     wide = counts.where("word <> X''").groupBy("word").agg(*cells)
-    toxic, clean = F.col("n01") + F.col("n11"), F.col("n00") + F.col("n10")
-    # Only words that are likelier in toxic text can get a score.
-    wide = wide.where((toxic >= 3) & (toxic / totals[1] > clean / totals[0]))
-    wide = wide.orderBy((toxic / totals[1] - clean / totals[0]).desc(), "word").limit(MOST_WORDS)
+    # Only words that separate the classes leave the executors, by one half's
+    # counts or by both: each needs several documents of the bounded sample.
+    odds = weights[1] / weights[0]
+    tells = F.lit(False)
+    for halves in ((0,), (1,), (0, 1)):
+        toxic, clean = (sum((F.col(f"n{h}{t}") for h in halves), F.lit(0)) for t in (1, 0))
+        tells |= _telling(toxic, clean, *(sum(sizes.get((h, t), 0) for h in halves) for t in (1, 0)), odds)
+    wide = wide.where(tells).orderBy("word")
     rows = [(bytes(r["word"]), (r["n00"], r["n01"]), (r["n10"], r["n11"])) for r in wide.collect()]
 
     def model(halves: tuple[int, ...]) -> Model:
         used = [(w, sum(each[h][1] for h in halves), sum(each[h][0] for h in halves)) for w, *each in rows]
         toxic, clean = (sum(sizes.get((h, t), 0) for h in halves) for t in (1, 0))
-        scores, other = _log_odds(used, toxic, clean, weights[1] / weights[0])
+        scores, other = _log_odds(used, toxic, clean, odds)
         return Model(scores, other, scale=_scale(used, scores, other, clean))
 
     # Each half is scored by the words of the other one.
-    crossed = sample.sparkSession.sparkContext.broadcast({0: model((1,)), 1: model((0,))})
+    crossed = {0: _plain(model((1,))), 1: _plain(model((0,)))}
+    shared = sample.sparkSession.sparkContext.broadcast(crossed)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = crossed.value
-        for batch in batches:
-            n, best = [], []
+    def scaled(whole: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[int], list[list[float]]]]:
+        models = {half: Model(*m) for half, m in shared.value.items()}
+        for batch in pieces(whole, "text", PIECE):
+            n, found = [], []
             for text, half in zip(texts_of(batch, "text"), batch.column("half").to_pylist(), strict=True):
                 words = tokens(text)
                 n.append(len(words))
-                best.append([models[half].scale * s for _, _, s in models[half].segments(words)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), pa.array(n, pa.int32()), pa.array(best, pa.list_(pa.float64()))],
-                names=["toxic", "n", "scaled"],
-            )
-
-    seen = sample.mapInArrow(run, "toxic int, n int, scaled array<double>").collect()
-    calm = [(r["n"], max(r["scaled"], default=0.0)) for r in seen if r["toxic"] == 0]
-    expected = sum(n * math.exp(-min(s, 700.0)) for n, s in calm)
-    density = len(calm) / expected if expected > 0 else 1.0
+                found.append([models[half].scale * s for _, _, s in models[half].segments(words)])
+            yield batch, n, found
+
+    def greatest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch, n, found in scaled(whole):
+                best = [max(s, default=0.0) for s in found]
+                columns = [batch.column("toxic"), pa.array(n, pa.int32()), pa.array(best, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["toxic", "n", "best"])
+
+    # By chance n clean tokens hold n exp(-s) segments of score s or more, times the density.
+    calm = sample.where("toxic = 0").mapInArrow(greatest, "toxic int, n int, best double")
+    calm = calm.agg(F.count("*").alias("n"), F.sum(F.col("n") * F.exp(-F.least("best", F.lit(700.0)))).alias("expected")).first()
+    density = calm["n"] / calm["expected"] if calm["expected"] else 1.0
     density = min(max(density, 1e-4), 1.0)
-    plain = Model({}, 0.0, scale=1.0, density=density)
-    x = np.array([plain.evidence([(0, 0, s) for s in r["scaled"]], r["n"]) for r in seen])
-    y = np.array([r["toxic"] for r in seen], float)
+
+    def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain = Model({}, 0.0, scale=1.0, density=density)
+        for whole in batches:
+            for batch, n, found in scaled(whole):
+                x = [plain.evidence([(0, 0, s) for s in each], k) for each, k in zip(found, n, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(x, pa.float64())], names=["toxic", "x"])
+
+    # Two numbers per document of the bounded sample.
+    seen = sample.mapInArrow(evidence, "toxic int, x double").orderBy("toxic", "x").collect()
+    x, y = np.array([r["x"] for r in seen]), np.array([r["toxic"] for r in seen], float)
     slope, offset = _logistic(x, y, np.where(y == 1, weights[1], weights[0]))
     final = model((0, 1))
     return Model(final.scores, final.other, final.scale, density, slope, offset)
@@ -304,17 +342,17 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     Null and empty texts score like any text without passages. Rows are scored
     one by one and whole; columns named score or passages are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(_plain(model))
     outputs = [T.StructField("score", T.DoubleType(), False), T.StructField("passages", T.ArrayType(PASSAGE), False)]
     kind = pa.list_(
         pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()), ("e_value", pa.float64())])
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = Model(*shared.value)
         positive = {w for w, s in m.scores.items() if s > 0}
         for whole in batches:
-            for batch in pieces(whole, text, 1 << 23):
+            for batch in pieces(whole, text, PIECE):
                 scores, passages = [], []
                 for one in texts_of(batch, text):
                     words = tokens(one)

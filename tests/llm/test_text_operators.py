@@ -62,7 +62,7 @@ def test_encoding_of_an_empty_table_and_digests(spark, vocabulary):
     assert bpe.digests(empty, vocabulary).count() == 0
     one = bpe.digests(spark.createDataFrame([(None, None)], DOCS), vocabulary).first()
     assert one["n_tokens"] == 0 and one["ids_sha256"] == hashlib.sha256(b"").hexdigest()
-    ids = bpe.unpacked(bpe.encode(spark.createDataFrame([(1, "a b")], DOCS), vocabulary)).first()["ids"]
+    ids = bpe.encode(spark.createDataFrame([(1, "a b")], DOCS), vocabulary, packed=False).first()["ids"]
     assert ids == Tokenizer.from_file(PATH).encode("a b").ids
 
 
