@@ -56,7 +56,7 @@ def mixed_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids."""
     vocabulary = bpe.load_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
-    return bpe.unpacked(bpe.encode(docs, vocabulary))
+    return bpe.encode(docs, vocabulary, packed=False)
 
 
 STAGES = [
