@@ -14,6 +14,7 @@ from catalog.tables import PRODUCTS
 from siftframe import Collection
 from siftframe.operators import mutate as w
 from siftframe.plans import conditions as q
+from siftframe.sources.snapshots import Snapshots
 
 
 def customers(spark, sf):
@@ -205,6 +206,41 @@ def bulk_multi_table(spark, sf):
     return rows[0].unionByName(rows[1])
 
 
+def _both(snapshot, moment: str):
+    """All rows of both tables as a version has them."""
+    rows = [
+        snapshot.read(name).select(
+            F.lit(moment).alias("moment"), F.lit(name).alias("name"), "_id", "_version", F.col("name").alias("text"), "balance"
+        )
+        for name in ("customer", "finished")
+    ]
+    return rows[0].unionByName(rows[1])
+
+
+@query(
+    "snapshot_pinned",
+    f"WITH i AS ({_indexed('NOT ' + FINISHED, 'customer')} UNION ALL {_indexed(FINISHED, 'finished')})"
+    " SELECT 'after' AS moment, i.name, i._id, CAST(n + CASE WHEN i.name = 'customer' AND c_custkey IS NOT NULL THEN 1 ELSE 0"
+    " END AS BIGINT) AS _version, text, balance FROM i LEFT JOIN customer ON CAST(c_custkey AS VARCHAR) = i._id"
+    " UNION ALL SELECT 'after', 'customer', CAST(c_custkey AS VARCHAR), CAST(1 AS BIGINT), c_name, c_acctbal FROM customer"
+    " WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT _id FROM i WHERE name = 'customer')"
+    " UNION ALL SELECT 'before', 'customer', CAST(c_custkey AS VARCHAR), CAST(1 AS BIGINT), c_name, c_acctbal FROM customer",
+)
+def snapshot_pinned(spark, sf):
+    """A bulk over two tables is published at once: a reader that holds the
+    version before it has the old rows of both, a new reader the new ones."""
+    store = Snapshots(spark, scratch_path(spark, "tables"))
+    table = customers(spark, sf)
+    with store.commit() as commit:
+        commit.append("customer", table)
+        commit.append("finished", table.limit(0))
+    pinned = store.pinned()
+    named = F.when(F.col("doc.profile.segment") == "F", "finished")
+    ops = operations(spark, sf, "index").withColumn("_index", named).withColumn("_id", F.regexp_replace("_id", "^new-", ""))
+    w.publish_bulk(store, ops, default="customer")
+    return _both(pinned, "before").unionByName(_both(store.pinned(), "after"))
+
+
 @query(
     "bulk_null_object",
     "SELECT CAST(c_custkey AS VARCHAR) AS _id, c_custkey % 3 <> 0 AS has_profile,"

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import tables as t
-from catalog.mutating import WHOLE_TABLE, as_operations, bulk_sql, customers, flat
+from catalog.mutating import WHOLE_TABLE, as_operations, bulk_sql, customers, flat, operations
 from catalog.registry import query
-from siftframe.session import scratch_path
+from siftframe.session import scratch_path, stage
 from siftframe.streaming import histogram, ingest
 
 
@@ -23,7 +23,19 @@ def stream_bulk(spark, sf):
     log = scratch_path(spark, "log")
     base = customers(spark, sf)
     ingest.stream_bulk(ops, base, log).awaitTermination()
-    return flat(ingest.current_table(base, log))
+    return flat(ingest.current_table(spark, log))
+
+
+@query("stream_bulk_levels", bulk_sql(WHOLE_TABLE))
+def stream_bulk_levels(spark, sf):
+    """The same operations in twelve batches by seq, with merges on two levels."""
+    store = ingest.open_log(customers(spark, sf), scratch_path(spark, "log"), buckets=4)
+    ops = stage(operations(spark, sf), "ops")
+    last = ops.agg(F.max("seq")).first()[0] or 0
+    for k in range(12):
+        batch = ops.where(F.col("seq").between(last * k // 12 + (k > 0), last * (k + 1) // 12))
+        ingest.apply_batch(store, batch, k, fanout=3)
+    return flat(ingest.current_table(spark, store.root))
 
 
 EVENTS_SQL = (

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from siftframe.plans.collection import Collection
 from siftframe.plans.conditions import Bool, Condition, MatchAll, lifted
 from siftframe.session import stage
+from siftframe.sources.snapshots import ConflictError, Snapshots
 
 ACTIONS = ("index", "create", "update", "upsert", "delete")
 
@@ -344,6 +345,34 @@ def bulk_tables(
     }
 
 
+def publish_bulk(
+    store: Snapshots, ops: DataFrame, default: str, table_col: str = "_index", id_col: str = "_id", version_col: str = "_version"
+) -> DataFrame:
+    """Apply operations to the tables of a store and publish all of them as one
+    version. Returns the item reports with the table of each operation (written,
+    so they stay what they were). If anything fails, no table has changed."""
+    now = store.pinned()
+    targets = {name: now.read(name) for name in now.tables}
+    routed = stage(ops.withColumn(table_col, F.coalesce(table_col, F.lit(default))), "ops")
+    # A name per table comes here, and the first that is none of them.
+    used = {r[0] for r in routed.select(table_col).distinct().limit(len(targets) + 1).collect()}
+    if used - set(targets):
+        raise ValueError(f"no such table: {sorted(used - set(targets))[0]}")
+    items = None
+    used = used or {default}
+    with store.commit() as commit:
+        if commit.began.version != now.version:
+            raise ConflictError(f"version {commit.began.version} was published meanwhile")
+        for name in sorted(used):
+            mine = routed.where(F.col(table_col) == name).drop(table_col)
+            result = bulk(targets[name], mine, id_col, version_col, staged=True)
+            commit.replace(name, result.table)
+            report = result.items.withColumn(table_col, F.lit(name))
+            items = report if items is None else items.unionByName(report)
+        items = stage(items, "items")
+    return items
+
+
 # --- by condition ---------------------------------------------------------
 
 

@@ -189,16 +189,51 @@ def test_stream_of_batches(spark, tmp_path):
     ingest.stream_bulk(stream, base, log, on_batch).awaitTermination()
     assert [seen[k] for k in sorted(seen)] == [50] * 5 + [5]
     want_table, want_items = replay(start, ops)
-    result = w.BulkResult(ingest.current_table(base, log), ingest.item_log(spark, log), None)
+    result = w.BulkResult(ingest.current_table(spark, log), ingest.item_log(spark, log), None)
     assert observed(result) == (want_table, want_items)
 
-    # A replayed batch leaves the same log behind.
-    batch = spark.createDataFrame(ops[100:150], OPS)
-    state = ingest.current_table(base, log, before=2)
-    gone = ingest.latest_changes(spark, log, before=2).where("_deleted").select("_id", "_version")
-    w.bulk(state, batch, gone=gone, staged=True).changes.write.mode("overwrite").parquet(f"{log}/changes/batch=2")
-    again = w.BulkResult(ingest.current_table(base, log), ingest.item_log(spark, log), None)
+    # A batch that comes again changes nothing; the states between are still there.
+    store = ingest.Snapshots(spark, log)
+    before = store.versions()
+    ingest.apply_batch(store, spark.createDataFrame(ops[100:150], OPS), 2)
+    assert store.versions() == before
+    again = w.BulkResult(ingest.current_table(spark, log), ingest.item_log(spark, log), None)
     assert observed(again)[0] == want_table
+    third = w.BulkResult(ingest.current_table(spark, log, before=3), result.items, None)
+    assert observed(third)[0] == replay(start, ops[:150])[0]
+    ingest.compact(store)
+    assert len(store.pinned().folders("changes")) == 1
+    compacted = w.BulkResult(ingest.current_table(spark, log), result.items, None)
+    assert observed(compacted)[0] == want_table
+    # Versions of deleted documents go on after a compaction.
+    more = random_ops(rng, 40, ids)
+    more = [(1000 + i, *op[1:]) for i, op in enumerate(more)]
+    ingest.apply_batch(store, spark.createDataFrame(more, OPS), 6)
+    last = w.BulkResult(ingest.current_table(spark, log), result.items, None)
+    assert observed(last)[0] == replay(start, ops + more)[0]
+
+
+def test_files_read_per_batch_stay_few_over_fifty_batches(spark, tmp_path, monkeypatch):
+    rng = random.Random(4)
+    base = spark.createDataFrame([(str(i), 1, *random_doc(rng)) for i in range(30)], TABLE)
+    store = ingest.open_log(base, str(tmp_path / "log"), buckets=2)
+    # What a batch does to the rows is tested above; here each writes one row anew.
+    monkeypatch.setattr(ingest, "bulk", lambda state, ops, *a, **k: w.BulkResult(None, ops, _touched(state)))
+    read, runs = [], []
+    for k in range(50):
+        now = store.pinned()
+        read.append(len(now.read("changes").inputFiles()))
+        runs.append(len(now.folders("changes")))
+        batch = spark.createDataFrame([(k, "index", str(k % 30))], "seq long, action string, _id string")
+        ingest.apply_batch(store, batch, k, fanout=4)
+    assert max(runs[25:]) <= 1 + 3 * 3 and max(read[25:]) <= 2 * (1 + 3 * 3)
+    assert max(read[40:]) <= max(read[:16]) + 6  # one more level in four times as many batches
+    rows = {r["_id"]: r["_version"] for r in ingest.current_table(spark, store.root).collect()}
+    assert rows == {str(i): 1 + len(range(i, 50, 30)) for i in range(30)}
+
+
+def _touched(state):
+    return state.withColumn("_version", F.col("_version") + 1).withColumn("_deleted", F.lit(False))
 
 
 def test_stream_histogram_drops_and_counts_late_rows(spark, tmp_path):
