@@ -9,9 +9,10 @@ from catalog.registry import query
 from catalog.tables import DOCS, PRODUCTS, TURNS
 from siftframe.functions.geo import EARTH_RADIUS_M
 from siftframe.operators import paging, scoring, search as s
+from siftframe.operators.index import TextIndex
 from siftframe.operators.sorting import SortKey, sort_keys
 from siftframe.plans import conditions as q
-from siftframe.session import stage
+from siftframe.session import scratch_path, stage
 from siftframe.sources.mapping import with_tokens
 
 
@@ -394,9 +395,7 @@ def bm25_stored(spark, sf):
     return found.select("_id", F.round("_score", 4).alias("_score"))
 
 
-@query(
-    "bm25_batch",
-    rf"""WITH {DOCS},
+BATCH_SQL = rf"""WITH {DOCS},
       asked AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}_]+')) AS term FROM benchmark),
       counted AS (SELECT item_id, term, count(*) AS times FROM asked GROUP BY ALL),
       words AS (SELECT _id, len(tokens) AS dl, unnest(tokens) AS term FROM docs),
@@ -409,8 +408,10 @@ def bm25_stored(spark, sf):
           * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 9) AS score
         FROM post JOIN freq USING (term) JOIN counted USING (term), totals GROUP BY item_id, _id),
       ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, _id) AS rank FROM scored)
-      SELECT item_id, _id, round(score, 4) AS _score, CAST(rank AS INT) AS rank FROM ranked WHERE rank <= 10""",
-)
+      SELECT item_id, _id, round(score, 4) AS _score, CAST(rank AS INT) AS rank FROM ranked WHERE rank <= 10"""
+
+
+@query("bm25_batch", BATCH_SQL)
 def bm25_batch(spark, sf):
     found = scoring.search_batch(
         t.documents(spark, sf), "text", t.load(spark, sf, "benchmark"), k=10, query_id="item_id"
@@ -418,6 +419,47 @@ def bm25_batch(spark, sf):
     return found.withColumn("_score", F.round("_score", 4))
 
 
+# --- stored index -----------------------------------------------------------
+
+
+def indexed(spark, c, field: str) -> TextIndex:
+    return TextIndex.build(c, field, scratch_path(spark, "index"))
+
+
+@query(
+    "phrase_indexed",
+    f"WITH {TURNS} SELECT _id, role FROM turns WHERE contains(' ' || array_to_string(tokens, ' ') || ' ', ' of the ')",
+)
+def phrase_indexed(spark, sf):
+    """A phrase found by the positions of its words."""
+    c = t.conversations(spark, sf)
+    return indexed(spark, c, "text").rows(c, q.match_phrase("text", "of the")).select("_id", "role")
+
+
+def _pattern(name: str, test: str, condition):
+    @query(name, document_sql(f"len(list_filter(tokens, lambda x: {test})) > 0", "_id, lang"))
+    def rows(spark, sf):
+        c = t.documents(spark, sf)
+        return indexed(spark, c, "text").rows(c, condition).select("_id", "lang")
+
+
+# Patterns run on the vocabulary of the texts, not on the texts.
+_pattern("wildcard_indexed", "x LIKE 'r%n_ion'", q.wildcard("text", "r*n?ion"))
+_pattern("prefix_indexed", "starts_with(x, 'unde')", q.prefix("text", "unde"))
+_pattern("regexp_indexed", "regexp_full_match(x, 're+.n[a-t]ion|sch.+en')", q.regexp("text", "re+.n[a-t]ion|sch.+en"))
+_pattern("fuzzy_indexed", "levenshtein(x, 'reention') <= 2", q.fuzzy("text", "reention"))
+
+
+@query("bm25_batch_indexed", BATCH_SQL)
+def bm25_batch_indexed(spark, sf):
+    """Best rows by blocks of postings, after rows were added to the index."""
+    c = t.documents(spark, sf)
+    index = indexed(spark, c.with_df(c.df.where("doc_id % 3 > 0")), "text")
+    index = index.added(c.with_df(c.df.where("doc_id % 3 = 0")), "text")
+    found = index.search_batch(t.load(spark, sf, "benchmark"), k=10, query_id="item_id").rows
+    return found.select("item_id", F.col("id").alias("_id"), F.round("_score", 4).alias("_score"), "rank")
+
+
 @query(
     "min_score",
     bm25_sql(["the", "under"], "SELECT _id, round(score, 4) AS _score FROM scored WHERE score >= 0.8"),

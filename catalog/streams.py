@@ -22,7 +22,7 @@ def stream_bulk(spark, sf):
     ops = as_operations(file_stream(spark, sf, "orders"))
     log = scratch_path(spark, "log")
     base = customers(spark, sf)
-    ingest.stream_bulk(ops, base, log).awaitTermination()
+    ingest.stream_bulk(ops, base, log, buckets=8).awaitTermination()
     return flat(ingest.current_table(spark, log))
 
 
