@@ -49,17 +49,32 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     _staged.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.staged_path = path
+    return found
+
+
+def _deleted(spark: SparkSession, path: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unstage(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more (what was worked out
+    from them is written). The shuffle files of the jobs that are done go too:
+    Spark's cleaner drops them once the driver has collected their plans."""
+    for table in tables:
+        _staged.remove(table.staged_path)
+        _deleted(spark, table.staged_path)
+    spark._jvm.System.gc()
 
 
 def drop_staged(spark: SparkSession) -> int:
     """Delete the tables staged so far by this process and return their number.
     Call it once the results that were built on them are written."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
     dropped = 0
     while _staged:
-        path = hadoop.Path(_staged.pop())
-        dropped += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        dropped += _deleted(spark, _staged.pop())
     return dropped
 
 
