@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftframe.session import stage
+from siftframe.session import stage, unstage
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -27,7 +27,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         small = moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        now = stage(small, "edges")
+        before, now = now, stage(small, "edges")
+        unstage(before.sparkSession, before)
         mark = _mark(now)
         if mark == seen:
             break

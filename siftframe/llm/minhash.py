@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from siftframe.llm.common import fold, fresh, pieces, texts_of
 from siftframe.llm.components import Forest, connected_components
 from siftframe.llm.hashing import Words, mixed, runs
-from siftframe.session import stage
+from siftframe.session import stage, unstage
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -63,10 +63,11 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, found, n = Words(), np.zeros(COUNTERS, np.int64), 0
-        for batch in batches:
-            for text in texts_of(batch, "text"):
-                found[np.unique(_counter(shingles(cache, text)[0]))] += 1
-                n += 1
+        for whole in batches:
+            for batch in pieces(whole, "text", PIECE):
+                for text in texts_of(batch, "text"):
+                    found[np.unique(_counter(shingles(cache, text)[0]))] += 1
+                    n += 1
         some = np.nonzero(found)[0]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(some, -1), pa.int32()), pa.array(np.append(found[some], n))], names=["counter", "n"]
@@ -201,22 +202,60 @@ def _common(sets: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray
     return common
 
 
+def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose samples do not rule out that they are similar."""
+    one = classes.select(F.col("node").alias("a"), F.col("signature").alias("left"))
+    two = classes.select(F.col("node").alias("b"), F.col("signature").alias("right"))
+    equal = F.aggregate(F.zip_with("left", "right", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    return pairs.join(one, "a").join(two, "b").where(equal >= LEAST_EQUAL).select("a", "b")
+
+
+def _apart(signature: np.ndarray, part: np.ndarray, block: np.ndarray, band: int, blocks_differ: bool) -> np.ndarray:
+    """Which two rows of a band are to be verified in it: of different parts (and
+    blocks), samples that may be similar, and no smaller band in common."""
+    apart = part[:, None] != part[None, :]
+    if blocks_differ:
+        apart &= block[:, None] != block[None, :]
+    for i in range(len(part)):
+        equal = signature == signature[i]
+        apart[i] &= equal.sum(axis=1) >= LEAST_EQUAL
+        apart[i] &= equal.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+    return apart
+
+
+def _columns(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """(order of the distinct nodes, node, part, block, signature)."""
+    node, part, block = (table.column(c).to_numpy() for c in ("node", "part", "block"))
+    order = np.argsort(node, kind="stable")
+    order = order[np.append(True, np.diff(node[order]) != 0)]
+    flat = table.column("signature").combine_chunks().flatten().to_numpy()
+    return order, node[order], part[order], block[order], flat.reshape(-1, BANDS * ROWS)[order]
+
+
+_GROUP = ["band", "key", "one", "two"]
+
+
+def _live(rows: DataFrame) -> DataFrame:
+    """Members of each group that have someone to be verified with there."""
+
+    def some(keys: tuple, table: pa.Table) -> pa.Table:
+        _, node, part, block, signature = _columns(table)
+        band, key, one, two = (k.as_py() for k in keys)
+        node = node[_apart(signature, part, block, band, one != two).any(axis=1)]
+        columns = [pa.array(np.full(len(node), x), pa.int64()) for x in (band, key, one, two)]
+        return pa.table([*columns, pa.array(node)], names=[*_GROUP, "node"])
+
+    return rows.groupBy(*_GROUP).applyInArrow(some, "band long, key long, one long, two long, node long")
+
+
 def _crossing(rows: DataFrame, weights) -> DataFrame:
     """Edges (a, b) between similar members of different parts, inside each
     (band, key, one, two): those that connect the parts, not all pairs."""
 
     def compare(keys: tuple, table: pa.Table) -> pa.Table:
-        node, part, block = (table.column(c).to_numpy() for c in ("node", "part", "block"))
-        order = np.argsort(node, kind="stable")
-        order = order[np.append(True, np.diff(node[order]) != 0)]
-        flat = table.column("signature").combine_chunks().flatten().to_numpy()
-        signature = flat.reshape(-1, BANDS * ROWS)[order]
-        node, part, block = node[order], part[order], block[order]
-        apart = part[:, None] != part[None, :]
-        if keys[2].as_py() != keys[3].as_py():
-            apart &= block[:, None] != block[None, :]
-        for i in range(len(node)):
-            apart[i] &= (signature == signature[i]).sum(axis=1) >= LEAST_EQUAL
+        order, node, part, block, signature = _columns(table)
+        band, _, one, two = (k.as_py() for k in keys)
+        apart = _apart(signature, part, block, band, one != two)
         live = np.nonzero(apart.any(axis=1))[0]
         left, right = [], []
         if len(live):
@@ -236,7 +275,7 @@ def _crossing(rows: DataFrame, weights) -> DataFrame:
                     right.append(node[live[j]])
         return pa.table({"a": pa.array(right, pa.int64()), "b": pa.array(left, pa.int64())})
 
-    return rows.groupBy("band", "key", "one", "two").applyInArrow(compare, "a long, b long")
+    return rows.groupBy(*_GROUP).applyInArrow(compare, "a long, b long")
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -253,8 +292,11 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     A band's classes are first verified against its smallest one. Where that
     leaves several parts in a band, its members meet block by block in tasks of
     bounded size: those of different parts whose signatures may be similar are
-    verified there, and only edges that connect parts leave the task. No band is
-    capped and no group is expanded into rows of pairs.
+    verified there, in the first band they share, and only edges that connect
+    parts leave the task. Texts are sent only where signatures leave a question.
+    No band is capped and no group is expanded into rows of pairs.
+
+    An empty table gives none. Texts are compared whole, however long they are.
     """
     spark, p = docs.sparkSession, fresh(docs)
     h1, h2 = _identity(F.col(text))
@@ -273,10 +315,18 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     leaders = banded.groupBy("band", "key").agg(F.min("node").alias("b"), F.count("*").alias("m")).where("m > 1")
     banded = stage(banded.join(leaders, ["band", "key"]), "bands")
 
-    wanted = banded.select("node").distinct().join(classes.select("node", "h1", "h2", F.col("least").alias("doc")), "node")
-    texts = stage(rows.join(wanted, ["h1", "h2", "doc"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    places = classes.select("node", "h1", "h2", F.col("least").alias("doc"))
+
+    def with_texts(nodes: DataFrame) -> DataFrame:
+        wanted = nodes.distinct().join(places, "node")
+        return rows.join(wanted, ["h1", "h2", "doc"]).select("node", "text").dropDuplicates(["node"])
+
+    # Signatures decide what is worth a look at the texts.
     pairs = banded.where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    pairs = stage(_alike(pairs, classes), "pairs")
+    texts = stage(with_texts(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))), "texts")
     links = stage(_verified(pairs, texts, weights), "links")
+    unstage(spark, pairs, texts)
     parts = stage(connected_components(links), "parts")
 
     held = banded.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component", "b")
@@ -288,10 +338,20 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     held = held.withColumn("block", F.pmod(F.xxhash64("node", "band"), F.col("blocks")))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     held = held.select(
-        "band", "key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
-        "node", "part", "block", "signature",
+        F.col("band").cast("long").alias("band"),
+        "key",
+        F.least("block", "other").alias("one"),
+        F.greatest("block", "other").alias("two"),
+        "node",
+        "part",
+        "block",
+        "signature",
     )
-    more = stage(_crossing(held.join(texts, "node"), weights), "links")
+    live = stage(_live(held), "live")
+    texts = stage(with_texts(live.select("node")), "texts")
+    held = held.join(live, [*_GROUP, "node"], "left_semi").join(texts, "node")
+    more = stage(_crossing(held, weights), "links")
+    unstage(spark, live, texts, parts, banded)
     parts = connected_components(links.unionByName(more))
 
     info = classes.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
