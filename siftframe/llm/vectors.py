@@ -4,8 +4,10 @@ Filter directions form a structured product code: after a pseudo-random
 rotation a vector is cut into blocks, each block has its own small code, and
 every combination of block words is a direction. A vector is list-decoded to
 all directions whose inner product exceeds a threshold, block by block, leaving
-a branch when the best of the remaining blocks cannot lift it. Vectors that
-share a filter are compared in double precision.
+a branch when the best of the remaining blocks cannot lift it. ``CODES`` such
+codes, drawn independently, filter each vector, so that a pair is missed only if
+it shares no filter of any code. Vectors that share a filter are compared in
+double precision.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from siftframe.llm.components import Forest, connected_components
 from siftframe.session import stage
 
 BLOCKS = 2
-CAPS = 32  # expected filters of a vector
+CODES = 3  # independent codes
+CAPS = 16  # expected filters of a vector in a code
 LEAST_CAPS = 12  # a vector with fewer gets the next best ones as well
 IN_CAP = 200  # expected vectors of a filter: the code grows with the table
 SPLIT = 600  # a fuller filter is compared block by block
@@ -48,18 +51,33 @@ class Code:
         share = min(0.2, CAPS / words**BLOCKS)
         return Code(dim, words, NormalDist().inv_cdf(1 - share))
 
-    def tables(self) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The rotation (padded so that blocks are equal) and the block codes."""
+    def tables(self, nth: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The rotation (padded so that blocks are equal) and the block codes of
+        the ``nth`` code."""
         width = BLOCKS * max(1, math.ceil(self.dim / BLOCKS))
-        draw = np.random.default_rng([SEED, self.dim])
+        draw = np.random.default_rng([SEED, self.dim, nth])
         rotation = np.linalg.qr(draw.standard_normal((width, width)))[0][: self.dim]
-        draw = np.random.default_rng([SEED, self.dim, self.words])
+        draw = np.random.default_rng([SEED, self.dim, self.words, nth])
         size = width // BLOCKS
         codes = [draw.standard_normal((self.words, size)) for _ in range(BLOCKS)]
         # Equal norms, so that a direction's inner product is about standard normal.
         codes = [c / np.linalg.norm(c, axis=1, keepdims=True) * math.sqrt(size) for c in codes]
         return rotation, codes
 
+    def filters(self, unit: np.ndarray, tables: list[tuple[np.ndarray, list[np.ndarray]]]) -> np.ndarray:
+        """Numbers of the unit vector's filters in all codes, ascending."""
+        every = []
+        for nth, (rotation, words) in enumerate(tables):
+            turned = np.split(unit @ rotation, BLOCKS)
+            scores = [w @ t for w, t in zip(words, turned, strict=True)]
+            threshold = self.threshold
+            found = decoded(scores, threshold)
+            while len(found) < min(LEAST_CAPS, self.words**BLOCKS):
+                threshold -= 0.05
+                found = decoded(scores, threshold)
+            every.append(np.sort(found) + nth * self.words**BLOCKS)
+        return np.concatenate(every)
+
 
 def decoded(scores: list[np.ndarray], threshold: float) -> np.ndarray:
     """Numbers of all directions whose block scores sum to ``threshold`` or more."""
@@ -93,17 +111,9 @@ def _filters(classes: DataFrame, codes: dict[int, Code]) -> DataFrame:
                 v = v / np.linalg.norm(v)
                 code = codes[len(v)]
                 if len(v) not in tables:
-                    tables[len(v)] = code.tables()
-                rotation, words = tables[len(v)]
-                turned = np.split(v @ rotation, BLOCKS)
-                scores = [w @ t for w, t in zip(words, turned, strict=True)]
-                threshold = code.threshold
-                found = decoded(scores, threshold)
-                while len(found) < min(LEAST_CAPS, code.words**BLOCKS):
-                    threshold -= 0.25
-                    found = decoded(scores, threshold)
+                    tables[len(v)] = [code.tables(i) for i in range(CODES)]
                 units.append(v.tobytes())
-                caps.append(np.sort(found))
+                caps.append(code.filters(v, tables[len(v)]))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("rep"),
@@ -170,8 +180,10 @@ def near_copies(
     the smallest).
 
     Rows whose cosine is ``similarity`` or more are linked if they share a
-    filter, which fails about once in 10^5 pairs at the threshold and never for
-    equal vectors; no other rows are linked. Vectors that are null, empty, zero
+    filter of one of the codes; no other rows are linked. At a cosine of 0.951 in
+    64 dimensions one code misses about 1 pair in 3 600 among 5 10^4 vectors, 1
+    in 300 among 10^6 and 1 in 60 among 10^8 (measured); the codes are drawn
+    independently, so all three miss about 1 in 2 10^5 at 10^8, fewer below. Equal vectors are never missed. Vectors that are null, empty, zero
     or hold null or non-finite components link with nothing, neither do vectors
     of different lengths. A row without a key links with nothing, has no
     component and is not kept. Repeated rows are linked copies.
