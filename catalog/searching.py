@@ -8,12 +8,15 @@ from catalog import tables as t
 from catalog.registry import query
 from catalog.tables import DOCS, PRODUCTS, TURNS
 from siftframe.functions.geo import EARTH_RADIUS_M
+from siftframe import Collection
+from siftframe.functions.cells import write_in_cell_order
 from siftframe.operators import paging, scoring, search as s
 from siftframe.operators.index import TextIndex
+from siftframe.operators.intervals import join_points
 from siftframe.operators.sorting import SortKey, sort_keys
 from siftframe.plans import conditions as q
 from siftframe.session import scratch_path, stage
-from siftframe.sources.mapping import with_tokens
+from siftframe.sources.mapping import Field, with_tokens
 
 
 def hits(c, condition, *columns):
@@ -200,6 +203,70 @@ def geo_bbox(spark, sf):
     return found.select("_id", "location.lat", "location.lon")
 
 
+@query("geo_distance_cells", product_sql(HAVERSINE.format(lat=-70.0, lon=170.0) + " <= 2500000", "_id, lat, lon"))
+def geo_distance_cells(spark, sf):
+    """A circle over the date line, on a table written in cell order."""
+    return _celled(spark, sf, q.geo_distance("location", -70.0, 170.0, "2500km"))
+
+
+@query("geo_bbox_cells", product_sql("lat BETWEEN -20 AND 40 AND (lon >= 150 OR lon <= -120)", "_id, lat, lon"))
+def geo_bbox_cells(spark, sf):
+    return _celled(spark, sf, q.geo_bounding_box("location", 40, 150, -20, -120))
+
+
+def _celled(spark, sf, condition):
+    c, path = t.products(spark, sf), scratch_path(spark, "cells")
+    write_in_cell_order(c.df, "location", path)
+    found = hits(c.with_df(spark.read.parquet(path)), condition, "location")
+    return found.select("_id", "location.lat", "location.lon")
+
+
+def priced(spark, sf) -> Collection:
+    """Orders with the range that a price may move in; some bounds are open."""
+    c, price, key = t.orders(spark, sf), F.col("o_totalprice"), F.col("o_orderkey")
+    low, high = F.when(key % 5 > 0, price * 0.9), F.when(key % 7 > 0, price * 1.1)
+    df = c.df.withColumn("band", F.when(key % 11 > 0, F.struct(low.alias("gte"), high.alias("lte"))))
+    return Collection(df, c.mapping.extended({"band": Field("double_range")}))
+
+
+BANDS = (
+    "WITH b AS (SELECT CAST(o_orderkey AS VARCHAR) AS _id, o_orderkey % 11 > 0 AS has,"
+    " CASE WHEN o_orderkey % 5 > 0 THEN o_totalprice * 0.9 END AS lo,"
+    " CASE WHEN o_orderkey % 7 > 0 THEN o_totalprice * 1.1 END AS hi FROM orders) SELECT _id FROM b WHERE has AND "
+)
+
+
+def _related(relation: str, test: str):
+    @query(f"range_{relation}", BANDS + test)
+    def rows(spark, sf):
+        return hits(priced(spark, sf), q.range_relation("band", 100000.0, 130000.0, relation))
+
+
+_related("intersects", "(lo IS NULL OR lo <= 130000) AND (hi IS NULL OR hi >= 100000)")
+_related("within", "lo >= 100000 AND hi <= 130000")
+_related("contains", "(lo IS NULL OR lo <= 100000) AND (hi IS NULL OR hi >= 130000)")
+
+
+@query(
+    "range_join",
+    "WITH i AS (SELECT p_partkey, p_retailprice - p_size * CASE WHEN p_partkey % 50 = 0 THEN 500 ELSE 0.1 END AS lo,"
+    " CASE WHEN p_partkey % 200 > 0 THEN p_retailprice + p_size * CASE WHEN p_partkey % 50 = 0 THEN 500 ELSE 0.1 END END AS hi"
+    " FROM part) SELECT p_partkey, count(*) AS n, min(s_acctbal) AS lowest, max(s_suppkey) AS last"
+    " FROM i JOIN supplier ON s_acctbal >= lo AND (hi IS NULL OR s_acctbal <= hi) GROUP BY p_partkey",
+)
+def range_join(spark, sf):
+    """Balances in the price ranges of parts, most of them narrow, some wide or open."""
+    wide = F.when(F.col("p_partkey") % 50 == 0, F.lit(500.0)).otherwise(F.lit(0.1)) * F.col("p_size")
+    high = F.when(F.col("p_partkey") % 200 > 0, F.col("p_retailprice") + wide)
+    parts = t.load(spark, sf, "part").select(
+        "p_partkey", F.struct((F.col("p_retailprice") - wide).alias("gte"), high.alias("lte")).alias("band")
+    )
+    met = join_points(t.load(spark, sf, "supplier"), parts, "s_acctbal", "band")
+    return met.groupBy("p_partkey").agg(
+        F.count("*").alias("n"), F.min("s_acctbal").alias("lowest"), F.max("s_suppkey").alias("last")
+    )
+
+
 @query(
     "nested",
     "SELECT CAST(o_orderkey AS VARCHAR) AS _id FROM orders WHERE o_orderkey IN"

@@ -42,21 +42,25 @@ def in_box(lat: Column, lon: Column, top: float, left: float, bottom: float, rig
     return in_lat & ((lon >= left) | (lon <= right))
 
 
-def within(lat: Column, lon: Column, lat0: float, lon0: float, distance_m: float) -> Column:
-    """Distance test behind a bounding box. The box is made of plain
-    comparisons, so it reaches the scan and spares most rows the trigonometry."""
+def around(lat0: float, lon0: float, distance_m: float) -> tuple[float, float, float, float]:
+    """Box (top, left, bottom, right) that holds the circle; ``left > right``
+    crosses the date line, with a pole inside it has every longitude."""
     # A hair of slack keeps rounding at the edge of the box from losing rows.
     angle = distance_m / EARTH_RADIUS_M * (1 + 1e-9) + 1e-12
     dlat = math.degrees(angle)
     top, bottom = lat0 + dlat, lat0 - dlat
-    exact = haversine(lat, lon, lat0, lon0) <= distance_m
     if top >= 90 or bottom <= -90:
-        # A pole is inside: every longitude qualifies.
-        return (lat >= max(bottom, -90.0)) & (lat <= min(top, 90.0)) & exact
+        return min(top, 90.0), -180.0, max(bottom, -90.0), 180.0
     dlon = math.degrees(math.asin(min(1.0, math.sin(angle) / math.cos(math.radians(lat0)))))
     left, right = lon0 - dlon, lon0 + dlon
-    if left < -180:
-        left += 360
-    if right > 180:
-        right -= 360
+    return top, left + 360 if left < -180 else left, bottom, right - 360 if right > 180 else right
+
+
+def within(lat: Column, lon: Column, lat0: float, lon0: float, distance_m: float) -> Column:
+    """Distance test behind a bounding box. The box is made of plain
+    comparisons, so it reaches the scan and spares most rows the trigonometry."""
+    top, left, bottom, right = around(lat0, lon0, distance_m)
+    exact = haversine(lat, lon, lat0, lon0) <= distance_m
+    if (left, right) == (-180.0, 180.0):
+        return (lat >= bottom) & (lat <= top) & exact
     return in_box(lat, lon, top, left, bottom, right) & exact

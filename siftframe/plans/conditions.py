@@ -19,7 +19,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftframe.functions import geo
+from siftframe.functions import cells, geo
 from siftframe.functions.dates import resolve_date, timestamp_literal
 from siftframe.plans.collection import Scope, Slot
 
@@ -304,6 +304,43 @@ class Range(FilterCondition):
         return super().negation(scope)
 
 
+RELATIONS = ("intersects", "within", "contains")
+
+
+@dataclass(frozen=True)
+class RangeRelation(FilterCondition):
+    """How a field that holds a range lies to the range of the query: it meets
+    it, lies within it, or contains it. All bounds are included, absent ones open."""
+
+    gte: Any = None
+    lte: Any = None
+    relation: str = "intersects"
+    now: dt.datetime | None = None
+
+    def predicate(self, scope: Scope) -> Column:
+        slot = scope.slot(self.field)
+        dated = slot.spec is not None and slot.spec.type == "date_range"
+        bound = lambda v: timestamp_literal(resolve_date(v, self.now)) if dated else F.lit(v)
+
+        def test(c: Column) -> Column:
+            low, high, parts = c["gte"], c["lte"], [c.isNotNull()]
+            if self.relation == "within":
+                parts += [] if self.gte is None else [low >= bound(self.gte)]
+                parts += [] if self.lte is None else [high <= bound(self.lte)]
+            elif self.relation == "contains":
+                parts.append(low.isNull() if self.gte is None else low.isNull() | (low <= bound(self.gte)))
+                parts.append(high.isNull() if self.lte is None else high.isNull() | (high >= bound(self.lte)))
+            else:
+                parts += [] if self.lte is None else [low.isNull() | (low <= bound(self.lte))]
+                parts += [] if self.gte is None else [high.isNull() | (high >= bound(self.gte))]
+            return _and(parts)
+
+        return _any(slot, test)
+
+    def negation(self, scope: Scope) -> Column:
+        return Condition.negation(self, scope)
+
+
 def _is_date(slot: Slot, value: Any) -> bool:
     """Dates, and texts such as ``now-7d/d`` for a field declared as a date."""
     declared = slot.spec is not None and slot.spec.type == "date"
@@ -379,6 +416,14 @@ class Fuzzy(FieldCondition):
         return _any(scope.slot(self.field), close)
 
 
+def _in_cells(scope: Scope, field: str, box: tuple[float, float, float, float], exact: Column) -> Column:
+    """``exact`` behind a test of the point's cell, where the table stores it."""
+    stored = f"{scope.mapping.column_name(field)}__cell"
+    if scope.element is not None or stored not in scope.schema.names:
+        return exact
+    return cells.among(F.col(f"`{stored}`"), cells.cover(*box)) & exact
+
+
 @dataclass(frozen=True)
 class GeoDistance(FilterCondition):
     lat: float
@@ -386,8 +431,9 @@ class GeoDistance(FilterCondition):
     distance: str | float
 
     def predicate(self, scope: Scope) -> Column:
-        point = scope.slot(self.field).column
-        return geo.within(point.lat, point.lon, self.lat, self.lon, geo.metres(self.distance))
+        point, distance = scope.slot(self.field).column, geo.metres(self.distance)
+        exact = geo.within(point.lat, point.lon, self.lat, self.lon, distance)
+        return _in_cells(scope, self.field, geo.around(self.lat, self.lon, distance), exact)
 
     def negation(self, scope: Scope) -> Column:
         return Condition.negation(self, scope)
@@ -402,7 +448,8 @@ class GeoBoundingBox(FilterCondition):
 
     def predicate(self, scope: Scope) -> Column:
         point = scope.slot(self.field).column
-        return geo.in_box(point.lat, point.lon, self.top_lat, self.left_lon, self.bottom_lat, self.right_lon)
+        box = (self.top_lat, self.left_lon, self.bottom_lat, self.right_lon)
+        return _in_cells(scope, self.field, box, geo.in_box(point.lat, point.lon, *box))
 
     def negation(self, scope: Scope) -> Column:
         return Condition.negation(self, scope)
@@ -553,6 +600,14 @@ def between(
     return Range(field, gte, lte, gt, lt, now)
 
 
+def range_relation(
+    field: str, gte: Any = None, lte: Any = None, relation: str = "intersects", now: dt.datetime | None = None
+) -> RangeRelation:
+    if relation not in RELATIONS:
+        raise ValueError(f"relation must be one of {', '.join(RELATIONS)}")
+    return RangeRelation(field, gte, lte, relation, now)
+
+
 def exists(field: str) -> Exists:
     return Exists(field)
 
