@@ -14,7 +14,10 @@ from siftframe import Collection
 from siftframe.operators import buckets as b
 from siftframe.operators import metrics as m
 from siftframe.operators import pipelines as p
+from siftframe.operators import sketches as sk
+from siftframe.operators.sketches import Distinct, Quantiles
 from siftframe.plans import conditions as q
+from siftframe.session import stage
 
 
 def rounded(df, *names):
@@ -120,6 +123,55 @@ def agg_cardinality_approx(spark, sf):
     return found.select("parts", near.alias("near"))
 
 
+# A day has fewer users and values than the sketches hold one by one, and a
+# month's merge is read against the exact figures.
+DAILY = {"users": Distinct("user_id", lg_k=18), "value": Quantiles("value", (5, 50, 95), k=60_000)}
+EXACT_SKETCHES = (
+    "SELECT date_trunc('{unit}', ts){cast} AS key, event_type, count(*) AS rows, count(DISTINCT user_id) AS users,"
+    " quantile_disc(value, 0.05) AS value_p5, quantile_disc(value, 0.5) AS value_p50, quantile_disc(value, 0.95) AS value_p95"
+    " FROM events GROUP BY 1, 2"
+)
+
+
+def _day(ts: str = "ts"):
+    return F.date_trunc("day", ts).cast("timestamp_ntz")
+
+
+@query("sketch_months", EXACT_SKETCHES.format(unit="month", cast="::TIMESTAMP"))
+def sketch_months(spark, sf):
+    """Stored daily sketches, merged into months."""
+    days = sk.sketched(t.load(spark, sf, "events"), {"day": _day(), "event_type": F.col("event_type")}, DAILY)
+    days = stage(days, "sketches")
+    months = {"key": F.date_trunc("month", "day").cast("timestamp_ntz"), "event_type": F.col("event_type")}
+    return sk.estimates(sk.merged(days, months, DAILY), DAILY)
+
+
+COARSE = {"users": Distinct("user_id", lg_k=11), "value": Quantiles("value", (5, 50, 95), k=200)}
+
+
+@query(
+    "sketch_error",
+    "WITH e AS (SELECT count(*) AS rows, count(DISTINCT user_id) AS users FROM events WHERE value IS NOT NULL)"
+    " SELECT rows, users, 0 AS users_off, 0 AS p5_off, 0 AS p50_off, 0 AS p95_off FROM e",
+)
+def sketch_error(spark, sf):
+    """Coarse sketches of all events beside the exact figures: by how many
+    stated errors the count and the ranks are off, whole ones, four at least."""
+    events = t.load(spark, sf, "events").where("value IS NOT NULL")
+    found = sk.estimates(sk.merged(sk.sketched(events, {"day": _day()}, COARSE), {}, COARSE), COARSE)
+    guess = found.select(F.struct("*")).scalar()
+    exact = events.select("user_id", "value", guess.alias("g"))
+    below = {p: F.sum((F.col("value") <= F.col(f"g.value_p{p}")).cast("long")) for p in (5, 50, 95)}
+    sums = exact.agg(
+        F.count("*").alias("rows"), F.count_distinct("user_id").alias("users"), F.any_value("g").alias("g"),
+        *[c.alias(f"below{p}") for p, c in below.items()],
+    )
+    off = lambda found, true, error: F.floor(F.abs(found - true) / (4 * error)).cast("int")
+    ranks = [off(F.col(f"below{p}"), F.col("rows") * p / 100, F.col("rows") * COARSE["value"].error).alias(f"p{p}_off") for p in (5, 50, 95)]
+    users = off(F.col("g.users"), F.col("users"), F.col("users") * COARSE["users"].error).alias("users_off")
+    return sums.select("rows", "users", users, *ranks)
+
+
 PERCENTS = (1, 5, 25, 50, 75, 95, 99, 99.9)
 
 
