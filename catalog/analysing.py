@@ -210,6 +210,25 @@ def tf_dictionary(spark, sf):
     return shown(found, "doc_id", F.col("forms"))
 
 
+PHRASES = "('of the', 'ofthe'), ('the', 'article'), ('of the end', 'last part'), ('in', 'inside')"
+
+
+@query(
+    "tf_phrases",
+    r"WITH w AS (SELECT conv_id, turn, ' ' || array_to_string(regexp_extract_all(lower(text), '\p{L}+'), '  ') || ' ' AS t FROM conversations),"
+    " x AS (SELECT conv_id, turn, replace(replace(replace(replace(t, ' of  the  end ', ' last  part '), ' of  the ', ' ofthe '),"
+    " ' the ', ' article '), ' in ', ' inside ') AS t FROM w),"
+    " y AS (SELECT conv_id, turn, list_filter(string_split(t, ' '), lambda x: x <> '') AS t FROM x)"
+    " SELECT conv_id || '-' || turn AS _id, array_to_string(t, '|') AS tokens, CAST(len(t) AS BIGINT) AS n FROM y",
+)
+def tf_phrases(spark, sf):
+    """Rules of one and of several words; the longest one at a place wins."""
+    turns = t.conversations(spark, sf).df.select("_id", a.lowercase_letter(F.col("text")).alias("words"))
+    rules = spark.sql(f"SELECT * FROM VALUES {PHRASES} AS t(phrase, form)")
+    found = a.expand_phrases(turns, "words", rules, keep=False, out="forms")
+    return shown(found, "_id", F.col("forms"))
+
+
 # --- chains ---------------------------------------------------------------
 
 query("analyze_custom", doc_sql(rf"list_filter([lower(x) for x in {RAW_WORDS}], lambda x: x NOT IN ({STOPS}))"))(

@@ -272,17 +272,120 @@ def porter_stem(tokens: Column) -> Column:
     return porter_stem_tokens(tokens)
 
 
+# Rules that are looked up inside the row; a larger table is joined.
+INLINE_RULES = 50_000
+
+
+def _lookup(df: DataFrame, rules: DataFrame) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """``df`` beside a table (word, forms) of proven size, as a column ``_rules``,
+    and the forms of a word by it. The table is an array of buckets by hash that
+    enters the plan as one value, so nothing moves, and a word is compared with
+    the few rules of its bucket."""
+    n = 16
+    while n < rules.count():
+        n *= 2
+    place = lambda w: F.pmod(F.xxhash64(w), F.lit(n)).cast("int")
+    filled = rules.groupBy(place(F.col("word")).alias("b")).agg(F.sort_array(F.collect_list(F.struct("word", "forms"))).alias("e"))
+    every = rules.sparkSession.range(n).select(F.col("id").cast("int").alias("b")).join(filled, "b", "left")
+    table = every.agg(F.sort_array(F.collect_list(F.struct("b", "e"))).alias("t")).select(F.transform("t", lambda x: x["e"])).scalar()
+    found = lambda w: F.get(F.filter(F.get("_rules", place(w)), lambda x: x["word"] == w), F.lit(0))["forms"]
+    return df.withColumn("_rules", table), found
+
+
+def _rewritten(tokens: Column, hits: Column, keep: bool) -> Column:
+    """``tokens`` with the forms of ``hits`` (at, n, forms; ascending by place,
+    one per place) in place of their words, or after them. From left to right a
+    hit uses up its words; hits that begin among used words are left out."""
+    start = F.struct(F.lit(0).alias("next"), F.filter(hits, lambda h: F.lit(False)).alias("chosen"))
+
+    def step(state: Column, h: Column) -> Column:
+        taken = F.struct((h["at"] + h["n"]).alias("next"), F.concat(state["chosen"], F.array(h)).alias("chosen"))
+        return F.when(h["at"] >= state["next"], taken).otherwise(state)
+
+    def assembled(chosen: Column) -> Column:
+        def ended(j: Column) -> Column:
+            before = F.get(chosen, j - 1)
+            return F.when(j > 0, before["at"] + before["n"]).otherwise(F.lit(0))
+
+        def piece(h: Column, j: Column) -> Column:
+            begin = ended(j)
+            upto = h["at"] + h["n"] if keep else h["at"]
+            return F.concat(F.slice(tokens, begin + 1, upto - begin), h["forms"])
+
+        rest = ended(F.size(chosen))
+        return F.flatten(F.concat(F.transform(chosen, piece), F.array(F.slice(tokens, rest + 1, F.size(tokens) - rest))))
+
+    return let(F.aggregate(hits, start, step, lambda state: state["chosen"]), assembled)
+
+
+def expand_phrases(df: DataFrame, tokens_col: str, rules: DataFrame, keep: bool, out: str) -> DataFrame:
+    """Token filter against a table of ``(phrase, form)`` rules of one or more
+    words, separated by single blanks: ``new york`` to ``ny``.
+
+    Rules are matched from left to right, the longest one at a place wins, and
+    the words it matches are used up, so matches never overlap. ``keep=True``
+    appends the forms to the words (synonyms), ``keep=False`` puts them in their
+    place; several forms of a phrase come in order, a form of several words
+    gives as many tokens. Null phrases and forms are no rules. Null token lists
+    stay null. A column named ``out`` is replaced.
+
+    Up to ``INLINE_RULES`` phrases are looked up inside the row. More are joined:
+    the runs of words that are as long as a rule meet the rules by their text.
+    """
+    rules = rules.where(F.col("phrase").isNotNull() & F.col("form").isNotNull()).select("phrase", "form").distinct()
+    forms = rules.groupBy(F.col("phrase").alias("word")).agg(F.array_sort(F.collect_set("form")).alias("forms"))
+    forms = stage(forms.withColumn("forms", F.flatten(F.transform("forms", lambda f: F.split(f, " ")))), "rules")
+    # One row per length that occurs.
+    lengths = sorted((r[0] for r in forms.select(F.size(F.split("word", " "))).distinct().collect()), reverse=True)
+    tokens = F.col(tokens_col)
+    if not lengths:
+        return df.withColumn(out, tokens)
+    run = lambda i, n: F.array_join(F.slice(tokens, i + 1, F.lit(n)), " ", "\0")
+    if fits_broadcast(forms, INLINE_RULES):
+        df, found = _lookup(df, forms)
+
+        def at(w: Column, i: Column) -> Column:
+            tried = [F.when(i + n <= F.size(tokens), found(run(i, n) if n > 1 else w)) for n in lengths]
+            longest = F.coalesce(*[F.when(t.isNotNull(), F.struct(i.alias("at"), F.lit(n).alias("n"), t.alias("forms"))) for n, t in zip(lengths, tried)])
+            return longest
+
+        hits = F.filter(F.transform(tokens, at), lambda h: h.isNotNull())
+        return df.withColumn(out, F.when(tokens.isNotNull(), let(hits, lambda h: _rewritten(tokens, h, keep)))).drop("_rules")
+    df = stage(df.withColumn("_row", F.monotonically_increasing_id()), "tokens")
+    runs = F.flatten(
+        F.transform(
+            tokens,
+            lambda w, i: F.filter(
+                F.array(*[F.struct(i.alias("at"), F.lit(n).alias("n"), F.when(i + n <= F.size(tokens), run(i, n)).alias("word")) for n in lengths]),
+                lambda x: x["word"].isNotNull(),
+            ),
+        )
+    )
+    some = df.select("_row", F.explode(runs).alias("r")).select("_row", "r.*").join(forms, "word")
+    longest = some.groupBy("_row", "at").agg(F.max_by(F.struct("at", "n", "forms"), "n").alias("h"))
+    hits = longest.groupBy("_row").agg(F.array_sort(F.collect_list("h")).alias("_hits"))
+    none = F.filter(F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.array(F.lit("")).alias("forms"))), lambda h: F.lit(False))
+    joined = df.join(hits, "_row", "left")
+    rewritten = let(F.coalesce("_hits", none), lambda h: _rewritten(tokens, h, keep))
+    return joined.withColumn(out, F.when(tokens.isNotNull(), rewritten)).drop("_row", "_hits")
+
+
 def expand_tokens(df: DataFrame, id_col: str, tokens_col: str, rules: DataFrame, keep: bool, out: str) -> DataFrame:
     """Token filter against a table of ``(word, form)`` rules.
 
     ``keep=True`` appends the forms to the word (synonyms), ``keep=False`` puts
-    the form in its place (dictionary lemma). Words without a rule stay. A rules
-    table of proven size is broadcast, so no token moves for the lookup. With a
-    larger one the join shuffles by word; adaptive execution then splits the
-    partition of a word that is a large share of all tokens.
+    the form in its place (dictionary lemma). Words without a rule stay. Up to
+    ``INLINE_RULES`` words are looked up inside the row, and nothing moves. A
+    larger table of proven size is broadcast; beyond that the join shuffles by
+    word, and adaptive execution splits the partition of a word that is a large
+    share of all tokens.
     """
     rules = stage(rules.select("word", "form"), "rules")
     forms = rules.groupBy("word").agg(F.array_sort(F.collect_set("form")).alias("_forms"))
+    if fits_broadcast(rules, INLINE_RULES):
+        df, found = _lookup(df, stage(forms.where("word IS NOT NULL").select("word", F.col("_forms").alias("forms")), "forms"))
+        new = (lambda w: F.concat(F.array(w), found(w))) if keep else found
+        return df.withColumn(out, F.flatten(F.transform(tokens_col, lambda w: F.coalesce(new(w), F.array(w))))).drop("_rules")
     # Written once: texts are analysed once, and row numbers hold, which keep
     # rows apart that share an id.
     df = stage(df.withColumn("_row", F.monotonically_increasing_id()), "tokens")

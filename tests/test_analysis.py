@@ -197,3 +197,64 @@ def test_alias_view_and_documents(spark):
     assert parsed.a == 1
     built = df.select(d.document(id=F.col("_id"), all=d.list_of(F.col("_id"), F.col("status"))).alias("doc")).head()
     assert built.doc.all == ["1", "active"]
+
+
+PHRASE_ROWS = [
+    ("1", ["i", "love", "new", "york", "city", "in", "new", "york"]),
+    ("2", ["new", "new", "york"]),
+    ("3", []),
+    ("4", None),
+    ("5", ["york", "new"]),
+    ("6", ["a", "b", "c", "d"]),
+    ("7", ["big", None, "apple", "big", "apple"]),
+]
+PHRASE_RULES = [
+    ("new york", "ny"), ("new york city", "nyc"), ("york", "yk"), ("a b", "x y"), ("b c d", "z"), ("big apple", "ny"),
+    ("big apple", "nyc"), (None, "n"), ("city", None), ("c", "cc"),
+]
+
+
+def rewritten(tokens, keep):
+    """Rules applied one place after the other."""
+    rules = {}
+    for phrase, form in PHRASE_RULES:
+        if phrase and form:
+            rules.setdefault(tuple(phrase.split(" ")), []).append(form)
+    if tokens is None:
+        return None
+    out, i = [], 0
+    while i < len(tokens):
+        for n in (3, 2, 1):
+            words = tuple(tokens[i : i + n])
+            if len(words) == n and words in rules:
+                out += (list(words) if keep else []) + " ".join(sorted(rules[words])).split(" ")
+                i += n
+                break
+        else:
+            out.append(tokens[i])
+            i += 1
+    return out
+
+
+@pytest.mark.parametrize("keep", [False, True])
+@pytest.mark.parametrize("inline", [50_000, 0])
+def test_rules_of_several_words(spark, monkeypatch, keep, inline):
+    monkeypatch.setattr(a, "INLINE_RULES", inline)
+    df = spark.createDataFrame([(*r, "old") for r in PHRASE_ROWS], "_id string, w array<string>, out string")
+    rules = spark.createDataFrame(PHRASE_RULES, "phrase string, form string")
+    found = a.expand_phrases(df, "w", rules, keep=keep, out="out")
+    assert {r["_id"]: r["out"] for r in found.collect()} == {i: rewritten(w, keep) for i, w in PHRASE_ROWS}
+    none = a.expand_phrases(df, "w", rules.where("false"), keep=keep, out="out")
+    assert {r["_id"]: r["out"] for r in none.collect()} == dict(PHRASE_ROWS)
+    assert a.expand_phrases(df.where("false"), "w", rules, keep=keep, out="out").count() == 0
+
+
+def test_small_rules_move_nothing(spark, monkeypatch):
+    df = spark.createDataFrame([("1", ["x", "y", None]), ("2", None)], "_id string, w array<string>")
+    rules = spark.createDataFrame([("x", "xx"), ("x", "xy"), ("z", "zz")], "word string, form string")
+    found = a.expand_tokens(df, "_id", "w", rules, keep=True, out="out")
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    small = {r["_id"]: r["out"] for r in found.collect()}
+    monkeypatch.setattr(a, "INLINE_RULES", 0)
+    assert small == {r["_id"]: r["out"] for r in a.expand_tokens(df, "_id", "w", rules, keep=True, out="out").collect()}
+    assert small == {"1": ["x", "xx", "xy", "y", None], "2": None}
