@@ -1,10 +1,12 @@
 """Conversations as training windows of a bounded number of tokens.
 
-Prefix sums of turn tokens choose the windows: a turn belongs to the window in
-whose stretch of tokens it begins, so windows end at turns, need no scan from
-the start of the conversation, and hold a bounded number of turns. Each later
-window repeats the system turn and the last few turns before it; only turns
-that are new in a window are trained on.
+Prefix sums of turn tokens choose the windows. They cut a conversation into
+stretches of the budget for new turns: the turns that lie inside a stretch are
+one window, and a turn that straddles an end is a window of its own, so no
+window passes the budget unless a single turn does, windows end at turns, and
+none needs a scan from the start of the conversation. Each later window repeats
+the system turn, if it keeps its share, and the last few turns before it; only
+turns that are new in a window are trained on.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ ORDER = ("conv_id", "turn", "role", "tie")
 @dataclass(frozen=True)
 class Budget:
     """Tokens of a window: for new turns, for repeated turns, for the system turn.
-    A single turn above its share is kept whole."""
+    A single new turn above its share is kept whole, alone in its window; a
+    system turn above its share is not repeated."""
 
     new: int = 1536
     history: int = 256
@@ -112,26 +115,32 @@ def windows(
 
     Null roles and texts are empty. Null conv_ids are one conversation. Repeated
     rows are repeated turns. Rows of one turn are ordered by role, then hash.
-    A first turn with role ``system`` opens every window of its conversation.
+    A first turn with role ``system`` opens every window of its conversation,
+    unless it is longer than its share. A window has at most ``budget.total``
+    tokens, but for a single new turn that is longer than ``budget.new``.
+    Very long texts are turns like any other.
     Only assistant texts are under the loss, each in the one window where it is
     new. An empty table gives no windows; other columns are not read.
     """
     turns = stage(_placed(conversations, tokens), "placed")
-    turns = turns.withColumn("window", F.floor(F.col("before") / budget.new))
+    stretch, last = (F.floor(F.col(c) / budget.new) for c in ("before", "end"))
+    turns = turns.withColumn("end", F.col("upto") - 1)
+    turns = turns.withColumn("window", stretch * 2 + (last > stretch).cast("long"))
     in_window = Window.partitionBy("conv_id", "window")
     turns = turns.withColumn("ends", F.max("upto").over(in_window))
     is_system = F.col("first") & (F.col("role") == "system")
+    small = F.col("upto") - F.col("before") <= budget.system
 
     new = turns.select("conv_id", "window", F.lit(2).alias("rank"), "place", "role", "piece")
-    # What ends inside its own window's stretch is the conversation's end.
-    following = F.floor(F.col("ends") / budget.new)
-    repeats = ~is_system & (F.col("ends") - F.col("before") <= budget.history) & (following > F.col("window"))
-    history = turns.where(repeats).select(
-        "conv_id", following.alias("window"), F.lit(1).alias("rank"), "place", "role", "piece"
+    # The next window begins where this one ends.
+    opened = turns.groupBy(F.col("conv_id").alias("c"), F.col("window").alias("following")).agg(F.min("before").alias("opens"))
+    recent = turns.where(~is_system & (F.col("ends") - F.col("before") <= budget.history))
+    history = recent.join(opened, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("ends") == F.col("opens"))).select(
+        "conv_id", F.col("following").alias("window"), F.lit(1).alias("rank"), "place", "role", "piece"
     )
-    system = turns.where(is_system).select(F.col("conv_id").alias("c"), "place", "role", "piece")
-    later = turns.where(~is_system).where("window > 0").select("conv_id", "window").distinct()
-    system = later.join(system, F.col("conv_id").eqNullSafe(F.col("c"))).select(
+    system = turns.where(is_system & small).select(F.col("conv_id").alias("c"), F.col("window").alias("own"), "place", "role", "piece")
+    later = turns.select("conv_id", "window").distinct()
+    system = later.join(system, F.col("conv_id").eqNullSafe(F.col("c"))).where(F.col("window") > F.col("own")).select(
         "conv_id", "window", F.lit(0).alias("rank"), "place", "role", "piece"
     )
     order = in_window.orderBy("rank", "place")

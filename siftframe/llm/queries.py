@@ -55,14 +55,15 @@ placed AS (
     CAST(sum(ceil(size / 4)) OVER w AS BIGINT) AS upto
   FROM sized WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
 windowed AS (
-  SELECT *, upto - tokens AS before, (upto - tokens) // 1536 AS win, nth = 1 AND role = 'system' AS system,
-    max(upto) OVER (PARTITION BY conv_id) AS total FROM placed),
-ended AS (SELECT *, max(upto) OVER (PARTITION BY conv_id, win) AS ends FROM windowed),
+  SELECT *, upto - tokens AS before, nth = 1 AND role = 'system' AS system,
+    2 * ((upto - tokens) // 1536) + CASE WHEN (upto - 1) // 1536 > (upto - tokens) // 1536 THEN 1 ELSE 0 END AS win FROM placed),
+ended AS (SELECT *, max(upto) OVER (PARTITION BY conv_id, win) AS ends, max(upto) OVER (PARTITION BY conv_id) AS total FROM windowed),
 repeated AS (
-  SELECT conv_id, sum(size) AS size FROM ended
-  WHERE NOT system AND ends < total AND ends - before <= 256 AND ends // 1536 > win GROUP BY conv_id),
-opened AS (SELECT conv_id, max(size) FILTER (system) * count(DISTINCT win) FILTER (NOT system AND win > 0) AS size
-  FROM ended GROUP BY conv_id)
+  SELECT conv_id, sum(size) AS size FROM ended WHERE NOT system AND ends < total AND ends - before <= 256 GROUP BY conv_id),
+own AS (SELECT conv_id, win, size FROM ended WHERE system AND tokens <= 256),
+opened AS (
+  SELECT own.conv_id, own.size * count(DISTINCT ended.win) AS size
+  FROM own JOIN ended ON ended.conv_id = own.conv_id AND ended.win > own.win GROUP BY own.conv_id, own.size)
 SELECT e.conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
