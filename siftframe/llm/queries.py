@@ -129,15 +129,19 @@ URL_RULES = [
     urls.Rule("block", "net", "/fr/"),
 ]
 
-# The labelled urls: hosts and paths that a filter of this kind is to block or allow.
+# The labelled urls: general words of hosts that a filter of this kind is to
+# block or allow, none of them a host of the tables here, and among the allowed
+# ones names that say nothing, put together from syllables.
 BLOCKED_NAMES = (
-    "spam-farm cheap-pills casino-win adult-x free-bets ads-track xxx-cams malware-dl warez-zone loan-now"
-    " poker-spins porn-tube pill-shop click-ads bet-bonus sex-chat viagra-rx phish-login torrent-hub crack-keys"
+    "spam-mail bulk-spam pills-online diet-pills casino-games live-casino adult-chat adult-dates free-spins bets-today"
+    " sure-bets pop-ads ads-click track-clicks xxx-cams malware-dl warez-zone loan-now poker-win porn-tube link-farm"
+    " pill-shop win-cash click-bait bet-bonus sex-chat viagra-rx phish-login torrent-hub crack-keys cheap-meds cheap-watches"
 ).split()
+SYLLABLES = "ba ren mo lin tar ves do kin sal per hu nor".split()
 ALLOWED_NAMES = (
     "city-news docs-hub library museum science-daily recipes travel-notes garden history health-info sports weather"
-    " music-school code-lab tionsh thther ththre thonin therin verein lesou anciones erheit blehent"
-).split()
+    " music-school code-lab bakery theatre poetry bicycle-club research maps lessons archive kitchen letters"
+).split() + [a + b for a in SYLLABLES for b in SYLLABLES if a != b]
 ALLOWED_PATHS = "/en/12 /fr/825.html /de/archive/7 /es/index /".split()
 
 
