@@ -14,7 +14,7 @@ from catalog.tables import PRODUCTS
 from siftframe import Collection
 from siftframe.operators import mutate as w
 from siftframe.plans import conditions as q
-from siftframe.session import scratch_path
+from siftframe.session import scratch_path, stage
 from siftframe.sources.snapshots import Snapshots
 
 
@@ -260,18 +260,15 @@ def bulk_null_object(spark, sf):
 
 @query(
     "bulk_generated_ids",
-    "SELECT count(*) AS rows, count(*) AS ids, max(o_totalprice) AS highest, CAST(1 AS BIGINT) AS version FROM orders",
+    "SELECT CAST(1 AS BIGINT) AS _version, 'order ' || o_orderkey AS name, o_totalprice AS balance,"
+    " CAST(o_orderkey % 25 AS INTEGER) AS nation, o_orderstatus AS segment, count(*) OVER () AS ids FROM orders",
 )
 def bulk_generated_ids(spark, sf):
-    """Operations without an id become one document each."""
+    """Operations without an id become one document each, all ids different."""
     ops = operations(spark, sf, "index").withColumn("_id", F.lit(None).cast("string"))
-    found = w.bulk(customers(spark, sf).limit(0), ops).table
-    return found.agg(
-        F.count("*").alias("rows"),
-        F.count_distinct("_id").alias("ids"),
-        F.max("balance").alias("highest"),
-        F.max("_version").alias("version"),
-    )
+    found = stage(w.bulk(customers(spark, sf).limit(0), ops).table, "found")
+    ids = found.agg(F.count_distinct("_id")).scalar()
+    return flat(found).drop("_id").withColumn("ids", ids)
 
 
 def versioned_products(spark, sf) -> Collection:

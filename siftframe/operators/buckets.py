@@ -274,12 +274,15 @@ def _histogram(c: Collection, spec: Histogram, metrics) -> DataFrame:
 
 # Bucket numbers that one step of the gap filling writes out at a time.
 _SPINE_BLOCK = 4096
+# Buckets that gaps between two keys of one parent may be filled up to.
+MAX_BUCKETS = 10_000_000
 
 
 def fill_gaps(grouped: DataFrame, ordinal: str, by: list[str] | None = None) -> DataFrame:
     """Add empty buckets between the first and the last bucket number, per
     parent if ``by`` names its keys. Numbers are laid out block by block, so a
-    long span is spread over tasks instead of being one long list."""
+    long span is spread over tasks instead of being one long list. A span of
+    more than ``MAX_BUCKETS`` fails with an error that names its ends."""
     by = by or []
     # The last bucket is taken with all of its columns: both readers of the bucket
     # table then want the same ones and share its aggregation, instead of each
@@ -287,7 +290,10 @@ def fill_gaps(grouped: DataFrame, ordinal: str, by: list[str] | None = None) ->
     others = [n for n in grouped.columns if n not in (ordinal, *by)]
     ends = grouped.groupBy(*by).agg(F.min(ordinal).alias("_lo"), F.max(F.struct(ordinal, *others)).alias("_last"))
     ends = ends.select(*by, "_lo", F.col(f"_last.{ordinal}").alias("_hi")).where(F.col("_lo").isNotNull())
-    starts = F.sequence("_lo", "_hi", F.lit(_SPINE_BLOCK).cast("bigint"))
+    # Two outliers may span more steps than any table can hold: an error, not a flood of empty rows.
+    few = F.col("_hi") - F.col("_lo") < MAX_BUCKETS
+    many = F.raise_error(F.concat(F.lit(f"more than {MAX_BUCKETS} buckets, filled up from "), "_lo", F.lit(" to "), "_hi"))
+    starts = F.sequence("_lo", F.when(few, F.col("_hi")).otherwise(many.cast("bigint")), F.lit(_SPINE_BLOCK).cast("bigint"))
     blocks = ends.select(*by, "_hi", F.explode(starts).alias("_start")).repartition(*by, "_start")
     within = F.sequence("_start", F.least(F.col("_start") + _SPINE_BLOCK - 1, F.col("_hi")))
     spine = blocks.select(*by, F.explode(within).alias(ordinal))

@@ -239,3 +239,13 @@ def test_date_expressions():
         dates.resolve_date("now-1d")
     with pytest.raises(ValueError):
         day("now*2d")
+
+
+def test_gaps_are_filled_up_to_a_bound(spark, monkeypatch):
+    df = spark.createDataFrame([("1", 0.0), ("2", 40.0), ("3", 41.0)], "_id string, v double")
+    c = Collection(df)
+    monkeypatch.setattr(b, "MAX_BUCKETS", 42)
+    assert b.buckets(c, b.Histogram("v", 1)).count() == 42
+    monkeypatch.setattr(b, "MAX_BUCKETS", 41)
+    with pytest.raises(Exception, match="more than 41 buckets, filled up from 0 to 41"):
+        b.buckets(c, b.Histogram("v", 1)).collect()
