@@ -36,6 +36,7 @@ from siftframe.session import stage
 WINDOW = 13  # words of a window
 GRAM = 4  # words of the grams that place the cuts
 PIECE = 1 << 22  # bytes of text handled at a time
+SETTLE = 1 << 24  # bytes of text whose rows are settled before they travel
 
 
 def blocks(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -95,16 +96,19 @@ def _settled(a: np.ndarray, b: np.ndarray, doc: np.ndarray, place: np.ndarray, c
 
 def _block_rows(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Words()
+        cache, found, size = Words(), [], 0
         for whole in batches:
             for batch in pieces(whole, "text", PIECE):
-                found = []
                 keys = zip(batch.column("doc").to_pylist(), batch.column("tag").to_pylist(), strict=True)
                 for text, (doc, tag) in zip(texts_of(batch, "text"), keys, strict=True):
                     gram, block, starts, counts = blocks(cache.hashes(text.split()))
                     found.append((gram, block, np.full(len(gram), doc, np.int64), (np.int64(tag) << 32) | starts, counts.astype(np.int64)))
-                if found:
+                    size += len(text)
+                if size > SETTLE:
                     yield _settled(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                    found, size = [], 0
+        if found:
+            yield _settled(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
     return docs.mapInArrow(run, _ROWS)
 
@@ -114,10 +118,9 @@ def _window_rows(docs: DataFrame) -> DataFrame:
     ``asked`` holds first windows and numbers of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Words()
+        cache, found, size = Words(), [], 0
         for whole in batches:
             for batch in pieces(whole, "text", PIECE):
-                found = []
                 rows = zip(*(batch.column(c).to_pylist() for c in ("doc", "tag", "asked")), strict=True)
                 for text, (doc, tag, asked) in zip(texts_of(batch, "text"), rows, strict=True):
                     h = cache.hashes(text.split())
@@ -125,8 +128,12 @@ def _window_rows(docs: DataFrame) -> DataFrame:
                     at = np.unique(np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
                     place = (np.int64(tag) << 32) | at
                     found.append((runs(h, WINDOW, 1)[at], runs(h, WINDOW, 2)[at], np.full(len(at), doc, np.int64), place, np.ones(len(at), np.int64)))
-                if found:
+                    size += len(text)
+                if size > SETTLE:
                     yield _settled(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                    found, size = [], 0
+        if found:
+            yield _settled(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
     return docs.mapInArrow(run, _ROWS)
 
@@ -160,7 +167,7 @@ def _repeats(docs: DataFrame) -> DataFrame:
         rows = rows.withColumn("least", F.min(F.struct("doc", "place")).over(same))
         sure = (kind == REPEATED) | (F.col("doc") > F.col("least.doc"))
         for name in ("doc", "place"):
-            given = F.when(kind == REPEATED, F.col(f"ref_{name}")).otherwise(F.col(f"least.{name}"))
+            given = F.when(kind == REPEATED, F.col(f"ref_{name}")).when(sure, F.col(f"least.{name}"))
             rows = rows.withColumn(f"ref_{name}", given)
         return rows.withColumn("sure", sure).drop("least")
 

@@ -58,7 +58,8 @@ def test_a_factor_goes_on_while_its_reference_does():
 
 
 def test_a_gram_with_many_surroundings_and_a_very_long_text(spark, monkeypatch):
-    monkeypatch.setattr(substrings, "PIECE", 3000)  # many batches
+    monkeypatch.setattr(substrings, "PIECE", 1500)
+    monkeypatch.setattr(substrings, "SETTLE", 3000)  # many batches
     gram = words(4, 9)
     rows = [(i, words(10, i, 9000) + gram + words(10, 500 + i, 9000)) for i in range(60)]
     rows += [(100 + i, list(rows[i][1])) for i in range(0, 60, 7)]
