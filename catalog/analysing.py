@@ -210,6 +210,28 @@ def tf_dictionary(spark, sf):
     return shown(found, "doc_id", F.col("forms"))
 
 
+# Stems by the paper's rules of the words of these columns that change.
+STEMS = {
+    "automobile": "automobil", "building": "build", "economy": "economi", "furniture": "furnitur", "large": "larg",
+    "machinery": "machineri",
+}
+
+
+@query(
+    "tf_stem_vocabulary",
+    "WITH w AS (SELECT 'p' || p_partkey AS _id, regexp_extract_all(lower(p_type || ' ' || p_name), '[a-z]+') AS w FROM part"
+    " UNION ALL SELECT 'c' || c_custkey, regexp_extract_all(lower(c_mktsegment), '[a-z]+') FROM customer),"
+    f" x AS (SELECT _id, [CASE x {' '.join(f"WHEN '{w}' THEN '{s}'" for w, s in STEMS.items())} ELSE x END for x in w] AS t FROM w)"
+    " SELECT _id, array_to_string(t, '|') AS tokens, CAST(len(t) AS BIGINT) AS n FROM x",
+)
+def tf_stem_vocabulary(spark, sf):
+    """The distinct words are stemmed once and looked up in every row."""
+    parts = t.load(spark, sf, "part").select(F.concat(F.lit("p"), "p_partkey").alias("_id"), F.concat_ws(" ", "p_type", "p_name").alias("text"))
+    people = t.load(spark, sf, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("_id"), F.col("c_mktsegment").alias("text"))
+    rows = parts.unionByName(people).select("_id", a.lowercase_letter(F.col("text")).alias("words"))
+    return shown(a.stem_tokens(rows, "words", "stems"), "_id", F.col("stems"))
+
+
 PHRASES = "('of the', 'ofthe'), ('the', 'article'), ('of the end', 'last part'), ('in', 'inside')"
 
 

@@ -405,6 +405,16 @@ def expand_tokens(df: DataFrame, id_col: str, tokens_col: str, rules: DataFrame,
     return found.drop("_row", out + "_new")
 
 
+def stem_tokens(df: DataFrame, tokens_col: str, out: str) -> DataFrame:
+    """Token filter: English stems (Porter 1980) of a list column. Each distinct
+    word is stemmed once; words that change become the rules of
+    ``expand_tokens``, so token lists themselves never leave the JVM. Null lists
+    and words stay null."""
+    words = df.select(F.explode(tokens_col).alias("word")).where("word IS NOT NULL").distinct()
+    stems = words.select("word", F.get(porter_stem_tokens(F.array("word")), F.lit(0)).alias("form"))
+    return expand_tokens(df, "", tokens_col, stems.where("word <> form"), keep=False, out=out)
+
+
 # --- chains ---------------------------------------------------------------
 
 

@@ -258,3 +258,12 @@ def test_small_rules_move_nothing(spark, monkeypatch):
     monkeypatch.setattr(a, "INLINE_RULES", 0)
     assert small == {r["_id"]: r["out"] for r in a.expand_tokens(df, "_id", "w", rules, keep=True, out="out").collect()}
     assert small == {"1": ["x", "xx", "xy", "y", None], "2": None}
+
+
+def test_stems_by_vocabulary_equal_stems_by_row(spark):
+    rows = [("1", ["running", "flies", "running", None, "sky"]), ("2", None), ("3", []), ("4", ["relational", "ponies"])]
+    df = spark.createDataFrame([(*r, "old") for r in rows], "_id string, w array<string>, out string")
+    found = {r["_id"]: r["out"] for r in a.stem_tokens(df, "w", "out").collect()}
+    assert found == {i: w and [x and porter(x) for x in w] for i, w in rows}
+    assert found["4"] == ["relat", "poni"]
+    assert a.stem_tokens(df.where("false"), "w", "out").count() == 0
