@@ -188,23 +188,36 @@ def agg_percentiles(spark, sf):
     return rounded(found, *found.columns)
 
 
+# Percent of rows that the sketch may be off by.
+SLACK = 0.05
+
+
 @query(
     "agg_percentiles_approx",
-    "SELECT unnest([1, 5, 25, 50, 75, 95, 99]) AS percent, true AS near",
+    " UNION ALL ".join(
+        f"SELECT CAST({p} AS INTEGER) AS percent, quantile_disc(l_extendedprice, {(p - SLACK) / 100:.6f}) AS least,"
+        f" quantile_disc(l_extendedprice, {(p + SLACK) / 100:.6f}) AS most, true AS near FROM lineitem"
+        for p in m.DEFAULT_PERCENTS
+    ),
 )
 def agg_percentiles_approx(spark, sf):
-    """Default percentiles from the sketch; each has its share of rows below it."""
+    """Default percentiles from the sketch, each between the exact ones just
+    below and above it."""
     c = lineitem(spark, sf)
     found = m.aggregate(c, {"p": m.percentiles("l_extendedprice")}).select(F.struct("*").alias("p")).scalar()
-    rows = c.df.select("l_extendedprice", found.alias("p"))
-    shares = []
-    for percent in m.DEFAULT_PERCENTS:
-        cut = F.col("p")[f"p_{percent}"]
-        low = F.avg((F.col("l_extendedprice") < cut).cast("double")) * 100
-        high = F.avg((F.col("l_extendedprice") <= cut).cast("double")) * 100
-        near = (low <= percent + 0.05) & (high >= percent - 0.05)
-        shares.append(F.struct(F.lit(percent).alias("percent"), near.alias("near")))
-    return rows.agg(F.array(*shares).alias("s")).select(F.inline("s"))
+    exact = lambda p: F.expr(f"percentile_disc({p / 100:.6f}) WITHIN GROUP (ORDER BY l_extendedprice)")
+    ends = {p: F.struct(exact(p - SLACK).alias("least"), exact(p + SLACK).alias("most")) for p in m.DEFAULT_PERCENTS}
+    row = c.df.agg(*[e.alias(f"e{p}") for p, e in ends.items()]).withColumn("p", found)
+    each = [
+        F.struct(
+            F.lit(p).alias("percent"),
+            F.col(f"e{p}.least").alias("least"),
+            F.col(f"e{p}.most").alias("most"),
+            F.col("p")[f"p_{p}"].between(F.col(f"e{p}.least"), F.col(f"e{p}.most")).alias("near"),
+        )
+        for p in m.DEFAULT_PERCENTS
+    ]
+    return row.select(F.inline(F.array(*each)))
 
 
 # --- buckets --------------------------------------------------------------
