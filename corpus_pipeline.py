@@ -1,4 +1,13 @@
-"""From raw documents to token ids: five stages, each written before the next."""
+"""From raw documents to token ids: five stages, each written before the next.
+
+Every stage takes any table with the columns of documents, in any order and
+beside any others, whatever their names. Rows with null texts, languages,
+sources or keys pass like all others: a null text has no words and no ids, a
+row without a key links with nothing, is never cut and is drawn by a hash of its
+other columns. Repeated rows stay or go together, ties are settled by the
+smaller key, texts of any length are handled whole, and an empty table stays
+empty.
+"""
 
 from __future__ import annotations
 
