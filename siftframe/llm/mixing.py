@@ -204,9 +204,9 @@ def mixed(
     every: Smoothed | None = None,
 ) -> DataFrame:
     """A sample of ``docs`` with about ``share`` of all tokens (long column
-``tokens``), dealt to the targets and to ``every`` value of a column of any
-    number of values; column column ``probability`` is each row's
-    chance of having been drawn.
+    ``tokens``), dealt to the targets and to ``every`` value of a column of any
+    number of values. Column ``probability`` is each row's chance of having been
+    drawn.
 
     A row is drawn by a hash of its key: the same rows in every run, and rows
     that share a key stay or go together within a cell. Null keys are drawn by
