@@ -205,9 +205,11 @@ def agg_percentiles_approx(spark, sf):
     below and above it."""
     c = lineitem(spark, sf)
     found = m.aggregate(c, {"p": m.percentiles("l_extendedprice")}).select(F.struct("*").alias("p")).scalar()
-    exact = lambda p: F.expr(f"percentile_disc({p / 100:.6f}) WITHIN GROUP (ORDER BY l_extendedprice)")
-    ends = {p: F.struct(exact(p - SLACK).alias("least"), exact(p + SLACK).alias("most")) for p in m.DEFAULT_PERCENTS}
-    row = c.df.agg(*[e.alias(f"e{p}") for p, e in ends.items()]).withColumn("p", found)
+    sides = {p: (round(p - SLACK, 4), round(p + SLACK, 4)) for p in m.DEFAULT_PERCENTS}
+    exact = m.discrete_percentiles(c, "l_extendedprice", *[x for pair in sides.values() for x in pair], name="e")
+    at = lambda x: F.col(f"e_{m.percent_label(x)}")
+    ends = {p: F.struct(at(low).alias("least"), at(high).alias("most")) for p, (low, high) in sides.items()}
+    row = exact.select(*[e.alias(f"e{p}") for p, e in ends.items()]).withColumn("p", found)
     each = [
         F.struct(
             F.lit(p).alias("percent"),

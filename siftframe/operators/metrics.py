@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -237,11 +238,43 @@ def exact_percentiles(
         return c.df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(x) for x in labels])
 
     pairs = sorted({_neighbours(p, whole.n) for p in percents})
+    row = _ranked_values(values, pairs, whole, accuracy)
+    return row.select(*[_interpolated(p, whole.n, pairs).alias(x) for p, x in zip(percents, labels)])
+
+
+def discrete_percentiles(
+    c: Collection,
+    field: str,
+    *percents: float,
+    condition: Condition | None = None,
+    name: str = "p",
+    accuracy: int = 20_000,
+) -> DataFrame:
+    """Exact percentiles without interpolation: the least value that the given
+    percent of the values do not exceed. Found as by ``exact_percentiles``, so
+    no task holds the distinct values. NaN counts as the greatest value."""
+    percents = percents or DEFAULT_PERCENTS
+    value = c.scope.slot(field).column.cast("double")
+    given = matching(c, condition).select(value.alias("v")).where("v IS NOT NULL")
+    number = ~F.isnan("v")
+    kept = F.when(number, F.col("v"))
+    whole = given.agg(
+        F.count("*").alias("all"), F.count_if(number).alias("n"), F.min(kept).alias("low"), F.max(kept).alias("high")
+    ).head()
+    ranks = [max(0, math.ceil(round(p / 100, 12) * whole["all"]) - 1) for p in percents]
+    pairs = sorted({(r, r) for r in ranks if r < whole.n})
+    row = _ranked_values(given.where(number), pairs, whole, accuracy) if pairs else c.df.sparkSession.range(1)
+    beyond = F.lit(float("nan") if whole["all"] else None).cast("double")
+    found = {r: F.col(f"a{pairs.index((r, r))}") if r < whole.n else beyond for r in ranks}
+    return row.select(*[found[r].alias(f"{name}_{percent_label(p)}") for p, r in zip(percents, ranks)])
+
+
+def _ranked_values(values: DataFrame, pairs: list[tuple[int, int]], whole: Row, accuracy: int) -> DataFrame:
+    """One row with the values ``a`` and ``b`` of the two ranks of every pair."""
     brackets = [_Bracket(*pair, whole.low, whole.high, 0, whole.n, 4.0 / accuracy) for pair in pairs]
     while any(b.open for b in brackets):
         _narrow(values, [b for b in brackets if b.open], accuracy)
-    row = _values_at(values, brackets)
-    return row.select(*[_interpolated(p, whole.n, pairs).alias(x) for p, x in zip(percents, labels)])
+    return _values_at(values, brackets)
 
 
 def _narrow(values: DataFrame, brackets: list[_Bracket], accuracy: int) -> None:

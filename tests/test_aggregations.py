@@ -249,3 +249,31 @@ def test_gaps_are_filled_up_to_a_bound(spark, monkeypatch):
     monkeypatch.setattr(b, "MAX_BUCKETS", 41)
     with pytest.raises(Exception, match="more than 41 buckets, filled up from 0 to 41"):
         b.buckets(c, b.Histogram("v", 1)).collect()
+
+
+def test_discrete_percentiles_hold_no_distinct_values_in_one_task(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from siftframe.operators import metrics as mm
+
+    monkeypatch.setattr(mm, "BRACKET_ROWS", 50)
+    percents = (0, 0.95, 5, 50, 99.05, 100)
+    literals = [f"percentile_disc({p / 100:.6f}) WITHIN GROUP (ORDER BY v)" for p in percents]
+    for n, value in ((4000, "CAST(id * 7919 % 4001 AS DOUBLE)"), (4000, "CAST(id % 3 AS DOUBLE)"), (7, "IF(id < 5, NULL, IF(id = 5, DOUBLE('NaN'), 1D))"), (3, "CAST(NULL AS DOUBLE)")):
+        df = spark.range(n).select(F.expr(value).alias("v"))
+        found = mm.discrete_percentiles(Collection(df), "v", *percents, accuracy=200)
+        assert str(found.first()[:]) == str(df.agg(*[F.expr(x) for x in literals]).first()[:]), value
+    plan = mm.discrete_percentiles(Collection(spark.range(4000)), "id", 50)._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in plan
+
+
+def test_the_approximate_percentiles_query_ranks_nothing_in_one_buffer(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from catalog.aggregating import agg_percentiles_approx
+
+    rows = spark.range(3000).select(F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), (F.col("id") * 1.5).alias("l_extendedprice"))
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = agg_percentiles_approx(spark, str(tmp_path))
+    assert "percentile_disc" not in found._jdf.queryExecution().analyzed().toString().lower()
+    assert [(r["percent"], r["near"]) for r in found.collect()] == [(p, True) for p in (1, 5, 25, 50, 75, 95, 99)]
