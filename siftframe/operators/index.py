@@ -11,8 +11,8 @@ Every addition of rows is a set of folders of its own, published as one version
 ``terms``       the distinct words of an addition.
 ``grams``       three-letter pieces of each word, ends marked: the way from a pattern to the
                 few words it may fit.
-``neighbours``  hashes of what is left of a word without up to two letters: words at edit
-                distance two or less have one in common.
+``neighbours``  hashes of the three pieces of a word: of a word at edit distance two or less
+                one piece at least is whole, moved by two letters at most.
 
 Patterns are tested on the vocabulary only. Queries never read a text.
 """
@@ -22,7 +22,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -31,12 +31,13 @@ from siftframe.operators.scoring import idf, saturation
 from siftframe.plans.collection import Collection
 from siftframe.plans.conditions import Condition, Fuzzy, Match, MatchPhrase, Prefix, Regexp, Term, Wildcard
 from siftframe.session import BROADCAST_ROWS, fits_broadcast, stage
-from siftframe.sources.snapshots import Snapshot, Snapshots
+from siftframe.sources.snapshots import Commit, Snapshot, Snapshots
 
 BLOCK = 128  # postings of a block
 PART_ROWS = 1 << 16  # documents of a part, about
 BUCKETS = 16  # folders of each table, by hash of the word or gram
-NEAR = 2  # letters left out of a word for its neighbours
+NEAR = 2  # edits that leave one of a word's NEAR + 1 pieces whole
+DEALT = 8  # tasks that write a bucket of the vocabulary
 LONGEST = 40  # letters of a word that has neighbours; longer ones are compared one by one
 START, END = "\x02", "\x03"
 _PROBE = 100
@@ -78,23 +79,43 @@ def positional_postings(c: Collection, field: str) -> DataFrame:
     return c.df.select(F.col(c.id).alias("id"), F.inline(let(F.sort_array(words), runs)))
 
 
-def _neighbours(word: Column, k: int = NEAR) -> Column:
-    """Hashes of ``word`` and of what is left of it without 1 to ``k`` letters."""
-
-    def shorter(words: Column) -> Column:
-        less = F.transform(
-            words,
-            lambda w: F.transform(
-                F.when(F.length(w) > 0, F.sequence(F.lit(1), F.length(w))),
-                lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))),
-            ),
-        )
-        return F.array_distinct(F.flatten(F.filter(less, lambda x: x.isNotNull())))
+def _piece(length: Column, i: int) -> tuple[Column, Column]:
+    """Where piece ``i`` of a word of this length begins, from 0, and its length.
+    The last pieces have one letter more if it does not divide."""
+    n = NEAR + 1
+    short, longer = F.floor(length / n).cast("int"), (length % n).cast("int")
+    more = F.greatest(F.lit(0), longer - (n - i))
+    return short * i + more, short + (longer >= n - i).cast("int")
+
+
+def _key(length: Column, i: int, piece: Column) -> Column:
+    return F.xxhash64(length.cast("int"), F.lit(i), piece)
+
 
-    levels = [F.array(word)]
-    for _ in range(k):
-        levels.append(let(levels[-1], shorter))
-    return F.transform(F.array_distinct(F.flatten(F.array(*levels))), lambda w: F.xxhash64(w))
+def _pieces(word: Column) -> Column:
+    """Hashes of the pieces of a word, with its length and their number."""
+
+    def one(i: int) -> Column:
+        begin, n = _piece(F.length(word), i)
+        return _key(F.length(word), i, F.substring(word, begin + 1, n))
+
+    return F.array(*[one(i) for i in range(NEAR + 1)])
+
+
+def _neighbours(word: Column, k: int = NEAR) -> Column:
+    """Hashes of which every word within ``k`` edits (``NEAR`` at most) has one
+    among its pieces: the places where a piece of a word of any length within
+    reach may be found in ``word``."""
+    found = []
+    for longer in range(-k, k + 1):
+        length = F.length(word) + longer
+        for i in range(NEAR + 1):
+            begin, n = _piece(length, i)
+            for moved in range(-k, k + 1):
+                at = begin + moved
+                fits = (length >= 0) & (at >= 0) & (at + n <= F.length(word))
+                found.append(F.when(fits, _key(length, i, F.substring(word, at + 1, n))))
+    return F.array_distinct(F.array_compact(F.array(*found)))
 
 
 def _shifted(offset: int) -> Column:
@@ -159,23 +180,23 @@ class TextIndex:
         has changed is a new row under a new id. Rows without an id, or without
         the field, are not indexed; a text without words counts for the mean
         length."""
-        seen = Observation()
         column = c.scope.slot(field).column
-        some = c.with_df(c.df.where(F.col(c.id).isNotNull() & column.isNotNull()).observe(seen, F.count("*").alias("n")))
-        found = stage(positional_postings(some, field), "postings")
-        n = seen.get["n"]
-        words = found.agg(F.coalesce(F.sum("tf"), F.lit(0))).first()[0]
+        some = c.with_df(c.df.where(F.col(c.id).isNotNull() & column.isNotNull()))
+        n = some.df.count()
         parts = max(1, -(-n // PART_ROWS))
         segment = len(self.now.note.get("parts", []))
         posting = F.struct("tf", "dl", "id", "positions")
-        groups = found.groupBy("term", _part(F.col("id"), parts).alias("part")).agg(F.collect_list(posting).alias("p"))
+        found = positional_postings(some, field)
+        found = found.withColumns({"bucket": _bucket(F.col("term")), "part": _part(F.col("id"), parts)})
+        # Postings move once: dealt by bucket and part, they are grouped, sorted and written in place.
+        groups = found.repartition("bucket", "part").groupBy("bucket", "term", "part").agg(F.collect_list(posting).alias("p"))
         # Best first: the order of greatest possible scores, for any mean length.
         impact = F.sort_array(F.transform("p", lambda x: F.struct((-x["tf"]).alias("a"), x["dl"].alias("b"), x["id"].alias("c"), x["positions"].alias("d"))))
         cut = let(
             impact,
             lambda p: F.transform(F.sequence(F.lit(0), (F.size(p) - 1).cast("int"), F.lit(BLOCK)), lambda at: F.slice(p, at + 1, BLOCK)),
         )
-        blocks = groups.select("term", "part", F.posexplode(cut).alias("block", "p")).select(
+        blocks = groups.select("bucket", "term", "part", F.posexplode(cut).alias("block", "p")).select(
             "term",
             F.lit(segment).alias("segment"),
             "part",
@@ -187,22 +208,29 @@ class TextIndex:
             F.transform("p", lambda x: -x["a"]).alias("tfs"),
             F.transform("p", lambda x: x["b"]).alias("dls"),
             F.transform("p", lambda x: x["d"]).alias("positions"),
-            _bucket(F.col("term")).alias("bucket"),
+            "bucket",
         )
-        terms = stage(found.select("term").distinct(), "terms")
-        padded = F.concat(F.lit(START), F.col("term"), F.lit(END))
-        pieces = F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3)))
-        grams = terms.select(F.explode(F.array_distinct(pieces)).alias("gram"), "term").withColumn("bucket", _bucket(F.col("gram")))
-        short = terms.where(F.length("term") <= LONGEST)
-        near = short.select(F.explode(_neighbours(F.col("term"))).alias("key"), "term").withColumn("bucket", _bucket(F.col("key")))
         with self.store.commit() as commit:
-            for name, rows, order in (("blocks", blocks, "term"), ("grams", grams, "gram"), ("neighbours", near, "key")):
-                commit.append(name, rows.repartition("bucket").sortWithinPartitions("bucket", order), by=["bucket"])
-            commit.append("terms", terms)
+            commit.append("blocks", blocks.sortWithinPartitions("bucket", "term"), by=["bucket"])
+            written = commit.read("blocks")
+            words = written.agg(F.coalesce(F.sum(F.aggregate("tfs", F.lit(0).cast("bigint"), lambda a, x: a + x)), F.lit(0))).first()[0]
+            commit.append("terms", written.select("term").distinct())
+            self._append_vocabulary(commit, commit.read("terms"))
             note = commit.note
             commit.note = {"n": note.get("n", 0) + n, "words": note.get("words", 0) + words, "parts": [*note.get("parts", []), parts]}
         return TextIndex(self.spark, self.store.root, self.chain)
 
+    @staticmethod
+    def _append_vocabulary(commit: Commit, terms: DataFrame) -> None:
+        """The ways to the words of an addition."""
+        padded = F.concat(F.lit(START), F.col("term"), F.lit(END))
+        pieces = F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3)))
+        grams = terms.select(F.explode(F.array_distinct(pieces)).alias("gram"), "term").withColumn("bucket", _bucket(F.col("gram")))
+        short = terms.where(F.length("term") <= LONGEST)
+        near = short.select(F.explode(_pieces(F.col("term"))).alias("key"), "term").withColumn("bucket", _bucket(F.col("key")))
+        for name, rows, key in (("grams", grams, "gram"), ("neighbours", near, "key")):
+            commit.append(name, rows.repartition("bucket", _part(F.col("term"), DEALT)).sortWithinPartitions("bucket", key), by=["bucket"])
+
     # -- vocabulary ----------------------------------------------------------
 
     def terms(self) -> DataFrame:

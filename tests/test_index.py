@@ -116,3 +116,15 @@ def test_neighbours_meet_at_distance_two(spark):
     df = spark.createDataFrame(pairs, "a string, b string")
     df = df.select("a", "b", F.arrays_overlap(ix._neighbours(F.col("a")), ix._neighbours(F.col("b"))).alias("meet"))
     assert all(r["meet"] for r in df.collect())
+
+
+def test_the_vocabulary_has_few_rows_per_word_and_loses_no_neighbour(spark, tmp_path):
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choices("abcé", k=rng.randint(1, 9))) for _ in range(300)} | {"abcabcabcabc" * 3})
+    c = collection(spark, [(str(i), " ".join(words[i::4])) for i in range(4)])
+    index = ix.TextIndex.build(c, "text", str(tmp_path / "index"))
+    assert index.now.read("neighbours").count() == 3 * len(words)
+    assert index.now.note["words"] == len(words) and index.terms().count() == len(words)
+    for value, k in (("abca", 2), ("éab", 2), ("a", 2), ("abcabca", 1), ("bbbbbbbbb", 2)):
+        near = spark.createDataFrame([(w,) for w in words], "term string").where(F.levenshtein("term", F.lit(value)) <= k)
+        assert ids(index.terms_like(q.fuzzy("text", value, k))) == ids(near), value
