@@ -261,10 +261,9 @@ def range_join(spark, sf):
     parts = t.load(spark, sf, "part").select(
         "p_partkey", F.struct((F.col("p_retailprice") - wide).alias("gte"), high.alias("lte")).alias("band")
     )
-    met = join_points(t.load(spark, sf, "supplier"), parts, "s_acctbal", "band")
-    return met.groupBy("p_partkey").agg(
-        F.count("*").alias("n"), F.min("s_acctbal").alias("lowest"), F.max("s_suppkey").alias("last")
-    )
+    wanted = {"n": ("count", "*"), "lowest": ("min", "s_acctbal"), "last": ("max", "s_suppkey")}
+    met = join_points(t.load(spark, sf, "supplier"), parts, "s_acctbal", "band", totals=wanted)
+    return met.groupBy("p_partkey").agg(F.sum("n").alias("n"), F.min("lowest").alias("lowest"), F.max("last").alias("last"))
 
 
 @query(

@@ -10,6 +10,7 @@ with all, and the exact bounds decide.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siftframe.session import fits_broadcast, stage
@@ -36,7 +37,12 @@ def as_number(c: Column, kind: str) -> Column:
 
 
 def join_points(
-    points: DataFrame, intervals: DataFrame, value: str, field: str, how: str = "inner"
+    points: DataFrame,
+    intervals: DataFrame,
+    value: str,
+    field: str,
+    how: str = "inner",
+    totals: dict[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Every pair of a row of ``points`` and a row of ``intervals`` (a column
     ``field`` of gte and lte, both included) that holds its ``value``.
@@ -49,7 +55,14 @@ def join_points(
 
     Intervals are first clipped to the least and greatest point, which closes
     open ones and changes nothing about the points they hold.
+
+    ``totals`` (name: kind and column of the points, of the kinds in ``TOTALS``)
+    gives one row per interval that holds a point, with these figures over all of
+    its points, in place of the pairs, whose number may grow with the product of
+    both tables.
     """
+    if totals and (how != "inner" or set(totals) & set(intervals.columns)):
+        raise ValueError("totals need an inner join and names of their own")
     kind = points.schema[value].dataType.simpleString()
     low, high = (as_number(F.col(f"`{field}`")[b], intervals.schema[field].dataType[b].dataType.simpleString()) for b in ("gte", "lte"))
     number = as_number(F.col(f"`{value}`"), kind)
@@ -71,6 +84,8 @@ def join_points(
     least, most = ends["least"] or 0.0, ends["most"] or 0.0
     clipped = {names["low"]: F.greatest(low, F.lit(least)), names["high"]: F.least(high, F.lit(most))}
     rows = rows.withColumns(clipped).where(low <= high)
+    if totals:
+        return _totals(some, rows, names, totals).select(*[F.col(f"`{c}`") for c in intervals.columns], *totals)
 
     binned = rows.withColumn(names["level"], _level(high - low))
     level = F.col(names["level"])
@@ -90,3 +105,58 @@ def join_points(
         return numbered.join(found, names["id"], "left_semi").select(*[F.col(f"`{c}`") for c in points.columns])
     alone = numbered.join(found, names["id"], "left_anti")
     return met.unionByName(alone, allowMissingColumns=True).drop(*extra, names["id"])
+
+
+# Figures that can be put together from those of parts.
+TOTALS = {"count": (F.count, F.sum), "sum": (F.sum, F.sum), "min": (F.min, F.min), "max": (F.max, F.max)}
+
+
+def _totals(points: DataFrame, intervals: DataFrame, names: dict[str, str], totals: dict[str, tuple[str, str]]) -> DataFrame:
+    """Figures over the points of each interval, without the pairs.
+
+    The distinct points are numbered in ascending order, and an interval becomes
+    a span of numbers. Spans of 1, 2, 4, ... numbers that begin at a multiple of
+    their length have their figures worked out once, and every span is put
+    together from at most two of each length.
+    """
+    x, low, high = names["x"], names["low"], names["high"]
+    combined = [TOTALS[kind][1](F.col(f"`{n}`")).alias(n) for n, (kind, _) in totals.items()]
+    first = [TOTALS[kind][0](F.lit(1) if c == "*" else F.col(f"`{c}`")).alias(n) for n, (kind, c) in totals.items()]
+    leaves = stage(points.groupBy(F.col(x).alias("_iv_v")).agg(*first), "leaves")
+
+    # Ends and points in one order: a value's place is the number of points up to it.
+    bounds = [intervals.select(F.col(c).alias("_iv_v"), F.lit(0).alias("_iv_is")) for c in (low, high)]
+    values = leaves.select("_iv_v", F.lit(1).alias("_iv_is")).unionByName(bounds[0]).unionByName(bounds[1])
+    values = stage(values.groupBy("_iv_v").agg(F.max("_iv_is").alias("_iv_is")).orderBy("_iv_v"), "values")
+    values = values.select("*", F.col("_metadata.file_name").alias("_iv_file"))
+    # One row per file, each a range of values.
+    files = values.groupBy("_iv_file").agg(F.sum("_iv_is").alias("n"), F.min("_iv_v").alias("least"))
+    before = F.coalesce(F.sum("n").over(W.orderBy("least").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    files = F.broadcast(files.select("_iv_file", before.alias("_iv_before")))
+    inside = F.sum("_iv_is").over(W.partitionBy("_iv_file").orderBy("_iv_v").rowsBetween(W.unboundedPreceding, 0))
+    places = values.withColumn("_iv_inside", inside).join(files, "_iv_file")
+    places = stage(places.select("_iv_v", "_iv_is", (F.col("_iv_before") + F.col("_iv_inside")).alias("_iv_upto")), "places")
+
+    start = places.select(F.col("_iv_v").alias(low), (F.col("_iv_upto") - F.col("_iv_is")).alias("_iv_start"))
+    end = places.select(F.col("_iv_v").alias(high), F.col("_iv_upto").alias("_iv_end"))
+    spanned = intervals.join(start, low).join(end, high).where("_iv_start < _iv_end")
+    spanned = stage(spanned.drop(x, low, high), "spans")
+
+    depth = max(1, leaves.count().bit_length())
+    numbered = leaves.join(places.where("_iv_is = 1"), "_iv_v").withColumn("_iv_at", F.col("_iv_upto") - 1)
+    levels = F.explode(F.array(*[F.struct(F.lit(n).alias("_iv_level"), F.shiftright("_iv_at", n).alias("_iv_node")) for n in range(depth)]))
+    nodes = numbered.select(*totals, levels.alias("_iv_n")).select(*totals, "_iv_n.*").groupBy("_iv_level", "_iv_node").agg(*combined)
+    nodes = stage(nodes, "nodes")
+
+    parts = []
+    for n in range(depth):
+        left, right = F.shiftright(F.col("_iv_start") + (2**n - 1), n), F.shiftright("_iv_end", n)
+        for odd, node in ((left, left), (right, right - 1)):
+            taken = F.struct(F.lit(n).alias("_iv_level"), node.alias("_iv_node"))
+            parts.append(F.when((left < right) & (odd % 2 == 1), taken))
+    pieces = spanned.select("_iv_start", "_iv_end").distinct()
+    pieces = pieces.select("_iv_start", "_iv_end", F.explode(F.array_compact(F.array(*parts))).alias("_iv_n"))
+    pieces = pieces.select("_iv_start", "_iv_end", "_iv_n.*")
+    met = pieces.join(F.broadcast(nodes) if fits_broadcast(nodes) else nodes, ["_iv_level", "_iv_node"])
+    figures = met.groupBy("_iv_start", "_iv_end").agg(*combined)
+    return spanned.join(figures, ["_iv_start", "_iv_end"])

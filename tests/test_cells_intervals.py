@@ -152,3 +152,24 @@ def test_dates_and_relations(spark):
     days = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-06' AS day UNION ALL SELECT TIMESTAMP_NTZ '2024-01-11'")
     met = join_points(days, df, "day", "stay")
     assert sorted((r["day"].day, r["_id"]) for r in met.collect()) == [(6, "a"), (6, "b"), (11, "b")]
+
+
+def test_totals_of_intervals_equal_those_of_their_pairs_without_pairing(spark):
+    left = spark.createDataFrame(points(), "p long, x double")
+    right = spark.createDataFrame(intervals() + [(7, (None, None))], "i long, r struct<gte: double, lte: double>")
+    wanted = {"n": ("count", "*"), "low": ("min", "x"), "last": ("max", "p"), "all": ("sum", "p")}
+    found = join_points(left, right, "x", "r", totals=wanted)
+    assert found.columns == ["i", "r", *wanted]
+    pair = join_points(left, right, "x", "r").withColumn("at", F.struct("i", "r"))
+    # Interval 7 comes twice, with other bounds.
+    want = pair.groupBy("i", "r").agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("p").alias("last"), F.sum("p").alias("all"))
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect())) and want.count() > 50
+    assert join_points(left.where("false"), right, "x", "r", totals=wanted).count() == 0
+    assert join_points(left, right.where("false"), "x", "r", totals=wanted).count() == 0
+    # All pairs would be 9 * 10^9 rows.
+    many = spark.range(300_000).select((F.col("id") % 1000).alias("v"), F.col("id").alias("p"))
+    wide = spark.range(30_000).select(F.col("id").alias("i"), F.struct(F.lit(None).cast("long").alias("gte"), F.lit(5000).alias("lte")).alias("r"))
+    every = join_points(many, wide, "v", "r", totals={"n": ("count", "*"), "last": ("max", "p")}).groupBy("n", "last").count().collect()
+    assert [tuple(r) for r in every] == [(300_000, 299_999, 30_000)]
+    with pytest.raises(ValueError, match="inner"):
+        join_points(left, right, "x", "r", "left", totals=wanted)
