@@ -31,6 +31,9 @@ ACTIONS = ("index", "create", "update", "upsert", "delete")
 # Operations on one id beyond this number are worked on in several tasks.
 HOT_OPS = 100_000
 
+# Operations that one task works on, about, when there are more than that.
+TASK_OPS = 200_000
+
 # HTTP-like codes of item results.
 OK, CREATED, NOT_FOUND, CONFLICT = 200, 201, 404, 409
 
@@ -229,12 +232,14 @@ class _Fold:
         content = F.to_json(content) if "map<" in ops.schema.simpleString() else content
         ops = ops.withColumn("_tie", F.xxhash64("action", content))
         per_id = ops.groupBy(id_col).agg(F.count("*").alias("_ops"))
-        most = per_id.agg(F.max("_ops")).first()[0] or 0
+        most, total = (n or 0 for n in per_id.agg(F.max("_ops"), F.sum("_ops")).first())
         self.id = id_col
         self.hot = most > hot_ops
         if not self.hot:
             self.keys = [id_col]
-            self.rows = ops
+            # Dealt out by their number: Spark would give each task a share that grows with the table.
+            least = int(ops.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            self.rows = ops.repartition(max(least, -(-total // TASK_OPS)), id_col) if total > TASK_OPS else ops
             return
         # Cut a crowded id at quantiles of its own seq, so that stretches hold
         # like numbers of operations; every other id is one stretch.

@@ -256,3 +256,22 @@ def test_stream_histogram_drops_and_counts_late_rows(spark, tmp_path):
     got = {(str(r.key), r.doc_count) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {("2024-01-01 00:00:00", 1), ("2024-01-01 00:00:30", 1), ("2024-01-01 00:10:00", 3)}
     assert histogram.late_rows(run) == 1
+
+
+def test_many_operations_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    import siftframe.operators.mutate as mutate
+
+    monkeypatch.setattr(mutate, "TASK_OPS", 20)
+    ops = spark.range(200).selectExpr(
+        "id AS seq", "'index' AS action", "CAST(id % 70 AS STRING) AS _id", "named_struct('v', id) AS doc", "CAST(NULL AS ARRAY<STRING>) AS set_fields"
+    )
+    target = spark.range(100).selectExpr("CAST(id AS STRING) AS _id", "1L AS _version", "-id AS v")
+    result = mutate.bulk(target, ops, staged=True)
+    # Four shuffle partitions are set: one task for every 20 operations comes before them.
+    assert mutate._Fold("_id", ops, 1000).rows.rdd.getNumPartitions() == 10
+    assert mutate._Fold("_id", ops.limit(20), 1000).rows.rdd.getNumPartitions() < 10
+    last = {str(i % 70): i for i in range(200)}
+    times = {k: sum(str(i % 70) == k for i in range(200)) for k in last}
+    want = [(str(i), 1 + times.get(str(i), 0), last.get(str(i), -i)) for i in range(100)]
+    assert sorted(map(tuple, result.table.select("_id", "_version", "v").collect())) == sorted(want)
+    assert result.items.count() == 200
