@@ -274,6 +274,8 @@ def porter_stem(tokens: Column) -> Column:
 
 # Rules that are looked up inside the row; a larger table is joined.
 INLINE_RULES = 50_000
+# Tables that the rules of a row's own words are dealt to, at most.
+ROW_TABLES = 64
 
 
 def _lookup(df: DataFrame, rules: DataFrame) -> tuple[DataFrame, Callable[[Column], Column]]:
@@ -389,20 +391,23 @@ def expand_tokens(df: DataFrame, id_col: str, tokens_col: str, rules: DataFrame,
     # Written once: texts are analysed once, and row numbers hold, which keep
     # rows apart that share an id.
     df = stage(df.withColumn("_row", F.monotonically_increasing_id()), "tokens")
-    # The outer form, as the inner one would work out the token list twice.
-    words = df.select("_row", F.posexplode_outer(tokens_col).alias("_pos", "word")).where("_pos IS NOT NULL")
+    # Only the distinct words of a row that have a rule travel, without their places. The
+    # outer form, as the inner one would work out the token list twice.
+    words = df.select("_row", F.explode_outer(F.array_distinct(F.col(tokens_col))).alias("word")).where("word IS NOT NULL")
     # A rule is two words, some tens of bytes.
     if fits_broadcast(rules, 1_000_000):
         forms = F.broadcast(forms)
-    joined = words.join(forms, "word", "left")
-    base = F.array("word")
-    new = F.concat(base, "_forms") if keep else F.col("_forms")
-    rows = joined.select("_row", "_pos", F.when(F.col("_forms").isNull(), base).otherwise(new).alias("_new"))
-    # One group is one row's tokens, never more than a text's length.
-    grouped = rows.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_pos", "_new"))).alias("_all"))
-    flat = grouped.select("_row", F.flatten(F.col("_all._new")).alias(out + "_new"))
-    found = df.join(flat, "_row", "left").withColumn(out, F.coalesce(out + "_new", tokens_col))
-    return found.drop("_row", out + "_new")
+    # One group is one row's words, never more than a text's length.
+    hits = words.join(forms, "word").groupBy("_row").agg(F.collect_list(F.struct("word", "_forms")).alias("_hits"))
+    # A few words in each of a row's tables, as they are looked through from the start.
+    place = lambda w, n: F.pmod(F.xxhash64(w), n).cast("int")
+    n = F.greatest(F.lit(1), F.least(F.lit(ROW_TABLES), F.ceil(F.size("_hits") / 8))).cast("int")
+    part = lambda b: F.map_from_entries(F.filter("_hits", lambda h: place(h["word"], n) == b))
+    own = hits.select("_row", F.transform(F.sequence(F.lit(0), n - 1), part).alias("_own"))
+    found = lambda w: F.try_element_at(F.get("_own", place(w, F.size("_own"))), w)
+    new = (lambda w: F.concat(F.array(w), found(w))) if keep else found
+    tokens = F.flatten(F.transform(tokens_col, lambda w: F.coalesce(new(w), F.array(w))))
+    return df.join(own, "_row", "left").withColumn(out, tokens).drop("_row", "_own")
 
 
 def stem_tokens(df: DataFrame, tokens_col: str, out: str) -> DataFrame:

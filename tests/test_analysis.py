@@ -267,3 +267,27 @@ def test_stems_by_vocabulary_equal_stems_by_row(spark):
     assert found == {i: w and [x and porter(x) for x in w] for i, w in rows}
     assert found["4"] == ["relat", "poni"]
     assert a.stem_tokens(df.where("false"), "w", "out").count() == 0
+
+
+def test_a_large_dictionary_moves_a_rows_words_once_and_without_places(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from siftframe.functions import analysis as an
+
+    monkeypatch.setattr(an, "INLINE_RULES", 0)
+    many = [f"w{i % 700}" for i in range(3000)]
+    rows = [(1, many), (1, ["x", "w1", None, "w1"]), (2, []), (3, None), (4, ["x"]), (5, [None])]
+    df = spark.createDataFrame(rows, "i int, t array<string>")
+    rules = spark.createDataFrame([(f"w{i}", f"f{i}") for i in range(600)] + [("w1", "e1"), (None, "n"), ("x", None)], "word string, form string")
+    forms = {f"w{i}": [f"f{i}"] for i in range(600)} | {"w1": ["e1", "f1"], "x": []}
+    moved = []
+    explode = F.explode_outer
+    monkeypatch.setattr(F, "posexplode_outer", lambda c: moved.append("places"))
+    monkeypatch.setattr(F, "explode_outer", lambda c: moved.append("words") or explode(c))
+    for keep in (False, True):
+        found = an.expand_tokens(df, "i", "t", rules, keep=keep, out="t2")
+        new = lambda w: ([w] if keep else []) + forms[w] if w in forms else [w]  # noqa: B023, E731
+        want = [(i, t and [f for w in t for f in new(w)] if t else t) for i, t in rows]
+        assert found.columns == ["i", "t", "t2"]
+        assert sorted((r["i"], str(r["t2"])) for r in found.collect()) == sorted((i, str(t)) for i, t in want)
+    assert moved == ["words", "words"]
