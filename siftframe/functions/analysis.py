@@ -1,8 +1,9 @@
 """Text analysis as column expressions.
 
 A chain is char filters (string -> string), one tokenizer (string -> list) and
-token filters (list -> list). Every stage but the Porter stemmer is a built-in
-Spark expression, so analysing a text needs no shuffle and no Python.
+token filters (list -> list). Every stage is a built-in Spark expression but the
+Porter stemmer and the character grams of tokens, which are Arrow-batched
+functions: analysing a text needs no shuffle, and Python only for those two.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftframe.functions.grams import token_grams
 from siftframe.functions.stemming import porter_stem_tokens
 from siftframe.session import fits_broadcast, stage
 
@@ -63,17 +65,19 @@ def pattern_replace(pattern: str, replacement: str) -> Stage:
 
 # --- tokenizers -----------------------------------------------------------
 
-_WORD = r"\p{L}\p{M}\p{N}_"
+# A letter, mark, digit or underscore that is not Han. ASCII (``\w``) is asked for
+# first, so that only other characters are looked up by script.
+_RUN = r"[\w[\p{L}\p{M}\p{N}&&[^\p{IsHan}]]]"
 
 
 def standard(c: Column) -> Column:
     """Runs of letters and digits; each Han character is a word of its own."""
-    return F.regexp_extract_all(c, F.lit(rf"\p{{IsHan}}|[{_WORD}&&[^\p{{IsHan}}]]+"), F.lit(0))
+    return F.regexp_extract_all(c, F.lit(rf"{_RUN}+|\p{{IsHan}}"), F.lit(0))
 
 
 def standard_limited(max_token_length: int) -> Stage:
     """As ``standard``; a longer run is split at the limit."""
-    pattern = rf"\p{{IsHan}}|[{_WORD}&&[^\p{{IsHan}}]]{{1,{max_token_length}}}"
+    pattern = rf"{_RUN}{{1,{max_token_length}}}|\p{{IsHan}}"
     return lambda c: F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
 
 
@@ -144,7 +148,7 @@ EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 
 def url_email(c: Column) -> Column:
     """A URL or an e-mail address is one token, other text is split as by ``standard``."""
-    return F.regexp_extract_all(c, F.lit(rf"{URL_PATTERN}|{EMAIL_PATTERN}|\p{{IsHan}}|[{_WORD}&&[^\p{{IsHan}}]]+"), F.lit(0))
+    return F.regexp_extract_all(c, F.lit(rf"{URL_PATTERN}|{EMAIL_PATTERN}|{_RUN}+|\p{{IsHan}}"), F.lit(0))
 
 
 # --- token filters --------------------------------------------------------
@@ -217,8 +221,15 @@ def length(min_length: int = 0, max_length: int = 2**31 - 1) -> Stage:
 
 
 def token_ngram(min_gram: int = 1, max_gram: int = 2) -> Stage:
-    grams = ngram(min_gram, max_gram)
-    return lambda tokens: F.flatten(F.transform(tokens, grams))
+    """Grams of every token, in bulk. ``inside`` gives the same for tokens that
+    belong to a lambda, where Spark calls no Python."""
+
+    def grams(tokens: Column) -> Column:
+        return token_grams(tokens, min_gram, max_gram)
+
+    of_one = ngram(min_gram, max_gram)
+    grams.inside = lambda tokens: F.flatten(F.transform(tokens, of_one))
+    return grams
 
 
 def token_edge_ngram(min_gram: int = 1, max_gram: int = 2) -> Stage:
@@ -438,13 +449,19 @@ class Analyzer:
     query: "Analyzer | None" = None  # how query texts are analysed, if otherwise
 
     def tokens(self, c: Column) -> Column:
-        for f in self.char_filters:
-            c = f(c)
-        c = self.tokenizer(c)
-        for f in self.filters:
+        for f in self._stages():
             c = f(c)
         return c
 
+    def tokens_inside(self, c: Column) -> Column:
+        """As ``tokens``, for a text that belongs to a lambda."""
+        for f in self._stages():
+            c = getattr(f, "inside", f)(c)
+        return c
+
+    def _stages(self) -> tuple[Stage, ...]:
+        return (*self.char_filters, self.tokenizer, *self.filters)
+
     def words(self, text: str) -> list[str]:
         """The words of a query text, by the same chain (one-row query)."""
         return _query_words(self.query or self, text)

@@ -20,6 +20,7 @@ class Slot:
     type: T.DataType
     spec: Field | None
     stored_tokens: Column | None = None
+    inside: bool = False  # the column belongs to a lambda
 
     @property
     def is_text(self) -> bool:
@@ -34,8 +35,8 @@ class Slot:
         if self.stored_tokens is not None:
             return self.stored_tokens
         if self.is_array:
-            return F.flatten(F.transform(self.column, self.spec.chain.tokens))
-        return self.spec.chain.tokens(self.column)
+            return F.flatten(F.transform(self.column, self.spec.chain.tokens_inside))
+        return self.spec.chain.tokens_inside(self.column) if self.inside else self.spec.chain.tokens(self.column)
 
     def terms(self) -> Column:
         """What exact conditions compare with: the tokens of a text field, the
@@ -68,7 +69,7 @@ class Scope:
         stored = None
         if self.element is None and f"{name}__tokens" in self.schema.names:
             stored = F.col(f"`{name}__tokens`")
-        return Slot(path, column, dtype, spec, stored)
+        return Slot(path, column, dtype, spec, stored, self.element is not None)
 
     def _walk(self, name: str) -> tuple[Column, T.DataType]:
         parts = [name] if name in self.schema.names else name.split(".")

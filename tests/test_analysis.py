@@ -2,12 +2,14 @@
 
 import datetime as dt
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from siftframe import Collection, Field, Mapping
 from siftframe.functions import analysis as a
+from siftframe.functions import grams as g
 from siftframe.functions.stemming import porter
 from siftframe.plans import conditions as q
 from siftframe.sources import documents as d
@@ -82,6 +84,53 @@ def test_filters_on_tokens(run, stage, tokens, expected):
     assert run(stage, tokens) == expected
 
 
+def grams_of(words, lo, hi):
+    return [w[i : i + n] for w in words for n in range(lo, hi + 1) for i in range(len(w) - n + 1)]
+
+
+@pytest.mark.parametrize("part, cut", [(1, 1), (60, 20), (g.PART, g.CUT)])
+@pytest.mark.parametrize("lo, hi", [(1, 2), (2, 3), (0, 1), (3, 9)])
+def test_grams_of_many_words(monkeypatch, part, cut, lo, hi):
+    monkeypatch.setattr(g, "PART", part)
+    monkeypatch.setattr(g, "CUT", cut)
+    rows = [["abc", "é😀中x", "a", ""], None, [], ["ab", None], ["\0|", "abcdefghijk" * 3]] * 3
+    lists = pa.array(rows, pa.list_(pa.string())).slice(1)
+    parts = [p.to_pylist() for p in g.gram_lists(lists, lo, hi)]
+    assert [x for p in parts for x in p] == [None if r is None or None in r else grams_of(r, lo, hi) for r in rows[1:]]
+    assert len(parts) > 1 or part == g.PART
+
+
+def test_grams_of_tokens_are_cut_in_bulk(spark):
+    rows = [(["Café", "中文x", "a"],), (["ab", None],), ([],), (None,)]
+    df = spark.createDataFrame(rows, "x array<string>")
+    bulk = df.select(a.token_ngram(2, 3)("x").alias("t"))
+    assert "transform(" not in bulk._jdf.queryExecution().optimizedPlan().toString()
+    expected = [["Ca", "af", "fé", "Caf", "afé", "中文", "文x", "中文x"], None, [], None]
+    assert [r.t for r in bulk.collect()] == expected
+    assert [r.t for r in df.select(a.token_ngram(2, 3).inside(F.col("x")).alias("t")).collect()] == expected
+
+
+def test_gram_chain_on_lists_and_inside_objects(spark):
+    chain = a.analyzer("standard", (a.token_ngram(2, 2),))
+    schema = "_id string, names array<string>, parts array<struct<name: string>>"
+    df = spark.createDataFrame([("1", ["abc", "de"], [("xyz",), ("uv",)]), ("2", ["cd"], [])], schema)
+    inner = Field("nested", properties={"name": Field("text", analyzer=chain)})
+    c = Collection(df, Mapping({"names": Field("text", analyzer=chain), "parts": inner}))
+    assert [r.t for r in df.select(c.scope.slot("names").tokens().alias("t")).collect()] == [["ab", "bc", "de"], ["cd"]]
+    found = q.nested("parts", q.match("name", "yz"))
+    assert [r._id for r in df.where(found.truth(c.scope)).collect()] == ["1"]
+
+
+def test_words_are_the_same_characters_as_ever(spark):
+    chars = spark.range(0x110000).where("id NOT BETWEEN 55296 AND 57343")
+    chars = chars.select("id", F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    ever = F.regexp_extract_all("c", F.lit(r"\p{IsHan}|[\p{L}\p{M}\p{N}_&&[^\p{IsHan}]]+"), F.lit(0))
+    # Beside a letter a character shows whether it ends a word.
+    beside = chars.withColumn("c", F.concat(F.lit("x"), "c", F.lit("y")))
+    assert chars.where(a.standard(F.col("c")) != ever).count() == 0
+    assert beside.where(a.standard(F.col("c")) != ever).count() == 0
+
+
 # Examples printed in the paper.
 STEMS = """caresses caress ponies poni ties ti caress caress cats cat feed feed agreed agre plastered plaster bled bled
 motoring motor sing sing conflated conflat troubled troubl sized size hopping hop tanned tan falling fall hissing hiss
