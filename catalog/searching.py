@@ -89,7 +89,7 @@ def terms(spark, sf):
 def terms_long_list(spark, sf):
     """More values than are tested inline, on a list field."""
     values = ["large", "steel", "red", *(f"no such tag {i}" for i in range(1500))]
-    return s.search(t.products(spark, sf), q.terms("tags", *values), size=100_000, source=["title"]).select("_id", "title")
+    return s.search(t.products(spark, sf), q.terms("tags", *values), size=None, source=["title"]).select("_id", "title")
 
 
 @query(

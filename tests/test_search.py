@@ -255,3 +255,24 @@ def test_filters_reach_the_scan(spark, goods, tmp_path):
         assert part in pushed
     assert "TakeOrderedAndProject" in plan
     assert "title" not in plan[plan.index("ReadSchema"):].split("\n")[0]
+
+
+def test_the_long_list_query_returns_every_hit(spark, tmp_path):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from catalog.searching import terms_long_list
+
+    # More hits than one deep window of 100,000; keys repeat, some keys and names are null.
+    name = "CASE id % 20 WHEN 0 THEN NULL WHEN 1 THEN 'blue bolt' WHEN 2 THEN 'steel' ELSE concat('big red ', id) END"
+    rows = spark.range(112_000).selectExpr(
+        "nullif(id % 110000, 7) AS p_partkey", f"{name} AS p_name", "'Brand#1' AS p_brand", "'PROMO' AS p_type",
+        "1 AS p_size", "9.5D AS p_retailprice",
+    )
+    rows.write.parquet(str(tmp_path / "part.parquet"))
+    wanted = rows.where("p_name <> 'blue bolt'").select(F.col("p_partkey").cast("string").alias("_id"), F.col("p_name").alias("title"))
+    found = terms_long_list(spark, str(tmp_path))
+    hits = Counter(map(tuple, wanted.collect()))
+    assert hits.total() > 100_000 and hits[None, "big red 7"] == 1
+    assert found.columns == ["_id", "title"] and Counter(map(tuple, found.collect())) == hits
